@@ -65,7 +65,7 @@ def left_join_broadcast(fact: DataFrame, dim: DataFrame, on: str,
 
 
 def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float | None = None,
-             max_keys: int | None = None) -> DataFrame:
+             max_keys: int | None = None, total=None) -> DataFrame:
     """Keys holding more than ``share`` of the rows, at most ``max_keys`` of them.
 
     ``share`` defaults to one partition's fair share (1 / shuffle partitions):
@@ -79,7 +79,8 @@ def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float
     max_keys = max_keys or parts
     counts = df if count_col else df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
     c = count_col or "_cnt"
-    total = counts.select(F.sum(c)).scalar()
+    if total is None:
+        total = counts.select(F.sum(c)).scalar()
     return (counts.filter(F.col(c) > total * F.lit(share))
                   .orderBy(F.col(c).desc(), F.col(key).asc()).limit(max_keys)
                   .select(key))

@@ -31,13 +31,20 @@ def _order(value: str, key: str, descending: bool) -> list[Column]:
 
 
 def top_k_ranked(df: DataFrame, value: str, key: str, k: int = 1000,
-                 rank_col: str = "user_rank", pct_col: str = "ltv_percentile") -> DataFrame:
+                 rank_col: str = "user_rank", pct_col: str = "ltv_percentile",
+                 materialize: bool = True) -> DataFrame:
     """Top ``k`` rows by ``value`` desc (ties by ``key`` asc).
 
     ``rank_col`` = row_number in that order; ``pct_col`` = percent_rank of the
     value in ascending order over all rows of ``df`` (ties share the lowest
     rank, a single row gives 0.0).
+
+    ``df`` is read three times (the top k, the distinct values, the count);
+    with ``materialize`` it is checkpointed first so an expensive upstream
+    (e.g. a two-level rollup over the fact table) runs once.
     """
+    if materialize:
+        df = df.checkpoint(eager=True)
     n = df.select(F.count(F.lit(1))).scalar()
     top = df.orderBy(*_order(value, key, True)).limit(k)
     top = top.withColumn(rank_col, F.row_number().over(Window.orderBy(*_order(value, key, True)))
@@ -50,8 +57,9 @@ def top_k_ranked(df: DataFrame, value: str, key: str, k: int = 1000,
         Window.orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, 0)))
     pct = F.when(n > 1, (n - F.col("_ge")).cast("double") / (n - 1)).otherwise(F.lit(0.0))
     dv = dv.select(F.col(value).alias("_v"), pct.alias(pct_col))
-    # Both sides hold at most k rows.
-    return (top.join(F.broadcast(dv), top[value] == dv["_v"], "left").drop("_v")
+    # Both sides hold at most k rows. A NULL value sorts first ascending: 0.0.
+    out = top.join(F.broadcast(dv), top[value] == dv["_v"], "left").drop("_v")
+    return (out.withColumn(pct_col, F.when(F.col(value).isNull(), F.lit(0.0)).otherwise(F.col(pct_col)))
                .orderBy(F.col(rank_col)))
 
 
@@ -111,12 +119,18 @@ def global_percent_rank(df: DataFrame, value: str, key: str, pct_col: str = "per
 
     rc = rank_col or "_rank"
     ranked = global_row_number(df, value, key, True, rc, num_partitions)
-    per_value = ranked.groupBy(value).agg(F.max(rc).alias("_ge"), F.count(F.lit(1)).alias("_cnt"))
-    n = ranked.select(F.count(F.lit(1))).scalar()
-    hot = hot_keys(per_value, value, count_col="_cnt", share=hot_share)
-    joined = hot_key_join(ranked, per_value.select(value, "_ge"), value, hot, how="inner")
+    # One row per distinct value, read three times below: materialise it.
+    per_value = (ranked.groupBy(value).agg(F.max(rc).alias("_ge"), F.count(F.lit(1)).alias("_cnt"))
+                       .checkpoint(eager=True))
+    n = per_value.select(F.sum("_cnt")).scalar()
+    hot = hot_keys(per_value, value, count_col="_cnt", share=hot_share, total=n)
+    valued = ranked.filter(F.col(value).isNotNull())
+    joined = hot_key_join(valued, per_value.select(value, "_ge"), value, hot, how="inner")
     pct = F.when(n > 1, (n - F.col("_ge")).cast("double") / (n - 1)).otherwise(F.lit(0.0))
     out = joined.withColumn(pct_col, pct).drop("_ge")
+    # NULL sorts first in ascending order: rank 1, percent_rank 0.
+    nulls = ranked.filter(F.col(value).isNull()).withColumn(pct_col, F.lit(0.0))
+    out = out.unionByName(nulls)
     if rank_col is None:
         out = out.drop("_rank")
     return out
