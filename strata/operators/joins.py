@@ -124,5 +124,6 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str)
 def bucketed_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   how: str = "inner") -> DataFrame:
     """Join two tables bucketed on their keys with the same bucket count:
-    a sort-merge join with no exchange on either side."""
-    return left.join(right, left[left_key] == right[right_key], how)
+    a sort-merge join with no exchange on either side (the hint keeps the
+    planner from broadcasting a side that happens to be small)."""
+    return left.join(right.hint("merge"), left[left_key] == right[right_key], how)

@@ -98,10 +98,14 @@ def partition_row_counts(df: DataFrame) -> DataFrame:
               .groupBy("partition_id").agg(F.count(F.lit(1)).alias("rows")))
 
 
-def large_sort(df: DataFrame, *cols) -> DataFrame:
-    """Total order: range exchange on sampled bounds, then an external
-    (spilling) sort inside each range."""
-    return df.orderBy(*cols)
+def large_sort(df: DataFrame, *cols, num_partitions: int | None = None) -> DataFrame:
+    """Total order: a range exchange on sampled bounds, then an external
+    (spilling) sort inside each range - the physical plan of ``orderBy``,
+    written out so the range partitioning survives later operators (a global
+    sort feeding an aggregate is otherwise dropped by the optimizer).
+    Partition ``i`` holds keys no larger than partition ``i + 1``."""
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def sort_boundary_report(sorted_df: DataFrame, col: str) -> DataFrame:
