@@ -57,11 +57,19 @@ def left_join_shuffle(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
 
 
 def left_join_broadcast(fact: DataFrame, dim: DataFrame, on: str,
-                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                        max_bytes: int = DEFAULT_BROADCAST_BYTES, skew_safe: bool = True) -> DataFrame:
     """Left outer USING ``on`` with the dimension broadcast when it measures
-    under ``max_bytes``; otherwise the shuffle join."""
+    under ``max_bytes``.
+
+    Beyond that the join shuffles; with ``skew_safe`` the fact's hot keys are
+    found first (one partial aggregate over the key column) and joined to a
+    broadcast of their few dimension rows, so no reducer receives a hot key.
+    ``dim`` must be unique on ``on`` (a dimension).
+    """
     side, ok = broadcast_if_bounded(dim, max_bytes)
-    return fact.join(side, on, "left")
+    if ok or not skew_safe:
+        return fact.join(side, on, "left")
+    return hot_key_join(fact, dim, on, hot_keys(fact, on), how="left")
 
 
 def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float | None = None,

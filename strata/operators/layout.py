@@ -6,8 +6,6 @@ files is too many at 1 GB and too few at 100 TB.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,19 +54,25 @@ def repartition_by_size(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
-def write_compacted(df: DataFrame, path: str, files: int | None = None,
-                    target_bytes: int = TARGET_PARTITION_BYTES, max_records_per_file: int = 0) -> DataFrame:
-    """Write ``df`` as about ``files`` even files.
+def write_compacted(df: DataFrame, path: str, files: int | None = None, target_bytes: int | None = None,
+                    max_records_per_file: int = 0) -> DataFrame:
+    """Write ``df`` as few, even files.
 
-    Without ``files`` the count is estimated from the rows' in-memory size, one
-    file per ``target_bytes``. ``repartition`` (not ``coalesce``) keeps the
-    upstream stage at full parallelism and gives exactly that many files.
+    * ``files``: round-robin into exactly that many (``repartition``, not
+      ``coalesce``, so the upstream stage keeps its full parallelism).
+    * ``target_bytes``: measure ``df`` once (one aggregate) and use
+      ``ceil(bytes / target_bytes)`` files.
+    * neither: the ``rebalance`` hint, so AQE sizes the final shuffle's
+      partitions from measured shuffle bytes toward
+      ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` - one pass, file count
+      growing with the data.
     """
-    if files is None:
+    if files is None and target_bytes:
         from strata.operators.joins import estimate_size_bytes
 
-        files = max(1, math.ceil(estimate_size_bytes(df) / target_bytes))
-    w = df.repartition(files).write.mode("overwrite")
+        files = max(1, -(-estimate_size_bytes(df) // target_bytes))
+    shaped = df.repartition(files) if files else df.hint("rebalance")
+    w = shaped.write.mode("overwrite")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)

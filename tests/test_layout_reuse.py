@@ -26,9 +26,13 @@ def test_write_compacted_gives_exact_file_count(spark):
 
 def test_write_compacted_sizes_from_data(spark):
     o = read_table(spark, SF01, "orders")
-    path = scratch_dir(spark, "t-compacted-auto")
-    layout.write_compacted(o, path, target_bytes=256 * 1024)
+    path = scratch_dir(spark, "t-compacted-target")
+    back = layout.write_compacted(o, path, target_bytes=256 * 1024)
     assert 2 <= len(_files(path)) <= 16
+    assert rows(back) == rows(o)
+    path2 = scratch_dir(spark, "t-compacted-rebalance")
+    assert rows(layout.write_compacted(o.repartition(40), path2)) == rows(o)
+    assert 1 <= len(_files(path2)) < 40
 
 
 def test_uncontrolled_write_and_layout_report(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF01, rows
 from strata.operators import joins, ranking, rollups, skew
 from strata.plans import variants
+from strata.plans.inspect import plan_text
 from strata.sources.tables import clickstream, read_table, user_dimension
 
 
@@ -21,9 +22,11 @@ def test_broadcast_falls_back_when_too_big(spark):
     fact = clickstream(spark, SF01).select("event_id", "user_id")
     dim = user_dimension(spark, SF01)
     j = joins.left_join_broadcast(fact, dim, "user_id", max_bytes=10)
-    plan = j._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan or "AdaptiveSparkPlan" in plan
+    plan = plan_text(j)
+    assert "LeftAnti" in plan and "Union" in plan   # hot keys isolated, the rest shuffled
     assert rows(j) == rows(joins.left_join_shuffle(fact, dim, "user_id").select(*j.columns))
+    plain = joins.left_join_broadcast(fact, dim, "user_id", max_bytes=10, skew_safe=False)
+    assert rows(plain.select(*j.columns)) == rows(j)
 
 
 def test_salted_and_hot_key_joins_equal_plain(spark):
