@@ -25,26 +25,73 @@ from strata.functions.columns import revenue_bucket, session_id, sorted_join
 from strata.functions.money import ratio_2, to_double
 
 
-def session_rollup(clicks: DataFrame) -> DataFrame:
+def _sequence(list_col: str) -> F.Column:
+    return F.array_join(F.transform(F.array_sort(list_col), lambda x: x["event_type"]), ",")
+
+
+def session_rollup(clicks: DataFrame, hot_share: float | None = None, chunk_events: int = 100_000) -> DataFrame:
     """Per session: events, revenue, ordered event sequence, first/last time.
 
-    The sequence is ordered by ``(ts, event_id)`` so it is deterministic (the
-    reference leaves list order undefined) and is returned as a comma string.
+    The sequence is ordered by ``(ts, event_id)`` (deterministic; the
+    reference leaves list order undefined) and returned as a comma string.
+
+    A list can't be partially aggregated away, so a session holding a large
+    share of all rows would land whole in one task. Sessions with more than
+    ``hot_share`` of the rows (default: one partition's fair share; at most one
+    per partition, a bounded broadcast) are therefore built apart: their
+    events are numbered by the distributed row number and cut into chunks of
+    ``chunk_events``, one output row per chunk (``sequence_chunk`` = 0, 1, ...),
+    each with the session's totals. Every other session is one row, chunk 0.
     """
-    s = (clicks.groupBy("user_id", "hour_start")
-         .agg(F.count(F.lit(1)).alias("event_count"),
-              F.sum("revenue").alias("session_revenue"),
-              F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"),
-              F.min("ts").alias("session_start"),
-              F.max("ts").alias("session_end")))
-    return s.select(
+    spark = clicks.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = hot_share if hot_share is not None else 1.0 / parts
+    n = clicks.select(F.count(F.lit(1))).scalar()
+    keys = ["user_id", "hour_start"]
+    per_session = clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most ``parts`` keys: a bounded list, fetched to choose the plan.
+    hot_list = (per_session.filter(F.col("_n") > n * F.lit(share))
+                .orderBy(F.col("_n").desc(), *keys).limit(parts).select(*keys).collect())
+    hot = F.broadcast(spark.createDataFrame(hot_list, per_session.select(*keys).schema)) if hot_list else None
+
+    cold_src = clicks.join(hot, keys, "left_anti") if hot is not None else clicks
+    cold = (cold_src.groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("event_count"),
+                 F.sum("revenue").alias("session_revenue"),
+                 F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"),
+                 F.min("ts").alias("session_start"),
+                 F.max("ts").alias("session_end"))
+            .select(*keys, F.lit(0).alias("sequence_chunk"), "event_count", "session_revenue",
+                    _sequence("_seq").alias("event_sequence"), "session_start", "session_end"))
+
+    out = cold
+    if hot is not None:
+        hot_events = clicks.join(hot, keys, "left_semi").select(*keys, "ts", "event_id", "event_type", "revenue")
+        hot_totals = (hot_events.groupBy(*keys)
+                      .agg(F.count(F.lit(1)).alias("event_count"), F.sum("revenue").alias("session_revenue"),
+                           F.min("ts").alias("session_start"), F.max("ts").alias("session_end")))
+        chunks = _hot_sequence_chunks(hot_events, keys, chunk_events)
+        out = out.unionByName(chunks.join(F.broadcast(hot_totals), keys).select(cold.columns))
+    return out.select(
         "user_id",
         session_id("user_id", "hour_start").alias("session_id"),
-        "event_count",
+        "sequence_chunk", "event_count",
         to_double(F.col("session_revenue")).alias("session_revenue"),
-        F.array_join(F.transform(F.array_sort("_seq"), lambda x: x["event_type"]), ",")
-         .alias("event_sequence"),
-        "session_start", "session_end")
+        "event_sequence", "session_start", "session_end")
+
+
+def _hot_sequence_chunks(hot_events: DataFrame, keys: list[str], chunk_events: int) -> DataFrame:
+    """Events of the (few, huge) hot sessions as bounded, ordered chunks."""
+    from strata.operators.ranking import _with_offsets, ranked_partitions
+
+    order = [F.col(k).asc() for k in keys] + [F.col("ts").asc(), F.col("event_id").asc()]
+    numbered = _with_offsets(ranked_partitions(hot_events, order), "_rn")
+    # First row number of each hot session: one row per hot session (bounded).
+    first = numbered.groupBy(*keys).agg(F.min("_rn").alias("_first"))
+    pos = numbered.join(F.broadcast(first), keys).withColumn("_pos", F.col("_rn") - F.col("_first"))
+    return (pos.groupBy(*keys, F.floor(F.col("_pos") / F.lit(chunk_events)).cast("int").alias("sequence_chunk"))
+               .agg(F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"))
+               .select(*keys, "sequence_chunk", _sequence("_seq").alias("event_sequence")))
 
 
 def session_totals(clicks: DataFrame) -> DataFrame:

@@ -69,7 +69,7 @@ def _joined(spark, d, broadcast=True):
 
 @register("session_rollup", f"""
 WITH {CLICKS}
-SELECT user_id, session_id, count(*) AS event_count, sum(revenue)::DOUBLE AS session_revenue,
+SELECT user_id, session_id, 0 AS sequence_chunk, count(*) AS event_count, sum(revenue)::DOUBLE AS session_revenue,
        string_agg(event_type, ',' ORDER BY ts, event_id) AS event_sequence,
        min(ts) AS session_start, max(ts) AS session_end
 FROM e GROUP BY user_id, session_id""")

@@ -109,3 +109,19 @@ def test_null_user_never_matches(spark, mini_clicks, mini_users):
     j = joins.left_join_broadcast(fact, mini_users, "user_id")
     assert j.filter("event_id = 9").first()["user_tier"] is None
     assert rows(j.groupBy("user_tier").count()) == [(None, 4), ("Premium", 5)]
+
+
+def test_session_rollup_hot_sessions_in_chunks(spark, mini_clicks):
+    """Force every session hot and chunks of 1 event: chunks concatenate to the plain list."""
+    plain = {(r["user_id"], r["session_id"]): r for r in rollups.session_rollup(mini_clicks).collect()}
+    hot = rollups.session_rollup(mini_clicks, hot_share=0.0, chunk_events=1).collect()
+    by = {}
+    for r in hot:
+        by.setdefault((r["user_id"], r["session_id"]), []).append(r)
+    assert by.keys() == plain.keys()
+    for k, rs in by.items():
+        rs.sort(key=lambda r: r["sequence_chunk"])
+        assert [r["sequence_chunk"] for r in rs] == list(range(len(rs)))
+        assert ",".join(r["event_sequence"] for r in rs) == plain[k]["event_sequence"]
+        assert all(r["event_count"] == plain[k]["event_count"] for r in rs)
+        assert all(r["session_revenue"] == plain[k]["session_revenue"] for r in rs)
