@@ -1,9 +1,12 @@
 """Benchmark: every catalog query at one scale, written in full to the noop sink.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default all). Prints one JSON line.
+BENCH_QUERIES (comma list, default all), BENCH_GEN_ROWS (rows of the generated
+scenario section, default 2,000,000; 0 skips it). Prints one JSON line.
 ``queries`` holds the catalog versions; ``plain`` the reference's query shapes
-(unpartitioned windows, random salt, forced sort-merge) for the same keys.
+(unpartitioned windows, random salt, forced sort-merge) for the same keys;
+``scenarios`` the reference's five jobs on generated rows, plain vs tuned,
+with rows/s.
 """
 
 from __future__ import annotations
@@ -47,8 +50,25 @@ def main() -> None:
     for k, fn in PLAIN.items():
         if k in wanted:
             plain[k] = timed(fn)
+    scen = {}
+    gen_rows = int(os.environ.get("BENCH_GEN_ROWS", "2000000"))
+    if gen_rows > 0:
+        from strata.plans import scenarios as sc
+
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(parts, gen_rows // 250_000)))
+        for name, fn in sc.SCENARIOS.items():
+            row = {}
+            for variant in ("plain", "tuned"):
+                t0 = time.perf_counter()
+                for df in fn(sc.generated_clicks(spark, gen_rows, name), variant).values():
+                    df.write.format("noop").mode("overwrite").save()
+                row[variant] = round(time.perf_counter() - t0, 3)
+            row["tuned_rows_per_sec"] = round(gen_rows / row["tuned"])
+            scen[name] = row
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     out = {"metric": "catalog_total_noop_seconds", "value": round(sum(results.values()), 3), "unit": "sec",
-           "queries": results, "plain": plain, "sf": sf, "cpus": int(cpus), "shuffle_partitions": parts}
+           "queries": results, "plain": plain, "scenarios": scen, "generated_rows": gen_rows,
+           "sf": sf, "cpus": int(cpus), "shuffle_partitions": parts}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))

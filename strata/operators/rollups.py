@@ -18,7 +18,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import revenue_bucket, session_id, sorted_join
@@ -125,19 +125,69 @@ def user_profiles_out(clicks: DataFrame) -> DataFrame:
     return p.withColumn("lifetime_value", to_double(F.col("lifetime_value")))
 
 
-def user_stats(clicks: DataFrame) -> DataFrame:
-    """Per user: events, revenue, distinct sessions, approx distinct types, avg revenue."""
-    return (clicks.groupBy("user_id")
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.sum("revenue").alias("_rev"),
-                 F.countDistinct("hour_start").alias("session_count"),
-                 F.approx_count_distinct("event_type").alias("event_types"))
+def session_level(clicks: DataFrame) -> DataFrame:
+    """One row per session ``(user_id, hour_start)``: events, revenue and a
+    mergeable HLL sketch of its event types. The shared first stage of the
+    user and session rollups: one exchange serves both."""
+    return (clicks.groupBy("user_id", "hour_start")
+            .agg(F.count(F.lit(1)).alias("session_events"),
+                 F.sum("revenue").alias("_srev"),
+                 F.hll_sketch_agg("event_type").alias("_types")))
+
+
+def user_stats_from_sessions(sessions: DataFrame) -> DataFrame:
+    """Per user from :func:`session_level`: sessions are counted (exactly
+    distinct, one row each), sums add up, type sketches union."""
+    return (sessions.groupBy("user_id")
+            .agg(F.sum("session_events").alias("event_count"),
+                 F.sum("_srev").alias("_rev"),
+                 F.count(F.lit(1)).alias("session_count"),
+                 F.hll_union_agg("_types").alias("_types"))
             .select("user_id", "event_count",
                     to_double(F.col("_rev")).alias("total_revenue"),
-                    "session_count", "event_types",
+                    "session_count", F.hll_sketch_estimate("_types").alias("event_types"),
                     (to_double(F.col("_rev")) / F.col("event_count")).alias("avg_revenue")))
 
 
+def session_stats_from_sessions(sessions: DataFrame) -> DataFrame:
+    return sessions.select(session_id("user_id", "hour_start").alias("session_id"), "user_id",
+                           "session_events", to_double(F.col("_srev")).alias("session_revenue"))
+
+
+def user_stats(clicks: DataFrame) -> DataFrame:
+    """Per user: events, revenue, distinct sessions, approx distinct types, avg revenue.
+
+    Two levels (sessions, then users), each partially aggregated before its
+    exchange; the approximate distinct count is an HLL sketch union.
+    """
+    return user_stats_from_sessions(session_level(clicks))
+
+
+def enriched_sessions(clicks: DataFrame, positive_only: bool = True) -> DataFrame:
+    """Each session with its user's stats (optionally only sessions with revenue).
+
+    Written as window aggregates over the session table partitioned by user
+    instead of a self-join: two exchanges (events -> sessions -> users) and no
+    join. A window partition holds one user's *sessions*, at most one per
+    hour of data, so a user with a third of all events stays small here.
+    """
+    sessions = session_level(clicks)
+    w = Window.partitionBy("user_id")
+    rev = F.sum("_srev").over(w)
+    events = F.sum("session_events").over(w)
+    out = sessions.select(
+        "user_id",
+        events.alias("event_count"),
+        to_double(rev).alias("total_revenue"),
+        F.count(F.lit(1)).over(w).alias("session_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("_types").over(w)).alias("event_types"),
+        (to_double(rev) / events).alias("avg_revenue"),
+        session_id("user_id", "hour_start").alias("session_id"),
+        "session_events",
+        to_double(F.col("_srev")).alias("session_revenue"))
+    return out.filter(F.col("session_revenue") > 0) if positive_only else out
+
+
 def user_stats_basic(clicks: DataFrame) -> DataFrame:
     return (clicks.groupBy("user_id")
             .agg(F.count(F.lit(1)).alias("event_count"), F.sum("revenue").alias("_rev"))

@@ -285,9 +285,7 @@ FROM u JOIN ss ON u.user_id = ss.user_id"""
 
 
 def _enriched(spark, d, positive_only):
-    c = _clicks(spark, d)
-    out = rollups.user_stats(c).join(rollups.session_stats(c), "user_id")
-    return out.filter(F.col("session_revenue") > 0) if positive_only else out
+    return rollups.enriched_sessions(_clicks(spark, d), positive_only)
 
 
 @register("enrich_user_sessions", ENRICH_SQL)
