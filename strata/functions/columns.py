@@ -45,10 +45,27 @@ def hour_floor(ts: Column | str) -> Column:
                                 F.lit(0), F.lit(0))
 
 
+def hour_key(hour_start: Column | str) -> Column:
+    """``yyyyMMddHH`` of a ``timestamp_ntz``, from its fields.
+
+    ``date_format`` would pass the value through the session zone (a
+    daylight-saving gap would move it); field extraction never does.
+    """
+    h = _c(hour_start)
+    return F.format_string("%04d%02d%02d%02d", F.year(h), F.month(h), F.dayofmonth(h), F.hour(h))
+
+
 def session_id(user_id: Column | str, hour_start: Column | str) -> Column:
     """``session_<user>_<yyyyMMddHH>``: one session per user and wall-clock hour."""
-    return F.concat(F.lit("session_"), _c(user_id).cast("string"), F.lit("_"),
-                    F.date_format(_c(hour_start), "yyyyMMddHH"))
+    return F.concat(F.lit("session_"), _c(user_id).cast("string"), F.lit("_"), hour_key(hour_start))
+
+
+def event_time(ts: Column | str) -> Column:
+    """A ``timestamp_ntz`` as the zoned ``TIMESTAMP`` with the same UTC wall
+    clock (what watermarks require), independent of the session zone."""
+    t = _c(ts)
+    return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+                            F.date_part(F.lit("SECOND"), t), F.lit("UTC"))
 
 
 def revenue_bucket(total: Column | str) -> Column:

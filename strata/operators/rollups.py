@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import revenue_bucket, session_id, sorted_join
+from strata.functions.columns import hour_key, revenue_bucket, session_id, sorted_join
 from strata.functions.money import ratio_2, to_double
 
 
@@ -272,7 +272,7 @@ def hour_bucket(clicks: DataFrame) -> DataFrame:
                  F.countDistinct("user_id").alias("active_users"),
                  F.sum("revenue").alias("_rev"))
             .select(F.col("hour_start"),
-                    F.date_format("hour_start", "yyyyMMddHH").alias("hour_key"),
+                    hour_key("hour_start").alias("hour_key"),
                     "event_count", "active_users",
                     to_double(F.col("_rev")).alias("revenue")))
 

@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import hour_key
 from strata.functions.money import to_double
 
 
@@ -45,7 +46,7 @@ def multi_rollup(clicks: DataFrame) -> DataFrame:
     users = sessions.groupBy("user_id").agg(*agg).select(
         F.lit("user").alias("rollup"), F.col("user_id").cast("string").alias("key"), "sessions", "events", "_r")
     hours = sessions.groupBy("hour_start").agg(*agg).select(
-        F.lit("hour").alias("rollup"), F.date_format("hour_start", "yyyyMMddHH").alias("key"),
+        F.lit("hour").alias("rollup"), hour_key("hour_start").alias("key"),
         "sessions", "events", "_r")
     return users.unionByName(hours).withColumn("revenue", to_double(F.col("_r"))).drop("_r")
 
