@@ -19,7 +19,13 @@ REVENUE_BUCKETS = (("low", 100), ("medium", 1000), ("high", None))
 EVENT_TYPES_GENERATED = ("page_view", "click", "purchase", "add_to_cart", "search")
 # Transaction categories of the generated transactions, in this order.
 CATEGORIES_GENERATED = ("Electronics", "Clothing", "Food", "Books", "Home")
-# Session id format: "session_<user_id>_<hour>".
+# Constant columns of the generated user dimension.
+USER_TIER_GENERATED = "Premium"
+COUNTRY_GENERATED = "US"
+# Id formats: "session_<user_id>_<hour>", "/page/<n>", "txn_<id>".
+SESSION_PREFIX = "session_"
+PAGE_PREFIX = "/page/"
+TXN_PREFIX = "txn_"
 
 MONEY = "decimal(18,2)"
 _TWO31 = 2 ** 31
@@ -57,7 +63,7 @@ def hour_key(hour_start: Column | str) -> Column:
 
 def session_id(user_id: Column | str, hour_start: Column | str) -> Column:
     """``session_<user>_<yyyyMMddHH>``: one session per user and wall-clock hour."""
-    return F.concat(F.lit("session_"), _c(user_id).cast("string"), F.lit("_"), hour_key(hour_start))
+    return F.concat(F.lit(SESSION_PREFIX), _c(user_id).cast("string"), F.lit("_"), hour_key(hour_start))
 
 
 def event_time(ts: Column | str) -> Column:

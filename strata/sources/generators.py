@@ -12,7 +12,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import CATEGORIES_GENERATED, EVENT_TYPES_GENERATED, int_mix, int_mix_sql
+from strata.functions.columns import (
+    CATEGORIES_GENERATED,
+    COUNTRY_GENERATED,
+    EVENT_TYPES_GENERATED,
+    PAGE_PREFIX,
+    SESSION_PREFIX,
+    TXN_PREFIX,
+    USER_TIER_GENERATED,
+    int_mix,
+    int_mix_sql,
+)
 
 _TWO31 = 2 ** 31
 BASE_MS = 1704067200000          # 2024-01-01T00:00:00Z, the generators' fixed "now"
@@ -78,9 +88,9 @@ def gen_clickstream(id_df: DataFrame, hot_fraction: float = 0.1, hot_keys: int =
                         stream(i, seed, 7).alias("_h7"))
     return base.select(
         "record_id", "timestamp", "user_id", "event_type",
-        F.concat(F.lit("session_"), F.col("user_id").cast("string"), F.lit("_"),
+        F.concat(F.lit(SESSION_PREFIX), F.col("user_id").cast("string"), F.lit("_"),
                  F.floor(F.col("timestamp") / F.lit(HOUR_MS)).cast("string")).alias("session_id"),
-        F.concat(F.lit("/page/"), F.pmod("_h6", F.lit(10000)).cast("string")).alias("page_url"),
+        F.concat(F.lit(PAGE_PREFIX), F.pmod("_h6", F.lit(10000)).cast("string")).alias("page_url"),
         F.when(F.col("event_type") == "purchase",
                F.pmod("_h7", F.lit(100000)).cast("double") / F.lit(100.0))
          .otherwise(F.lit(0.0)).alias("revenue"))
@@ -100,8 +110,8 @@ WITH g AS (
          ({s(6)}) AS h6, ({s(7)}) AS h7
   FROM ({id_sql}) ids)
 SELECT record_id, "timestamp", user_id, event_type,
-       'session_' || user_id || '_' || floor("timestamp" / {HOUR_MS})::BIGINT AS session_id,
-       '/page/' || (h6 % 10000) AS page_url,
+       '{SESSION_PREFIX}' || user_id || '_' || floor("timestamp" / {HOUR_MS})::BIGINT AS session_id,
+       '{PAGE_PREFIX}' || (h6 % 10000) AS page_url,
        CASE WHEN event_type = 'purchase' THEN (h7 % 100000)::DOUBLE / 100.0 ELSE 0.0 END AS revenue
 FROM g"""
 
@@ -119,7 +129,7 @@ def gen_transactions(id_df: DataFrame, users: int = 1_000_000, products: int = 1
     ts = (F.lit(BASE_MS) - F.pmod(stream(i, seed, 15), F.lit(30 * 86400)) * F.lit(1000)
           - F.pmod(stream(i, seed, 16), F.lit(1000)))
     return id_df.select(
-        F.concat(F.lit("txn_"), i.cast("string")).alias("transaction_id"),
+        F.concat(F.lit(TXN_PREFIX), i.cast("string")).alias("transaction_id"),
         F.pmod(stream(i, seed, 11), F.lit(users)).cast("int").alias("user_id"),
         F.pmod(stream(i, seed, 12), F.lit(products)).cast("int").alias("product_id"),
         qty.alias("quantity"), price.alias("price"), (qty * price).alias("amount"),
@@ -134,7 +144,7 @@ WITH g AS (
          10.0::DOUBLE + (({s(14)}) % 50000)::DOUBLE / 100.0 AS price,
          ({s(11)}) AS h11, ({s(12)}) AS h12, ({s(15)}) AS h15, ({s(16)}) AS h16, ({s(17)}) AS h17
   FROM ({id_sql}) ids)
-SELECT 'txn_' || id AS transaction_id, CAST(h11 % {users} AS INTEGER) AS user_id,
+SELECT '{TXN_PREFIX}' || id AS transaction_id, CAST(h11 % {users} AS INTEGER) AS user_id,
        CAST(h12 % {products} AS INTEGER) AS product_id, quantity, price, quantity * price AS amount,
        {BASE_MS} - (h15 % {30 * 86400}) * 1000 - h16 % 1000 AS "timestamp",
        {_pick_sql('h17', CATEGORIES_GENERATED)} AS category
@@ -156,14 +166,15 @@ def gen_wide_sql(id_sql: str, columns: int = 500, seed: int = 42) -> str:
 
 def gen_user_dim(id_df: DataFrame, seed: int = 42) -> DataFrame:
     """``user_id, user_tier, user_age, country``: one row per id."""
-    return id_df.select(F.col("id").alias("user_id"), F.lit("Premium").alias("user_tier"),
+    return id_df.select(F.col("id").alias("user_id"), F.lit(USER_TIER_GENERATED).alias("user_tier"),
                         F.pmod(stream("id", seed, 31), F.lit(100)).cast("int").alias("user_age"),
-                        F.lit("US").alias("country"))
+                        F.lit(COUNTRY_GENERATED).alias("country"))
 
 
 def gen_user_dim_sql(id_sql: str, seed: int = 42) -> str:
-    return (f"SELECT id AS user_id, 'Premium' AS user_tier, CAST(({stream_sql('id', seed, 31)}) % 100 AS INTEGER)"
-            f" AS user_age, 'US' AS country FROM ({id_sql}) ids")
+    return (f"SELECT id AS user_id, '{USER_TIER_GENERATED}' AS user_tier, "
+            f"CAST(({stream_sql('id', seed, 31)}) % 100 AS INTEGER) AS user_age, "
+            f"'{COUNTRY_GENERATED}' AS country FROM ({id_sql}) ids")
 
 
 def row_expand(df: DataFrame, count: Column, name: str = "i") -> DataFrame:
