@@ -92,19 +92,23 @@ def hot_key_split_union(clicks: DataFrame, key: str = "user_id", salt_factor: in
 
 
 def composite_key_repartition(df: DataFrame, key: str, value: str, salt_factor: int = 8,
-                              num_partitions: int | None = None) -> DataFrame:
-    """Spread rows by ``(key, salt)`` before aggregating by ``key``.
-
-    The explicit repartition puts each hot key on ``salt_factor`` partitions;
-    the first aggregate runs there, the second merges at most ``salt_factor``
-    rows per key. Equals the direct ``groupBy(key)``.
+                              num_partitions: int | None = None, explicit_repartition: bool = False) -> DataFrame:
+    """Spread rows by the composite key ``(key, salt)`` before aggregating by ``key``.
+
+    Grouping on ``(key, salt)`` hash-partitions on the composite key, so a hot
+    key is spread over ``salt_factor`` partitions, and its partial aggregate
+    runs before the exchange. The second aggregate merges at most
+    ``salt_factor`` rows per key. ``explicit_repartition`` adds
+    ``repartition(n, key, salt)`` first (the documented form); that ships raw
+    rows, since an aggregate above a user repartition gets no map-side stage.
+    Equals the direct ``groupBy(key)``.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
                                            F.lit(salt_factor)))
-    stage1 = (salted.repartition(n, key, "_salt")
-              .groupBy(key, "_salt")
+    if explicit_repartition:
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = salted.repartition(n, key, "_salt")
+    stage1 = (salted.groupBy(key, "_salt")
               .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(value).cast("decimal(18,2)")).alias("s")))
     return (stage1.groupBy(key).agg(F.sum("n").alias("row_count"), F.sum("s").alias("_s"))
                   .select(key, "row_count", to_double(F.col("_s")).alias("value_sum")))

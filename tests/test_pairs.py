@@ -78,8 +78,10 @@ def test_random_salt_overcounts_sessions(spark):
 
 def test_composite_key_repartition_equals_direct(spark):
     li = read_table(spark, SF01, "lineitem")
-    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", 8)) == \
-        rows(skew.direct_key_sums(li, "l_suppkey", "l_extendedprice"))
+    direct = rows(skew.direct_key_sums(li, "l_suppkey", "l_extendedprice"))
+    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", 8)) == direct
+    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", 8,
+                                               explicit_repartition=True)) == direct
 
 
 def test_global_ranks_equal_window_functions(spark):
