@@ -94,19 +94,30 @@ def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float
                   .select(key))
 
 
-def hot_key_join(big: DataFrame, small: DataFrame, on: str, hot: DataFrame, how: str = "inner") -> DataFrame:
-    """Join ``big`` to ``small`` (unique on ``on``) with hot keys isolated.
-
-    Rows of hot keys join a broadcast of the matching ``small`` rows (at most
-    one per hot key), so no task receives a hot key's rows; the rest joins
-    by the usual shuffle. The two parts are disjoint and are unioned.
+def hot_key_join(big: DataFrame, small: DataFrame, on: str, hot: DataFrame, how: str = "inner",
+                 small_unique: bool = True, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                 salt_buckets: int = 16) -> DataFrame:
+    """Join ``big`` to ``small`` with hot keys isolated.
+
+    Rows of hot keys join a broadcast of the matching ``small`` rows, so no
+    task receives a hot key's rows; the rest joins by the usual shuffle. The
+    two parts are disjoint and are unioned.
+
+    With ``small_unique`` (a dimension, or a table grouped on ``on``) the
+    broadcast holds at most one row per hot key, a bound by construction.
+    Otherwise its size is measured first, and beyond ``max_bytes`` the hot
+    part becomes a salted join (exact, both sides spread ``salt_buckets`` ways).
     """
     hot_b = F.broadcast(hot.select(on))
     big_hot = big.join(hot_b, on, "left_semi")
     big_cold = big.join(hot_b, on, "left_anti")
     small_hot = small.join(hot_b, on, "left_semi")
-    return (big_hot.join(F.broadcast(small_hot), on, how)
-                   .unionByName(big_cold.join(small, on, how)))
+    if small_unique:
+        hot_part = big_hot.join(F.broadcast(small_hot), on, how)
+    else:
+        side, ok = broadcast_if_bounded(small_hot, max_bytes)
+        hot_part = big_hot.join(side, on, how) if ok else salted_join(big_hot, small_hot, on, salt_buckets, how)
+    return hot_part.unionByName(big_cold.join(small, on, how))
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: str, buckets: int = 8, how: str = "inner") -> DataFrame:

@@ -124,3 +124,14 @@ def test_approx_distinct_mergeable_close_to_exact(spark):
     assert approx.keys() == exact.keys()
     for k in exact:
         assert abs(approx[k] - exact[k]) <= 0.03 * exact[k]
+
+
+def test_hot_key_join_with_duplicate_small_keys(spark):
+    """Not-unique small side: measured, and salted when too big to broadcast."""
+    o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey")
+    dup = read_table(spark, SF01, "orders").select("o_custkey", F.col("o_orderkey").alias("other"))
+    hot = joins.hot_keys(o, "o_custkey", share=0.0005)
+    plain = rows(o.join(dup, "o_custkey").select("o_custkey", "o_orderkey", "other"))
+    for max_bytes in (10, 1 << 30):
+        j = joins.hot_key_join(o, dup, "o_custkey", hot, "inner", small_unique=False, max_bytes=max_bytes)
+        assert rows(j.select("o_custkey", "o_orderkey", "other")) == plain
