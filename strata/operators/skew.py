@@ -143,7 +143,7 @@ def array_set_merge_by(clicks: DataFrame, key: str = "user_id", salt_factor: int
     stage1 = salted.groupBy(key, "_salt").agg(F.collect_set("event_type").alias("t"))
     return (stage1.groupBy(key).agg(array_set_merge(F.collect_list("t")).alias("_types"))
                   .select(key, F.array_join("_types", ",").alias("event_types"),
-                          F.size("_types").alias("type_count")))
+                          F.size("_types").cast("bigint").alias("type_count")))
 
 
 __all__ = [
