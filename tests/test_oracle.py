@@ -14,6 +14,8 @@ from oracle_check import TABLES, rows_of  # noqa: E402
 import __spark_entry__ as ent  # noqa: E402
 
 KEYS = sorted(ent.queries())
+SPARK_TO_DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+                 "TimestampNTZType": "TIMESTAMP", "BooleanType": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -36,10 +38,13 @@ def test_query_matches_oracle(spark, duck, key):
     if sql is None:
         assert len(s_rows) > 0
         return
-    res = duck.execute(sql)
-    d_cols = [c[0] for c in res.description]
+    rel = duck.sql(sql)
+    d_cols = list(rel.columns)
     assert sorted(s_cols) == sorted(d_cols)
-    assert rows_of(s_cols, s_rows) == rows_of(d_cols, res.fetchall())
+    s_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__)
+               for f in df.schema.fields}
+    assert s_types == {n: str(t) for n, t in zip(d_cols, rel.types)}
+    assert rows_of(s_cols, s_rows) == rows_of(d_cols, rel.fetchall())
 
 
 def test_entry_smoke(spark):
