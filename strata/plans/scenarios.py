@@ -22,7 +22,7 @@ from strata.sources import generators as gen
 # partitions 1.0 -> 10 %, skew: one key with 80 % (the documented case).
 SCENARIO_SKEW = {"memory": dict(hot_fraction=0.2), "shuffle": dict(hot_fraction=0.5),
                  "partitions": dict(hot_fraction=0.1), "broadcast": dict(hot_fraction=0.2),
-                 "skew": dict(hot_fraction=0.8, hot_keys=1)}
+                 "skew": dict(hot_fraction=0.8, hot_keys=1), "ranking": dict(hot_fraction=0.2)}
 DIM_ROWS = 100_000
 
 
@@ -81,7 +81,7 @@ def partitions(clicks: DataFrame, variant: str = "tuned") -> dict[str, DataFrame
 def broadcast(clicks: DataFrame, variant: str = "tuned") -> dict[str, DataFrame]:
     spark = clicks.sparkSession
     dim = gen.gen_user_dim(gen.ids(spark, DIM_ROWS))
-    fact = clicks.select("event_id", "user_id", "event_type", F.col("revenue").cast("double").alias("revenue"))
+    fact = clicks.select("event_id", "user_id", "event_type", "revenue")   # decimal: exact sums
     j = (joins.left_join_shuffle(fact, dim, "user_id") if variant == "plain"
          else joins.left_join_broadcast(fact, dim, "user_id"))
     return {"tier_stats": rollups.tier_revenue_per_user(j),
@@ -106,8 +106,19 @@ def skewed(clicks: DataFrame, variant: str = "tuned") -> dict[str, DataFrame]:
             "top_users": stats.orderBy(F.col("total_revenue").desc(), "user_id").limit(10)}
 
 
+def ranking_all(clicks: DataFrame, variant: str = "tuned") -> dict[str, DataFrame]:
+    """Rank and percentile of *every* user by revenue (most users tie at 0)."""
+    users = rollups.user_stats_basic(clicks).withColumn("v", F.col("total_revenue").cast("decimal(28,2)"))
+    if variant == "plain":
+        out = (users.withColumn("user_rank", F.row_number().over(Window.orderBy(F.col("v").desc(), "user_id")))
+                    .withColumn("ltv_percentile", F.percent_rank().over(Window.orderBy("v"))))
+    else:
+        out = ranking.global_percent_rank(users, "v", "user_id", "ltv_percentile", rank_col="user_rank")
+    return {"ranked_users": out}
+
+
 SCENARIOS = {"memory": memory, "shuffle": shuffle, "partitions": partitions, "broadcast": broadcast,
-             "skew": skewed}
+             "skew": skewed, "ranking": ranking_all}
 
 
 def generated_clicks(spark, rows: int, scenario: str, partitions_: int | None = None) -> DataFrame:

@@ -44,8 +44,58 @@ def tier_stats_sort_merge(spark: SparkSession, d: str) -> DataFrame:
     return rollups.tier_stats(j).drop("_rev_dec")
 
 
+def _customer_ltv(spark: SparkSession, d: str) -> DataFrame:
+    from strata.sources.tables import customer_orders
+
+    return (customer_orders(spark, d).groupBy("user_id")
+            .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue").alias("ltv")))
+
+
+def user_rank_single_partition(spark: SparkSession, d: str) -> DataFrame:
+    c = _customer_ltv(spark, d)
+    return c.withColumn("user_rank", F.row_number().over(Window.orderBy(F.col("ltv").desc(), "user_id")))
+
+
+def ltv_percentile_single_partition(spark: SparkSession, d: str) -> DataFrame:
+    c = _customer_ltv(spark, d)
+    return c.withColumn("ltv_percentile", F.percent_rank().over(Window.orderBy("ltv")))
+
+
+def orders_customer_plain_join(spark: SparkSession, d: str, how: str = "inner") -> DataFrame:
+    from strata.plans.queries import _orders_customer
+
+    o, c = _orders_customer(spark, d)
+    return o.join(c, "o_custkey", how)
+
+
+def orders_lineitem_shuffle_join(spark: SparkSession, d: str) -> DataFrame:
+    from strata.sources.tables import read_table
+
+    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey)
+
+
+def supplier_sums_direct(spark: SparkSession, d: str) -> DataFrame:
+    from strata.operators.skew import direct_key_sums
+    from strata.sources.tables import read_table
+
+    return direct_key_sums(read_table(spark, d, "lineitem"), "l_suppkey", "l_extendedprice")
+
+
+def skew_user_stats_direct(spark: SparkSession, d: str) -> DataFrame:
+    return rollups.skew_user_stats(clickstream(spark, d))
+
+
 PLAIN = {
     "top_users_ranked": top_users_ranked_single_partition,
+    "user_rank": user_rank_single_partition,
+    "ltv_percentile": ltv_percentile_single_partition,
     "salted_user_stats": salted_user_stats_random,
+    "hot_key_split_union": skew_user_stats_direct,
     "tier_stats": tier_stats_sort_merge,
+    "salted_join": lambda spark, d: orders_customer_plain_join(spark, d, "left"),
+    "hot_key_broadcast_join": orders_customer_plain_join,
+    "bucketed_join": orders_lineitem_shuffle_join,
+    "composite_key_repartition": supplier_sums_direct,
 }
