@@ -94,6 +94,22 @@ def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float
                   .select(key))
 
 
+MAX_HOT_KEYS = 10_000
+
+
+def bounded_key_list(keys: DataFrame, on: str, max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+    """A key list as a broadcastable DataFrame, or None when it is empty.
+
+    At most ``max_keys`` keys are fetched (one small driver round trip). Any
+    keys beyond that simply stay on the callers' cold (shuffle) path, where
+    they are still processed exactly.
+    """
+    rows = keys.select(on).limit(max_keys).collect()
+    if not rows:
+        return None
+    return F.broadcast(keys.sparkSession.createDataFrame(rows, keys.select(on).schema))
+
+
 def hot_key_join(big: DataFrame, small: DataFrame, on: str, hot: DataFrame, how: str = "inner",
                  small_unique: bool = True, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                  salt_buckets: int = 16) -> DataFrame:
@@ -108,7 +124,9 @@ def hot_key_join(big: DataFrame, small: DataFrame, on: str, hot: DataFrame, how:
     Otherwise its size is measured first, and beyond ``max_bytes`` the hot
     part becomes a salted join (exact, both sides spread ``salt_buckets`` ways).
     """
-    hot_b = F.broadcast(hot.select(on))
+    hot_b = bounded_key_list(hot, on)
+    if hot_b is None:          # no hot key: the plain join is the whole answer
+        return big.join(small, on, how)
     big_hot = big.join(hot_b, on, "left_semi")
     big_cold = big.join(hot_b, on, "left_anti")
     small_hot = small.join(hot_b, on, "left_semi")

@@ -81,11 +81,13 @@ def hot_key_split_union(clicks: DataFrame, key: str = "user_id", salt_factor: in
     Hot keys (bounded list, broadcast) go through the salted two-stage
     aggregate; the rest through the direct one. Same answer as the direct form.
     """
-    from strata.operators.joins import hot_keys
+    from strata.operators.joins import bounded_key_list, hot_keys
     from strata.operators.rollups import skew_user_stats
 
     hot = hot if hot is not None else hot_keys(clicks, key)
-    hot_b = F.broadcast(hot.select(key))
+    hot_b = bounded_key_list(hot, key)
+    if hot_b is None:          # nothing hot: the direct aggregate is the whole answer
+        return skew_user_stats(clicks)
     hot_part = salted_user_stats(clicks.join(hot_b, key, "left_semi"), salt_factor)
     cold_part = skew_user_stats(clicks.join(hot_b, key, "left_anti"))
     return hot_part.unionByName(cold_part)

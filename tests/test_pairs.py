@@ -19,11 +19,16 @@ def test_broadcast_equals_shuffle_join(spark):
 
 
 def test_broadcast_falls_back_when_too_big(spark):
-    fact = clickstream(spark, SF01).select("event_id", "user_id")
+    # Half of the events moved onto one user, so the fallback has a hot key to isolate.
+    fact = clickstream(spark, SF01).select(
+        "event_id", F.when(F.pmod("event_id", F.lit(2)) == 0, F.lit(1).cast("bigint"))
+                     .otherwise(F.col("user_id")).alias("user_id"))
     dim = user_dimension(spark, SF01)
     j = joins.left_join_broadcast(fact, dim, "user_id", max_bytes=10)
     plan = plan_text(j)
     assert "LeftAnti" in plan and "Union" in plan   # hot keys isolated, the rest shuffled
+    plain_fact = clickstream(spark, SF01).select("event_id", "user_id")
+    assert "Union" not in plan_text(joins.left_join_broadcast(plain_fact, dim, "user_id", max_bytes=10))
     assert rows(j) == rows(joins.left_join_shuffle(fact, dim, "user_id").select(*j.columns))
     plain = joins.left_join_broadcast(fact, dim, "user_id", max_bytes=10, skew_safe=False)
     assert rows(plain.select(*j.columns)) == rows(j)
