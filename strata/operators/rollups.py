@@ -29,30 +29,36 @@ def _sequence(list_col: str) -> F.Column:
     return F.array_join(F.transform(F.array_sort(list_col), lambda x: x["event_type"]), ",")
 
 
-def session_rollup(clicks: DataFrame, hot_share: float | None = None, chunk_events: int = 100_000) -> DataFrame:
+def session_rollup(clicks: DataFrame, chunk_events: int = 100_000) -> DataFrame:
     """Per session: events, revenue, ordered event sequence, first/last time.
 
     The sequence is ordered by ``(ts, event_id)`` (deterministic; the
     reference leaves list order undefined) and returned as a comma string.
 
-    A list can't be partially aggregated away, so a session holding a large
-    share of all rows would land whole in one task. Sessions with more than
-    ``hot_share`` of the rows (default: one partition's fair share; at most one
-    per partition, a bounded broadcast) are therefore built apart: their
-    events are numbered by the distributed row number and cut into chunks of
-    ``chunk_events``, one output row per chunk (``sequence_chunk`` = 0, 1, ...),
-    each with the session's totals. Every other session is one row, chunk 0.
+    A list can't be partially aggregated away: a session's whole list meets in
+    one task and one row. So a session with more than ``chunk_events`` events
+    is built apart: its events are numbered by the distributed row number and
+    cut into ordered chunks of ``chunk_events``, one output row per chunk
+    (``sequence_chunk`` = 0, 1, ...), each carrying the session's totals. Every
+    other session is one row, chunk 0. No list ever exceeds ``chunk_events``.
+
+    The big sessions are found by one partial aggregate. Up to
+    ``MAX_HOT_KEYS`` of them are broadcast (a bounded list); beyond that the
+    split is a shuffle semi/anti join, which stays exact for any number.
     """
+    from strata.operators.joins import MAX_HOT_KEYS
+
     spark = clicks.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = hot_share if hot_share is not None else 1.0 / parts
-    n = clicks.select(F.count(F.lit(1))).scalar()
     keys = ["user_id", "hour_start"]
-    per_session = clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # At most ``parts`` keys: a bounded list, fetched to choose the plan.
-    hot_list = (per_session.filter(F.col("_n") > n * F.lit(share))
-                .orderBy(F.col("_n").desc(), *keys).limit(parts).select(*keys).collect())
-    hot = F.broadcast(spark.createDataFrame(hot_list, per_session.select(*keys).schema)) if hot_list else None
+    big = (clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > F.lit(chunk_events)).select(*keys))
+    found = big.limit(MAX_HOT_KEYS + 1).collect()
+    if not found:
+        hot = None
+    elif len(found) <= MAX_HOT_KEYS:
+        hot = F.broadcast(spark.createDataFrame(found, big.schema))
+    else:
+        hot = big
 
     cold_src = clicks.join(hot, keys, "left_anti") if hot is not None else clicks
     cold = (cold_src.groupBy(*keys)
@@ -67,11 +73,7 @@ def session_rollup(clicks: DataFrame, hot_share: float | None = None, chunk_even
     out = cold
     if hot is not None:
         hot_events = clicks.join(hot, keys, "left_semi").select(*keys, "ts", "event_id", "event_type", "revenue")
-        hot_totals = (hot_events.groupBy(*keys)
-                      .agg(F.count(F.lit(1)).alias("event_count"), F.sum("revenue").alias("session_revenue"),
-                           F.min("ts").alias("session_start"), F.max("ts").alias("session_end")))
-        chunks = _hot_sequence_chunks(hot_events, keys, chunk_events)
-        out = out.unionByName(chunks.join(F.broadcast(hot_totals), keys).select(cold.columns))
+        out = out.unionByName(_hot_session_rows(hot_events, keys, chunk_events).select(cold.columns))
     return out.select(
         "user_id",
         session_id("user_id", "hour_start").alias("session_id"),
@@ -80,18 +82,30 @@ def session_rollup(clicks: DataFrame, hot_share: float | None = None, chunk_even
         "event_sequence", "session_start", "session_end")
 
 
-def _hot_sequence_chunks(hot_events: DataFrame, keys: list[str], chunk_events: int) -> DataFrame:
-    """Events of the (few, huge) hot sessions as bounded, ordered chunks."""
+def _hot_session_rows(hot_events: DataFrame, keys: list[str], chunk_events: int) -> DataFrame:
+    """Rows of the (few, huge) hot sessions: ordered chunks of at most
+    ``chunk_events`` events, each with its session's totals.
+
+    The events are numbered once (range partitioning + checkpoint, see
+    :mod:`strata.operators.ranking`); totals, first positions and chunks all
+    read that materialised table, so the source is scanned only for the
+    numbering. Totals and first positions have one row per hot session.
+    """
     from strata.operators.ranking import _with_offsets, ranked_partitions
 
     order = [F.col(k).asc() for k in keys] + [F.col("ts").asc(), F.col("event_id").asc()]
     numbered = _with_offsets(ranked_partitions(hot_events, order), "_rn")
-    # First row number of each hot session: one row per hot session (bounded).
-    first = numbered.groupBy(*keys).agg(F.min("_rn").alias("_first"))
-    pos = numbered.join(F.broadcast(first), keys).withColumn("_pos", F.col("_rn") - F.col("_first"))
-    return (pos.groupBy(*keys, F.floor(F.col("_pos") / F.lit(chunk_events)).cast("int").alias("sequence_chunk"))
-               .agg(F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"))
-               .select(*keys, "sequence_chunk", _sequence("_seq").alias("event_sequence")))
+    per = (numbered.groupBy(*keys)
+           .agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("event_count"),
+                F.sum("revenue").alias("session_revenue"),
+                F.min("ts").alias("session_start"), F.max("ts").alias("session_end")))
+    # One row per big session (at most rows / chunk_events of them): joined by key,
+    # AQE broadcasts it when it measures small.
+    pos = numbered.join(per.select(*keys, "_first"), keys).withColumn("_pos", F.col("_rn") - F.col("_first"))
+    chunks = (pos.groupBy(*keys, F.floor(F.col("_pos") / F.lit(chunk_events)).cast("int").alias("sequence_chunk"))
+                 .agg(F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"))
+                 .select(*keys, "sequence_chunk", _sequence("_seq").alias("event_sequence")))
+    return chunks.join(per.drop("_first"), keys)
 
 
 def session_totals(clicks: DataFrame) -> DataFrame:

@@ -67,3 +67,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/strata-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and return it
+    read back: the lineage is cut, and a lost executor re-reads files instead
+    of recomputing upstream shuffles.
+
+    Compared with ``DataFrame.checkpoint()`` (rows through the RDD checkpoint
+    writer and ``spark.serializer``) this is columnar and compressed, and reads
+    back with column pruning. Row order and partitioning are not kept; callers
+    that need positions store them as columns first.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -112,9 +112,10 @@ def test_null_user_never_matches(spark, mini_clicks, mini_users):
 
 
 def test_session_rollup_hot_sessions_in_chunks(spark, mini_clicks):
-    """Force every session hot and chunks of 1 event: chunks concatenate to the plain list."""
+    """Chunks of 1 event: sessions with 2 events are split, and chunks concatenate to the plain list."""
     plain = {(r["user_id"], r["session_id"]): r for r in rollups.session_rollup(mini_clicks).collect()}
-    hot = rollups.session_rollup(mini_clicks, hot_share=0.0, chunk_events=1).collect()
+    hot = rollups.session_rollup(mini_clicks, chunk_events=1).collect()
+    assert sum(1 for r in hot if r["sequence_chunk"] == 1) == 2   # users 2 and 5
     by = {}
     for r in hot:
         by.setdefault((r["user_id"], r["session_id"]), []).append(r)
