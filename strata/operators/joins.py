@@ -21,13 +21,7 @@ _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.L
           T.TimestampNTZType: 8, T.DecimalType: 16}
 
 
-def estimate_size_bytes(df: DataFrame) -> int:
-    """Bytes of ``df`` as rows in memory, measured with one aggregate.
-
-    Fixed-width columns count their width, strings and binaries their actual
-    length, plus a per-row overhead. Only run this on the side being
-    considered for a broadcast.
-    """
+def _row_widths(df: DataFrame) -> tuple[int, list]:
     fixed, var = 16, []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -35,13 +29,31 @@ def estimate_size_bytes(df: DataFrame) -> int:
             fixed += 8
         else:
             fixed += _WIDTH.get(type(f.dataType), 16)
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[v.alias(f"v{i}") for i, v in enumerate(var)]).first()
+    return fixed, var
+
+
+def estimate_size_bytes(df: DataFrame, row_cap: int | None = None) -> int:
+    """Bytes of ``df`` as rows in memory, measured with one aggregate.
+
+    Fixed-width columns count their width, strings and binaries their actual
+    length, plus a per-row overhead. With ``row_cap`` at most ``row_cap + 1``
+    rows are read, so the check costs O(row_cap) however large ``df`` is (the
+    answer is then a lower bound once the cap is hit).
+    """
+    fixed, var = _row_widths(df)
+    src = df.limit(row_cap + 1) if row_cap is not None else df
+    row = src.agg(F.count(F.lit(1)).alias("n"), *[v.alias(f"v{i}") for i, v in enumerate(var)]).first()
     return int(row["n"]) * fixed + sum(int(row[f"v{i}"]) for i in range(len(var)))
 
 
 def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` measures at most ``max_bytes``, else ``(df, False)``."""
-    if estimate_size_bytes(df) <= max_bytes:
+    """``(broadcast(df), True)`` if ``df`` measures at most ``max_bytes``, else ``(df, False)``.
+
+    No row is smaller than the fixed part of the schema, so more than
+    ``max_bytes / fixed`` rows can never fit: the measurement stops there.
+    """
+    fixed, _ = _row_widths(df)
+    if estimate_size_bytes(df, row_cap=max_bytes // fixed) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 

@@ -156,3 +156,14 @@ def test_scenarios_plain_and_tuned_agree(spark):
             a = [tuple(float(x) if hasattr(x, "as_tuple") else x for x in r) for r in plain[out].select(*cols).collect()]
             b = [tuple(float(x) if hasattr(x, "as_tuple") else x for x in r) for r in tuned[out].select(*cols).collect()]
             assert sorted(a, key=str) == sorted(b, key=str), (name, out)
+
+
+def test_size_check_is_bounded(spark):
+    li = read_table(spark, SF01, "lineitem")
+    full = joins.estimate_size_bytes(li)
+    assert full > 1_000_000
+    assert joins.estimate_size_bytes(li, row_cap=100) < full / 100
+    side, ok = joins.broadcast_if_bounded(li, max_bytes=10_000)
+    assert not ok
+    side, ok = joins.broadcast_if_bounded(read_table(spark, SF01, "nation"), max_bytes=10_000)
+    assert ok
