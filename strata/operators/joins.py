@@ -100,7 +100,8 @@ def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float
     counts = df if count_col else df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
     c = count_col or "_cnt"
     if total is None:
-        total = counts.select(F.sum(c)).scalar()
+        # A row count of the source, not a second pass of the grouping.
+        total = (counts.select(F.sum(c)) if count_col else df.select(F.count(F.lit(1)))).scalar()
     return (counts.filter(F.col(c) > total * F.lit(share))
                   .orderBy(F.col(c).desc(), F.col(key).asc()).limit(max_keys)
                   .select(key))
