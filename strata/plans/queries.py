@@ -55,8 +55,11 @@ JOINED_COLS = "e2.event_id, e2.ts, e2.user_id, e2.event_type, e2.revenue, e2.ses
 DIM_COLS = ["user_tier", "user_age", "country"]
 
 
-def _joined(spark, d, broadcast=True):
+def _joined(spark, d, broadcast=True, exact_revenue=False):
+    """Fact ⟕ user dimension. ``exact_revenue`` keeps revenue decimal for sums."""
     fact = _fact(spark, d)
+    if exact_revenue:
+        fact = _clicks(spark, d).select("event_id", "ts", "user_id", "event_type", "revenue", "session_id")
     dim = user_dimension(spark, d)
     j = (joins.left_join_broadcast(fact, dim, "user_id") if broadcast
          else joins.left_join_shuffle(fact, dim, "user_id"))
@@ -337,7 +340,7 @@ t AS (SELECT d.user_tier, count(*) AS event_count, count(DISTINCT e.user_id) AS
 SELECT user_tier, event_count, unique_users, rev::DOUBLE AS total_revenue, rev::DOUBLE / event_count AS avg_revenue
 FROM t""")
 def q_tier_stats(spark, d):
-    return rollups.tier_stats(_joined(spark, d)).drop("_rev_dec")
+    return rollups.tier_stats(_joined(spark, d, exact_revenue=True)).drop("_rev_dec")
 
 
 @register("tier_revenue_per_user", TIER_SQL + f"""
@@ -345,7 +348,7 @@ SELECT user_tier, event_count, unique_users, rev::DOUBLE AS total_revenue, rev::
        {ratio_2_sql('rev', 'unique_users')} AS revenue_per_user
 FROM t ORDER BY rev DESC""")
 def q_tier_revenue_per_user(spark, d):
-    return rollups.tier_revenue_per_user(_joined(spark, d)).orderBy(F.col("total_revenue").desc())
+    return rollups.tier_revenue_per_user(_joined(spark, d, exact_revenue=True)).orderBy(F.col("total_revenue").desc())
 
 
 @register("top_joined_events", f"""

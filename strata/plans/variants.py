@@ -37,10 +37,12 @@ def salted_user_stats_random(spark: SparkSession, d: str, salt: int = 10) -> Dat
 
 
 def tier_stats_sort_merge(spark: SparkSession, d: str) -> DataFrame:
-    from strata.plans.queries import _fact
     from strata.sources.tables import user_dimension
 
-    j = _fact(spark, d).join(user_dimension(spark, d).hint("merge"), "user_id", "left")
+    from strata.sources.tables import clickstream as _cs
+
+    fact = _cs(spark, d).select("event_id", "ts", "user_id", "event_type", "revenue", "session_id")
+    j = fact.join(user_dimension(spark, d).hint("merge"), "user_id", "left")
     return rollups.tier_stats(j).drop("_rev_dec")
 
 

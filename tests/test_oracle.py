@@ -9,8 +9,11 @@ import pytest
 from conftest import SF001
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+import oracle_check  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
 
+oracle_check.STRICT = True   # exact floats: the results must agree bit for bit
+
 import __spark_entry__ as ent  # noqa: E402
 
 KEYS = sorted(ent.queries())
