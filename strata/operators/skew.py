@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import array_set_merge, sorted_join
+from strata.functions.columns import array_set_merge
 from strata.functions.money import ratio_2, to_double
 
 
@@ -151,5 +151,5 @@ def array_set_merge_by(clicks: DataFrame, key: str = "user_id", salt_factor: int
 __all__ = [
     "key_frequency_top", "skew_report", "salted_user_stats", "hot_key_split_union",
     "composite_key_repartition", "direct_key_sums", "approx_distinct_mergeable",
-    "array_set_merge_by", "sorted_join",
+    "array_set_merge_by",
 ]
