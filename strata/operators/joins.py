@@ -165,8 +165,13 @@ def salted_join(big: DataFrame, small: DataFrame, on: str, buckets: int = 8, how
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
-    """Save ``df`` as a table bucketed and sorted by ``key`` at ``path``; return it read back."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    """Save ``df`` as a table bucketed and sorted by ``key`` at ``path``; return it read back.
+
+    Written straight from M input tasks, a bucketed write makes up to M x
+    ``buckets`` files. Hash-partitioning on the key into ``buckets`` partitions
+    first (the hash the bucketing uses) gives one file per bucket.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
        .option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 

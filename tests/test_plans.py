@@ -102,3 +102,16 @@ def test_hot_key_join_broadcasts_only_the_hot_part(spark):
     c = read_table(spark, SF01, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     t = _run(joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey", share=0.0005), "inner"))
     assert "LeftSemi" in t and "LeftAnti" in t and "Union" in t
+
+
+def test_bucketed_write_has_one_file_per_bucket(spark):
+    import os
+
+    from strata.session import scratch_dir
+    from strata.sources.tables import read_table
+
+    path = scratch_dir(spark, "t-bucketed")
+    li = read_table(spark, SF01, "lineitem").repartition(5)
+    joins.write_bucketed(li, "strata_t_bucketed", "l_orderkey", 4, path)
+    files = [f for f in os.listdir(path.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) == 4
