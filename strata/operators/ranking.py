@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.session import reliable_checkpoint
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
 
 
@@ -44,7 +46,7 @@ def top_k_ranked(df: DataFrame, value: str, key: str, k: int = 1000,
     (e.g. a two-level rollup over the fact table) runs once.
     """
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = reliable_checkpoint(df)
     n = df.select(F.count(F.lit(1))).scalar()
     top = df.orderBy(*_order(value, key, True)).limit(k)
     top = top.withColumn(rank_col, F.row_number().over(Window.orderBy(*_order(value, key, True)))
@@ -77,7 +79,7 @@ def ranked_partitions(df: DataFrame, order: list[Column], num_partitions: int |
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    return tagged.checkpoint(eager=True)
+    return reliable_checkpoint(tagged)
 
 
 def _with_offsets(tagged: DataFrame, rank_col: str) -> DataFrame:
@@ -120,8 +122,8 @@ def global_percent_rank(df: DataFrame, value: str, key: str, pct_col: str = "per
     rc = rank_col or "_rank"
     ranked = global_row_number(df, value, key, True, rc, num_partitions)
     # One row per distinct value, read three times below: materialise it.
-    per_value = (ranked.groupBy(value).agg(F.max(rc).alias("_ge"), F.count(F.lit(1)).alias("_cnt"))
-                       .checkpoint(eager=True))
+    per_value = reliable_checkpoint(
+        ranked.groupBy(value).agg(F.max(rc).alias("_ge"), F.count(F.lit(1)).alias("_cnt")))
     n = per_value.select(F.sum("_cnt")).scalar()
     hot = hot_keys(per_value, value, count_col="_cnt", share=hot_share, total=n)
     valued = ranked.filter(F.col(value).isNotNull())

@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import reliable_checkpoint
+
 from strata.functions.columns import hour_key
 from strata.functions.money import to_double
 
@@ -41,7 +43,7 @@ def multi_rollup(clicks: DataFrame) -> DataFrame:
     The session table is checkpointed once (eagerly) and both rollups read it;
     the result is the two rollups stacked with a ``rollup`` label.
     """
-    sessions = session_level(clicks).checkpoint(eager=True)
+    sessions = reliable_checkpoint(session_level(clicks))
     agg = [F.count(F.lit(1)).alias("sessions"), F.sum("c").alias("events"), F.sum("r").alias("_r")]
     users = sessions.groupBy("user_id").agg(*agg).select(
         F.lit("user").alias("rollup"), F.col("user_id").cast("string").alias("key"), "sessions", "events", "_r")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import hour_floor, money
 from strata.operators import joins, layout, ranking, rollups, skew
-from strata.session import scratch_dir
+from strata.session import reliable_checkpoint, scratch_dir
 from strata.sources import generators as gen
 
 # Generator settings per scenario (hot share of rows), after the reference's
@@ -39,7 +39,7 @@ def memory(clicks: DataFrame, variant: str = "tuned", k: int = 1000) -> dict[str
     profiles = rollups.user_profiles(clicks)
     if variant != "plain":
         # Read by the top-k (three times) and the distribution: compute once.
-        profiles = profiles.checkpoint(eager=True)
+        profiles = reliable_checkpoint(profiles)
     if variant == "plain":
         r = (profiles.withColumn("user_rank", F.row_number().over(Window.orderBy(F.col("lifetime_value").desc())))
              .withColumn("ltv_percentile", F.percent_rank().over(Window.orderBy("lifetime_value"))))

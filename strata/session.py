@@ -82,3 +82,11 @@ def materialize(df, name: str = "materialized"):
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the session's checkpoint folder
+    (registered from ``spark.checkpoint.dir`` when needed). Never a local
+    checkpoint: executors may be lost."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
