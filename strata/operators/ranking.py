@@ -7,7 +7,8 @@ same numbers with distributed plans:
 * :func:`top_k_ranked` - the first ``k`` rows by value, with their
   ``row_number`` and ``percent_rank`` over the *whole* table. Only ``k`` rows
   (plus ``k`` distinct values) ever meet in one task; the table size enters as
-  a scalar subquery.
+  a scalar subquery. For ``k`` above ``TOP_K_SINGLE_TASK`` the distributed
+  rank below is used instead.
 * :func:`global_row_number` - the rank of every row: range partitioning,
   a checkpoint so both uses see the same partitions, per-partition counts
   (one row per partition) turned into offsets, then a broadcast of those
@@ -32,9 +33,13 @@ def _order(value: str, key: str, descending: bool) -> list[Column]:
     return [v, F.col(key).asc()]
 
 
+# Largest k served by a single top-k task; beyond it the distributed rank is used.
+TOP_K_SINGLE_TASK = 100_000
+
+
 def top_k_ranked(df: DataFrame, value: str, key: str, k: int = 1000,
                  rank_col: str = "user_rank", pct_col: str = "ltv_percentile",
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, single_task_limit: int = TOP_K_SINGLE_TASK) -> DataFrame:
     """Top ``k`` rows by ``value`` desc (ties by ``key`` asc).
 
     ``rank_col`` = row_number in that order; ``pct_col`` = percent_rank of the
@@ -45,6 +50,11 @@ def top_k_ranked(df: DataFrame, value: str, key: str, k: int = 1000,
     with ``materialize`` it is checkpointed first so an expensive upstream
     (e.g. a two-level rollup over the fact table) runs once.
     """
+    if k > single_task_limit:
+        # k rows (and k distinct values) would meet in one task: rank everything
+        # distributed instead and keep the first k.
+        ranked = global_percent_rank(df, value, key, pct_col, rank_col=rank_col)
+        return ranked.filter(F.col(rank_col) <= k)
     if materialize:
         df = reliable_checkpoint(df)
     n = df.select(F.count(F.lit(1))).scalar()

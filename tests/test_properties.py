@@ -37,6 +37,9 @@ def test_top_k_equals_window(spark, vals, k):
              .filter(F.col("r") <= k))
     got = ranking.top_k_ranked(df, "v", "id", k, "r", "p", materialize=False)
     assert rows(got, "id", "r", "p") == rows(ref, "id", "r", "p")
+    # Past the single-task limit the distributed path must give the same rows.
+    dist = ranking.top_k_ranked(df, "v", "id", k, "r", "p", single_task_limit=0)
+    assert rows(dist, "id", "r", "p") == rows(ref, "id", "r", "p")
 
 
 events = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 47), st.sampled_from(["view", "click", "purchase"]),
