@@ -1,0 +1,9 @@
+"""DataFrame -> DataFrame operators.
+
+``rollups`` (sessions, users, buckets, tiers), ``ranking`` (distributed ranks
+and top-k), ``joins`` (checked broadcasts, salting, hot keys, buckets),
+``skew`` (detection, exact salted aggregates), ``layout`` (sinks, file sizes,
+sorts), ``runlog`` (run metrics from event logs).
+"""
+
+from strata.operators import joins, layout, ranking, rollups, runlog, skew  # noqa: F401
