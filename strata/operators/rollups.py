@@ -86,26 +86,39 @@ def _hot_session_rows(hot_events: DataFrame, keys: list[str], chunk_events: int)
     """Rows of the (few, huge) hot sessions: ordered chunks of at most
     ``chunk_events`` events, each with its session's totals.
 
-    The events are numbered once (range partitioning + checkpoint, see
-    :mod:`strata.operators.ranking`); totals, first positions and chunks all
-    read that materialised table, so the source is scanned only for the
-    numbering. Totals and first positions have one row per hot session.
+    The events are numbered once by the distributed row number (range
+    partitioning + checkpoint, see :mod:`strata.operators.ranking`) in
+    ``(session, ts, event_id)`` order, and cut at *global* multiples of
+    ``chunk_events``: each ``(session, cut)`` group is a contiguous run of at
+    most ``chunk_events`` events, aggregated with a partial stage. Chunk order
+    and session totals then come from a window over that chunk table, which
+    holds about ``events / chunk_events`` rows per session. No join touches
+    the events themselves.
     """
     from strata.operators.ranking import _with_offsets, ranked_partitions
 
     order = [F.col(k).asc() for k in keys] + [F.col("ts").asc(), F.col("event_id").asc()]
     numbered = _with_offsets(ranked_partitions(hot_events, order), "_rn")
-    per = (numbered.groupBy(*keys)
-           .agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("event_count"),
-                F.sum("revenue").alias("session_revenue"),
-                F.min("ts").alias("session_start"), F.max("ts").alias("session_end")))
-    # One row per big session (at most rows / chunk_events of them): joined by key,
-    # AQE broadcasts it when it measures small.
-    pos = numbered.join(per.select(*keys, "_first"), keys).withColumn("_pos", F.col("_rn") - F.col("_first"))
-    chunks = (pos.groupBy(*keys, F.floor(F.col("_pos") / F.lit(chunk_events)).cast("int").alias("sequence_chunk"))
-                 .agg(F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"))
-                 .select(*keys, "sequence_chunk", _sequence("_seq").alias("event_sequence")))
-    return chunks.join(per.drop("_first"), keys)
+    cut = F.floor((F.col("_rn") - F.lit(1)) / F.lit(chunk_events)).alias("_cut")
+    # The lists: one row per (session, cut), each at most chunk_events long.
+    seqs = (numbered.groupBy(*keys, cut)
+            .agg(F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"))
+            .select(*keys, "_cut", _sequence("_seq").alias("event_sequence")))
+    # Chunk order and session totals on the same keys, without the lists, so the
+    # window below never moves sequence data.
+    per_session = Window.partitionBy(*keys)
+    meta = (numbered.groupBy(*keys, cut)
+             .agg(F.count(F.lit(1)).alias("_c"), F.sum("revenue").alias("_r"),
+                  F.min("ts").alias("_s"), F.max("ts").alias("_e"))
+             .select(*keys, "_cut",
+                     (F.row_number().over(per_session.orderBy("_cut")) - F.lit(1)).cast("int")
+                      .alias("sequence_chunk"),
+                     F.sum("_c").over(per_session).alias("event_count"),
+                     F.sum("_r").over(per_session).alias("session_revenue"),
+                     F.min("_s").over(per_session).alias("session_start"),
+                     F.max("_e").over(per_session).alias("session_end")))
+    # (session, cut) is unique on both sides: an even join.
+    return seqs.join(meta, [*keys, "_cut"]).drop("_cut")
 
 
 def session_totals(clicks: DataFrame) -> DataFrame:
