@@ -126,3 +126,16 @@ def test_session_rollup_hot_sessions_in_chunks(spark, mini_clicks):
         assert ",".join(r["event_sequence"] for r in rs) == plain[k]["event_sequence"]
         assert all(r["event_count"] == plain[k]["event_count"] for r in rs)
         assert all(r["session_revenue"] == plain[k]["session_revenue"] for r in rs)
+
+
+def test_session_rollup_many_big_sessions_use_shuffle_split(mini_clicks, monkeypatch):
+    """More big sessions than the broadcast cap: the split becomes a shuffle semi/anti join."""
+    from strata.operators import joins
+
+    plain = sorted((r["session_id"], r["event_sequence"]) for r in rollups.session_rollup(mini_clicks).collect())
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
+    out = rollups.session_rollup(mini_clicks, chunk_events=1).collect()
+    parts = {}
+    for r in out:
+        parts.setdefault(r["session_id"], []).append((r["sequence_chunk"], r["event_sequence"]))
+    assert sorted((k, ",".join(x for _, x in sorted(v))) for k, v in parts.items()) == plain
