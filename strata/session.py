@@ -25,12 +25,21 @@ LOCAL_CONFS = {
 }
 
 
+def _default_driver_memory() -> str:
+    """60 % of physical memory, between 2 and 16 GiB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (AttributeError, ValueError, OSError):
+        return "4g"
+    return f"{max(2, min(16, int(total * 0.6 / 2 ** 30)))}g"
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """A ``local[cpus]`` session for tests and benchmarks."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g")))
+               .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", _default_driver_memory())))
     for k, v in {**LOCAL_CONFS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
