@@ -115,3 +115,18 @@ def test_bucketed_write_has_one_file_per_bucket(spark):
     joins.write_bucketed(li, "strata_t_bucketed", "l_orderkey", 4, path)
     files = [f for f in os.listdir(path.replace("file:", "")) if f.endswith(".parquet")]
     assert len(files) == 4
+
+
+def test_composite_key_aggregates_before_its_exchange(spark):
+    t = _run(QUERIES["composite_key_repartition"](spark, SF01))
+    lines = t.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert exchanges
+    for i in exchanges:
+        assert "HashAggregate" in lines[i + 1] and "partial_" in lines[i + 1], lines[i + 1]
+
+
+def test_enriched_sessions_use_a_window_not_a_join(spark):
+    t = _run(QUERIES["filter_positive_sessions"](spark, SF01))
+    assert "Window" in t and "Join" not in t
+    assert count_nodes(t.split("== Initial Plan ==")[0], "Exchange") == 2
