@@ -588,3 +588,49 @@ def q_multi_stage_rollup(spark, d):
 
     return returned_revenue_by_nation_year(read_table(spark, d, "lineitem"), read_table(spark, d, "orders"),
                                            read_table(spark, d, "customer"), read_table(spark, d, "nation"))
+
+
+# ---------------------------------------------------------------------------
+# The same operators on the second inputs SURVEY §8 names (more keys, more ties)
+# ---------------------------------------------------------------------------
+
+def _customer_ltv(spark, d):
+    return (customer_orders(spark, d).groupBy("user_id")
+            .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue").alias("lifetime_value")))
+
+
+@register("ltv_distribution_orders", f"""
+WITH {CUSTOMER_LTV}
+SELECT {ratio_2_sql('sum(ltv)', 'count(ltv)')} AS avg_ltv, round(stddev_samp(ltv::DOUBLE), 2) AS stddev_ltv,
+       min(ltv)::DOUBLE AS min_ltv, max(ltv)::DOUBLE AS max_ltv, sum(ltv)::DOUBLE AS total_revenue
+FROM c""")
+def q_ltv_distribution_orders(spark, d):
+    return rollups.ltv_distribution(_customer_ltv(spark, d))
+
+
+@register("key_frequency_top_orders", """
+SELECT o_custkey, count(*) AS "count" FROM orders GROUP BY o_custkey ORDER BY "count" DESC, o_custkey LIMIT 5""")
+def q_key_frequency_top_orders(spark, d):
+    return skew.key_frequency_top(read_table(spark, d, "orders"), "o_custkey", 5)
+
+
+@register("skew_report_lineitem", f"""
+WITH k AS (SELECT l_partkey, count(*) AS c FROM lineitem GROUP BY l_partkey),
+t AS (SELECT count(*) AS keys, sum(c)::BIGINT AS rows, max(c) AS max_count, median(c)::DOUBLE AS median_count FROM k)
+SELECT keys, rows, max_count, {ratio_2_sql('max_count * 100', 'rows')} AS max_share_pct, median_count,
+       {ratio_2_sql('max_count::DECIMAL(38,2) * 2', '(median_count * 2)::BIGINT')} AS max_to_median
+FROM t""")
+def q_skew_report_lineitem(spark, d):
+    return skew.skew_report(read_table(spark, d, "lineitem"), "l_partkey")
+
+
+@register("top_customers_ranked", f"""
+WITH {CUSTOMER_LTV},
+r AS (SELECT *, row_number() OVER (ORDER BY ltv DESC, user_id) AS user_rank,
+             percent_rank() OVER (ORDER BY ltv) AS ltv_percentile FROM c)
+SELECT user_id, order_count, ltv::DOUBLE AS lifetime_value, user_rank, ltv_percentile
+FROM r WHERE user_rank <= {TOP_K}""")
+def q_top_customers_ranked(spark, d):
+    t = ranking.top_k_ranked(_customer_ltv(spark, d), "lifetime_value", "user_id", TOP_K)
+    return t.select("user_id", "order_count", to_double(F.col("lifetime_value")).alias("lifetime_value"),
+                    "user_rank", "ltv_percentile")
