@@ -46,6 +46,13 @@ def summary(text: str) -> dict:
 BOUNDED = {"skew_report": "window over the frequency-of-counts table, < sqrt(2*rows) rows"}
 
 
+def _bounded(key: str) -> str:
+    for prefix, why in BOUNDED.items():
+        if key.startswith(prefix):
+            return "bounded: " + why
+    return "NO"
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     import __spark_entry__ as ent
@@ -65,7 +72,7 @@ def main():
         pushed = "; ".join(p.replace("|", "/") for p in s["pushed"]) or "-"
         print(f"| `{k}` | {s['hash_exchanges']} | {s['range_exchanges']} | {s['round_robin']} | {s['single_partition']} | "
               f"{s['broadcasts']} | {s['bhj']} | {s['smj']} | {'yes' if s['skew_split'] else '-'} | {s['window']} | "
-              f"{s['top_k']} | {'yes' if s['single_ok'] else 'bounded: ' + BOUNDED[k] if k in BOUNDED else 'NO'} | "
+              f"{s['top_k']} | {'yes' if s['single_ok'] else _bounded(k)} | "
               f"{pushed} |", flush=True)
 
 
