@@ -3,8 +3,9 @@
 Production logs hold one line per task and reach many gigabytes; they are
 read as an ordinary distributed JSON scan with an explicit schema (no
 inference pass), one row per event, with ``log_path`` naming the log (one
-application) each row came from. Logs must be written uncompressed and
-unrolled (``spark.eventLog.compress=false``, ``spark.eventLog.rolling.enabled=false``).
+application) each row came from. Logs must be uncompressed
+(``spark.eventLog.compress=false``); rolling logs (a folder of
+``events_<n>_<app>`` files) are read as one application.
 """
 
 from __future__ import annotations
@@ -51,5 +52,9 @@ def read_event_log(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     run metrics use are kept, filtered right after the scan."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.schema(EVENT_LOG_SCHEMA).json(paths)
-    return (df.withColumn("log_path", F.col("_metadata.file_path"))
+    # A rolling log is a folder ``eventlog_v2_<app>`` of ``events_<n>_<app>``
+    # files: all of them belong to one application, named by the folder.
+    path = F.col("_metadata.file_path")
+    rolled = F.regexp_extract(path, r"^(.*/eventlog_v2_[^/]+)/events_[^/]+$", 1)
+    return (df.withColumn("log_path", F.when(rolled != "", rolled).otherwise(path))
               .filter(F.col("Event").isin(*EVENTS_USED)))

@@ -92,6 +92,14 @@ def main():
         with open(os.path.join(HERE, name), "w") as f:
             for e in ev:
                 f.write(json.dumps(e) + "\n")
+    # The "before" log again, rolled into two files of one application folder.
+    rolled = os.path.join(HERE, "eventlog_v2_app-before")
+    os.makedirs(rolled, exist_ok=True)
+    half = len(before) // 2
+    for i, part in enumerate((before[:half], before[half:]), start=1):
+        with open(os.path.join(rolled, f"events_{i}_app-before"), "w") as f:
+            for e in part:
+                f.write(json.dumps(e) + "\n")
 
 
 if __name__ == "__main__":

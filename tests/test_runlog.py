@@ -56,3 +56,12 @@ def test_two_logs_read_together(spark):
     both = read_event_log(spark, [BEFORE, AFTER])
     assert runlog.app_summary(both).count() == 2
     assert runlog.stage_metrics(both).count() == 4
+
+
+def test_rolling_log_is_one_application(spark, before):
+    rolled = read_event_log(spark, os.path.join(FX, "eventlog_v2_app-before"))
+    s = runlog.app_summary(rolled).collect()
+    assert len(s) == 1 and s[0]["log_path"].endswith("eventlog_v2_app-before")
+    plain = runlog.app_summary(before).first()
+    for col in ("status", "duration_sec", "tasks", "failed_tasks", "records", "memory_utilisation_pct", "gc_pct"):
+        assert s[0][col] == plain[col], col
