@@ -82,3 +82,19 @@ def test_cached_releases(spark):
     with cached(e) as c:
         assert c.is_cached and c.count() == 150
     assert not e.is_cached
+
+
+def test_cached_rollups_equal_checkpointed(spark):
+    """The persist/unpersist path gives the same two rollups as the checkpointed one."""
+    from pyspark.sql import functions as F
+
+    from strata.plans.reuse import multi_rollup, session_level
+    from strata.sources.tables import clickstream
+
+    clicks = clickstream(spark, SF01)
+    expected = rows(multi_rollup(clicks).filter("rollup = 'user'").select("key", "sessions", "events"))
+    with cached(session_level(clicks)) as sessions:
+        users = sessions.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("c").alias("events"))
+        got = rows(users.select(F.col("user_id").cast("string").alias("key"), "sessions", "events"))
+        hours = sessions.groupBy("hour_start").count().count()
+    assert got == expected and hours > 0
