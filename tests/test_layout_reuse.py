@@ -72,7 +72,8 @@ def test_large_sort_is_ordered_across_partitions(spark):
 
 def test_write_format_round_trip(spark):
     e = read_table(spark, SF01, "events")
-    for fmt, opts in (("parquet", {}), ("orc", {}), ("json", {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})):
+    ntz = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    for fmt, opts in (("parquet", {}), ("orc", {}), ("json", ntz), ("csv", {**ntz, "header": "true"})):
         back = layout.write_format(e, scratch_dir(spark, f"t-{fmt}"), fmt, **opts)
         assert rows(back) == rows(e), fmt
 
