@@ -71,3 +71,19 @@ def test_session_chunks_reassemble(spark, evs, chunk):
         assert len(r["event_sequence"].split(",")) <= chunk
         parts.setdefault(r["session_id"], []).append((r["sequence_chunk"], r["event_sequence"]))
     assert {s: ",".join(x for _, x in sorted(p)) for s, p in parts.items()} == plain
+
+
+@SETTINGS
+@given(keys=st.lists(st.integers(min_value=0, max_value=12), min_size=1, max_size=120))
+def test_skew_report_equals_brute_force(spark, keys):
+    import statistics
+    from collections import Counter
+
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
+    r = skew.skew_report(df, "k").first()
+    counts = sorted(Counter(keys).values())
+    assert (r["keys"], r["rows"], r["max_count"]) == (len(counts), len(keys), max(counts))
+    assert r["median_count"] == float(statistics.median(counts))
+    assert r["max_share_pct"] == float(
+        __import__("decimal").Decimal(100 * max(counts)) .__truediv__(len(keys))
+        .quantize(__import__("decimal").Decimal("0.01"), rounding="ROUND_HALF_UP"))
