@@ -87,3 +87,16 @@ def test_skew_report_equals_brute_force(spark, keys):
     assert r["max_share_pct"] == float(
         __import__("decimal").Decimal(100 * max(counts)) .__truediv__(len(keys))
         .quantize(__import__("decimal").Decimal("0.01"), rounding="ROUND_HALF_UP"))
+
+
+@SETTINGS
+@given(evs=events, salt=st.integers(min_value=1, max_value=9))
+def test_array_set_merge_equals_python_sets(spark, evs, salt):
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, base + dt.timedelta(minutes=30 * h), u, t, c / 100.0) for i, (u, h, t, c) in enumerate(evs)]
+    clicks = with_session_columns(spark.createDataFrame(data, EVENTS_DDL))
+    want = {}
+    for u, _, t, _ in evs:
+        want.setdefault(u, set()).add(t)
+    got = {r["user_id"]: (r["event_types"], r["type_count"]) for r in skew.array_set_merge_by(clicks, "user_id", salt).collect()}
+    assert got == {u: (",".join(sorted(ts)), len(ts)) for u, ts in want.items()}
