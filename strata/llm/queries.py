@@ -5,9 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import simhash
+from strata.llm import langid, packing, secrets, simhash, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +32,72 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 4-word shingles, linked at 4 or fewer differing bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def held_out(modulus: int, remainder: int):
+    """crc32 of the decimal doc_id, modulo ``modulus``; false for a null id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Naive Bayes language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.withColumn("held_out", held_out(4, 2)), train_on=~F.col("held_out"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the public 49k word vocabulary."""
+    counted = table(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        tokencount.token_count(F.col("text"), public_tokenizers.path("word_bpe_49k.json")).alias("n_tokens"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 ids of the public 50k byte vocabulary."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+# The rules of the query, and the names whose domains are on its blocklist.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+BLOCKED_NAMES = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+BLOCKED_UNDER = ["example.com", "example.net", "example.org"]
+
+
+@query("op3_url_filter", f"""
+WITH split AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split),
+ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL OR regexp_matches(host, '(^|\\.)({"|".join(BLOCKED_NAMES)})\\.example\\.(com|net|org)$') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled""")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules first, then the blocklist through a Bloom filter cascade over every domain in the table."""
+    blocklist = spark.createDataFrame([(f"{n}.{u}",) for n in BLOCKED_NAMES for u in BLOCKED_UNDER], "domain string")
+    judged = urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES, blocklist)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, each distinct text scanned once per rule version."""
+    found, _ = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[F.coalesce(f"found.n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(secrets.listing(F.col("found.base")), 256).alias("base_sha256"),
+                        secrets.listing(F.col("found.spans")).alias("spans"))
