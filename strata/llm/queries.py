@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import langid, packing, secrets, simhash, tokencount, urlfilter
+from strata.llm import langid, packing, secrets, simhash, substrings, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,11 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.coalesce(f"found.n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
                         F.sha2(secrets.listing(F.col("found.base")), 256).alias("base_sha256"),
                         secrets.listing(F.col("found.spans")).alias("spans"))
+
+
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words outside every repeated window of 35 words, over all documents."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
