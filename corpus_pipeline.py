@@ -1,24 +1,69 @@
 """The corpus pipeline: ``STAGES`` over the documents table, each stage written
-as Parquet and read again as the next one's input."""
+as Parquet and read again as the next one's input.
+
+Each stage works on everything its predecessor kept. All but the last return
+the columns of ``documents`` (extra columns pass through).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import simhash
+from strata.llm import decontam, langid, packing, secrets, simhash
 from strata.session import materialize
 
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a determinable language go: no letters, null, or no
+    language at least as likely as all others together. The model is learned
+    from all documents that name theirs; without any, documents stay."""
+    found = langid.identify(docs, train_on=F.col("lang").isNotNull())
+    if docs.where("lang is not null and text is not null").isEmpty():
+        return docs
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each group of near copies: the smallest doc_id.
-    Documents without an id belong to no group and stay."""
+    """One document stays of each group of near copies: the smallest doc_id,
+    once. Documents without an id belong to no group and stay."""
     found = simhash.near_duplicates(docs, shingle=4, max_bits=4)
-    kept = found.where("doc_id = component_id or doc_id is null").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+            .unionByName(docs.where("doc_id is null")).select(docs.columns))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go, all copies of a
+    text alike."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    key = secrets.blob_id(F.col("text"))
+    hits = decontam.contamination(docs.select(key.alias("_key"), "text"), benchmark, id_col="_key")
+    hits = materialize(hits.select("_key").distinct(), "contaminated")
+    return docs.withColumn("_key", key).join(hits, "_key", "left_anti").select(docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; all documents stay."""
+    found, _ = secrets.find_secrets(docs)
+    text = secrets.redact(F.col("text"), F.col("found.cuts"))
+    return found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as pieces of sequences of 2048 ids."""
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [
+    ("language", language),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secrets", redact_secrets),
+    ("packing", pack),
 ]
 
 #: The stages' models, tokenizer and hashes have no SQL form; tests/llm compare with brute force.

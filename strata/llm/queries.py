@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import decontam, langid, packing, secrets, simhash, substrings, tokencount, urlfilter
+from strata.llm import (decontam, langid, packing, secrets, simhash, substrings, tokencount, topk, toxicity,
+                        urlfilter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +116,19 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item, or one with other values in its slots."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of four fifths of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(5, 0))
+    labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
+    classifier = toxicity.train(docs.where("not held_out"), labels)
+    scored = docs.select("doc_id", "held_out", classifier.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op10_top_k")
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector, over all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
