@@ -8,7 +8,9 @@ command-line use.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,33 +53,51 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory.
+    """Return the session's checkpoint directory, as ``spark.checkpoint.dir`` names it.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is used as is. Only when it is unset (local tests) a fresh scratch
-    folder is created and registered.
+    On a cluster it has to be set, to a folder that the driver and every
+    executor share. Only where the driver is the one executor (a ``local``
+    master, as in tests) a fresh scratch folder is made when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(path)
+    if not current:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="strata-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []     # folders handed out by this process
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates, under the checkpoint directory.
 
     Written tables must live on storage every executor can reach, so they go
     beside the checkpoints rather than in a machine-local temp folder.
+    :func:`release_scratch` deletes them.
     """
-    import uuid
-
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/strata-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Drop the ``strata_*`` tables and delete the scratch folders that this
+    process made; returns how many folders it deleted. Call it when no
+    DataFrame built on them is needed any more."""
+    for t in spark.catalog.listTables():
+        if t.name.startswith("strata_"):
+            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+    jvm, conf, gone = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def materialize(df, name: str = "materialized"):

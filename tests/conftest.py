@@ -16,6 +16,9 @@ def spark():
 
     s = local_session("*", shuffle_partitions=8, app_name="strata-tests")
     yield s
+    from strata.session import release_scratch
+
+    release_scratch(s)
     s.stop()
 
 
