@@ -14,8 +14,7 @@ CLICKS = """e AS (
 USER_DIM = f"""d AS (
   SELECT c_custkey AS user_id, c_mktsegment AS user_tier,
          CAST(({int_mix_sql('c_custkey', 7)}) % 100 AS INTEGER) AS user_age, n_name AS country
-  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 3 <> 0)"""
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 PROFILES = """s AS (
   SELECT user_id, session_id, count(*) AS c, sum(revenue) AS r, max(ts) AS m FROM e GROUP BY user_id, session_id),
