@@ -5,17 +5,20 @@ An unpartitioned window (``row_number() over (order by v)``) plans an
 same numbers with distributed plans:
 
 * :func:`top_k_ranked` - the first ``k`` rows by value, with their
-  ``row_number`` and ``percent_rank`` over the *whole* table. Only ``k`` rows
-  (plus ``k`` distinct values) ever meet in one task; the table size enters as
-  a scalar subquery. For ``k`` above ``TOP_K_SINGLE_TASK`` the distributed
-  rank below is used instead.
+  ``row_number`` and ``percent_rank`` over the *whole* table. Each partition
+  passes on its ``k`` best rows (and ``k`` largest distinct values), so the
+  merging task receives at most ``k`` x partitions; the table size enters as a
+  scalar subquery.
 * :func:`global_row_number` - the rank of every row: range partitioning,
   a checkpoint so both uses see the same partitions, per-partition counts
   (one row per partition) turned into offsets, then a broadcast of those
   offsets. The broadcast is bounded by the partition count, not the data.
 * :func:`global_percent_rank` - ``percent_rank`` of every row from the same
-  ordering: ``(n - last_rank_of_value) / (n - 1)``, joined back on the value
-  with hot values split off (see :func:`strata.operators.joins.hot_key_join`).
+  ordering: ``(n - last_rank_of_value) / (n - 1)``. The last rank comes from
+  the end of the value's run in its range partition; only values whose run
+  crosses partitions (fewer than there are partitions) are corrected.
+* :func:`numbered_within` - the position of every row within its group, for
+  groups of any size.
 """
 
 from __future__ import annotations
@@ -33,28 +36,20 @@ def _order(value: str, key: str, descending: bool) -> list[Column]:
     return [v, F.col(key).asc()]
 
 
-# Largest k served by a single top-k task; beyond it the distributed rank is used.
-TOP_K_SINGLE_TASK = 100_000
-
-
 def top_k_ranked(df: DataFrame, value: str, key: str, k: int = 1000,
                  rank_col: str = "user_rank", pct_col: str = "ltv_percentile",
-                 materialize: bool = True, single_task_limit: int = TOP_K_SINGLE_TASK) -> DataFrame:
-    """Top ``k`` rows by ``value`` desc (ties by ``key`` asc).
+                 materialize: bool = True) -> DataFrame:
+    """Top ``k`` rows by ``value`` desc (ties by ``key`` asc), in that order.
 
     ``rank_col`` = row_number in that order; ``pct_col`` = percent_rank of the
     value in ascending order over all rows of ``df`` (ties share the lowest
-    rank, a single row gives 0.0).
+    rank, a single row gives 0.0). To rank everything use
+    :func:`global_percent_rank`.
 
     ``df`` is read three times (the top k, the distinct values, the count);
     with ``materialize`` it is checkpointed first so an expensive upstream
     (e.g. a two-level rollup over the fact table) runs once.
     """
-    if k > single_task_limit:
-        # k rows (and k distinct values) would meet in one task: rank everything
-        # distributed instead and keep the first k.
-        ranked = global_percent_rank(df, value, key, pct_col, rank_col=rank_col)
-        return ranked.filter(F.col(rank_col) <= k)
     if materialize:
         df = reliable_checkpoint(df)
     n = df.select(F.count(F.lit(1))).scalar()
@@ -92,7 +87,7 @@ def ranked_partitions(df: DataFrame, order: list[Column], num_partitions: int |
     return reliable_checkpoint(tagged)
 
 
-def _with_offsets(tagged: DataFrame, rank_col: str) -> DataFrame:
+def _with_offsets(tagged: DataFrame, rank_col: str, keep_partition: bool = False) -> DataFrame:
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
@@ -106,7 +101,7 @@ def _with_offsets(tagged: DataFrame, rank_col: str) -> DataFrame:
     return (tagged.withColumn("_pid", pid)
                   .join(F.broadcast(offsets), "_pid")
                   .withColumn(rank_col, F.col("_off") + local + F.lit(1))
-                  .drop("_pid", "_off", "_mid"))
+                  .drop("_off", "_mid", *([] if keep_partition else ["_pid"])))
 
 
 def global_row_number(df: DataFrame, value: str, key: str, descending: bool = True,
@@ -117,32 +112,50 @@ def global_row_number(df: DataFrame, value: str, key: str, descending: bool = Tr
 
 
 def global_percent_rank(df: DataFrame, value: str, key: str, pct_col: str = "percent_rank",
-                        rank_col: str | None = None, num_partitions: int | None = None,
-                        hot_share: float | None = None) -> DataFrame:
+                        rank_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """``percent_rank() over (order by value)`` for every row, distributed.
 
     Built on the descending row number: the rows with a value >= v end at the
     largest rank among rows of value v, so ``percent_rank = (n - that) / (n - 1)``.
-    The per-value maxima come from a partial aggregate; joining them back is
-    an equi-join on the value, where one value may own a third of the rows,
-    so it goes through :func:`hot_key_join`.
+    Within a range partition that rank is the end of the value's run, a window
+    over (partition, value). Only a run that reaches into the next partition
+    ends elsewhere; those ends are one row per such value, fewer than there are
+    partitions, and are broadcast. No row is joined on its value otherwise.
     """
-    from strata.operators.joins import hot_key_join, hot_keys
-
+    tagged = ranked_partitions(df, _order(value, key, True), num_partitions)
     rc = rank_col or "_rank"
-    ranked = global_row_number(df, value, key, True, rc, num_partitions)
-    # One row per distinct value, read three times below: materialise it.
-    per_value = reliable_checkpoint(
-        ranked.groupBy(value).agg(F.max(rc).alias("_ge"), F.count(F.lit(1)).alias("_cnt")))
-    n = per_value.select(F.sum("_cnt")).scalar()
-    hot = hot_keys(per_value, value, count_col="_cnt", share=hot_share, total=n)
-    valued = ranked.filter(F.col(value).isNotNull())
-    joined = hot_key_join(valued, per_value.select(value, "_ge"), value, hot, how="inner")
-    pct = F.when(n > 1, (n - F.col("_ge")).cast("double") / (n - 1)).otherwise(F.lit(0.0))
-    out = joined.withColumn(pct_col, pct).drop("_ge")
-    # NULL sorts first in ascending order: rank 1, percent_rank 0.
-    nulls = ranked.filter(F.col(value).isNull()).withColumn(pct_col, F.lit(0.0))
-    out = out.unionByName(nulls)
-    if rank_col is None:
-        out = out.drop("_rank")
-    return out
+    ranked = _with_offsets(tagged, rc, keep_partition=True)
+    ends = ranked.groupBy("_pid", value).agg(F.max(rc).alias("_e"))
+    crossing = (ends.groupBy(F.col(value).alias("_v")).agg(F.max("_e").alias("_end"), F.count(F.lit(1)).alias("_parts"))
+                .filter("_parts > 1").select("_v", "_end"))
+    n = tagged.select(F.count(F.lit(1))).scalar()
+    run_end = F.max(rc).over(Window.partitionBy("_pid", value))
+    out = (ranked.withColumn("_run", run_end)
+           .join(F.broadcast(crossing), F.col(value).eqNullSafe(F.col("_v")), "left"))
+    last = F.coalesce("_end", "_run")
+    pct = F.when(n > 1, (n - last).cast("double") / (n - 1)).otherwise(F.lit(0.0))
+    # NULL sorts last in descending order, so its run ends at n: percent_rank 0.
+    return out.withColumn(pct_col, pct).drop("_pid", "_run", "_v", "_end", *([] if rank_col else ["_rank"]))
+
+
+def numbered_within(df: DataFrame, group: list[str], order: list[str], position_col: str = "position",
+                    num_partitions: int | None = None) -> DataFrame:
+    """Position (from 1) of every row within its group, NULL keys forming groups
+    like any other. ``order`` has to make the order total.
+
+    Rows are range-partitioned by (group, order), so a group of any size is
+    spread evenly. Rows are counted within (partition, group); the first group
+    of a partition may have begun earlier, and goes on from there. Those
+    starts are at most one row per partition and are broadcast.
+    """
+    columns = [F.col(c).asc() for c in (*group, *order)]
+    tagged = ranked_partitions(df, columns, num_partitions).withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
+    sizes = tagged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    carried = (sizes.withColumn("_before", before).filter("_before > 0")
+               .select(F.col("_pid").alias("_p"), F.struct(*group).alias("_group"), "_before"))
+    local = F.row_number().over(Window.partitionBy("_pid", *group).orderBy("_mid"))
+    out = (tagged.withColumn("_local", local)
+           .join(F.broadcast(carried), (F.col("_pid") == F.col("_p")) & F.struct(*group).eqNullSafe(F.col("_group")), "left"))
+    return (out.withColumn(position_col, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint"))
+            .drop("_mid", "_pid", "_local", "_p", "_group", "_before"))

@@ -21,104 +21,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import hour_key, revenue_bucket, session_id, sorted_join
+from strata.functions.columns import hour_key, revenue_bucket, session_id
 from strata.functions.money import ratio_2, to_double
 
 
-def _sequence(list_col: str) -> F.Column:
-    return F.array_join(F.transform(F.array_sort(list_col), lambda x: x["event_type"]), ",")
+def session_rollup(clicks: DataFrame) -> DataFrame:
+    """One row per session, whatever its size: events, revenue, first/last time.
 
+    Sessions with a NULL user or time are rows like any other. The events of a
+    session in order are :func:`session_sequence`.
+    """
+    return session_totals(clicks).select(
+        "user_id", session_id("user_id", "hour_start").alias("session_id"), "event_count",
+        to_double(F.col("session_revenue")).alias("session_revenue"), "session_start", "session_end")
 
-def session_rollup(clicks: DataFrame, chunk_events: int = 100_000) -> DataFrame:
-    """Per session: events, revenue, ordered event sequence, first/last time.
-
-    The sequence is ordered by ``(ts, event_id)`` (deterministic; the
-    reference leaves list order undefined) and returned as a comma string.
 
-    A list can't be partially aggregated away: a session's whole list meets in
-    one task and one row. So a session with more than ``chunk_events`` events
-    is built apart: its events are numbered by the distributed row number and
-    cut into ordered chunks of ``chunk_events``, one output row per chunk
-    (``sequence_chunk`` = 0, 1, ...), each carrying the session's totals. Every
-    other session is one row, chunk 0. No list ever exceeds ``chunk_events``.
+def session_sequence(clicks: DataFrame) -> DataFrame:
+    """One row per event: its session and its position there, from 1, by
+    ``(ts, event_id)``.
 
-    The big sessions are found by one partial aggregate. Up to
-    ``MAX_HOT_KEYS`` of them are broadcast (a bounded list); beyond that the
-    split is a shuffle semi/anti join, which stays exact for any number.
-    """
-    from strata.operators.joins import MAX_HOT_KEYS
-
-    spark = clicks.sparkSession
-    keys = ["user_id", "hour_start"]
-    big = (clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > F.lit(chunk_events)).select(*keys))
-    found = big.limit(MAX_HOT_KEYS + 1).collect()
-    if not found:
-        hot = None
-    elif len(found) <= MAX_HOT_KEYS:
-        hot = F.broadcast(spark.createDataFrame(found, big.schema))
-    else:
-        hot = big
-
-    cold_src = clicks.join(hot, keys, "left_anti") if hot is not None else clicks
-    cold = (cold_src.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.sum("revenue").alias("session_revenue"),
-                 F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"),
-                 F.min("ts").alias("session_start"),
-                 F.max("ts").alias("session_end"))
-            .select(*keys, F.lit(0).alias("sequence_chunk"), "event_count", "session_revenue",
-                    _sequence("_seq").alias("event_sequence"), "session_start", "session_end"))
-
-    out = cold
-    if hot is not None:
-        hot_events = clicks.join(hot, keys, "left_semi").select(*keys, "ts", "event_id", "event_type", "revenue")
-        out = out.unionByName(_hot_session_rows(hot_events, keys, chunk_events).select(cold.columns))
-    return out.select(
-        "user_id",
-        session_id("user_id", "hour_start").alias("session_id"),
-        "sequence_chunk", "event_count",
-        to_double(F.col("session_revenue")).alias("session_revenue"),
-        "event_sequence", "session_start", "session_end")
-
-
-def _hot_session_rows(hot_events: DataFrame, keys: list[str], chunk_events: int) -> DataFrame:
-    """Rows of the (few, huge) hot sessions: ordered chunks of at most
-    ``chunk_events`` events, each with its session's totals.
-
-    The events are numbered once by the distributed row number (range
-    partitioning + checkpoint, see :mod:`strata.operators.ranking`) in
-    ``(session, ts, event_id)`` order, and cut at *global* multiples of
-    ``chunk_events``: each ``(session, cut)`` group is a contiguous run of at
-    most ``chunk_events`` events, aggregated with a partial stage. Chunk order
-    and session totals then come from a window over that chunk table, which
-    holds about ``events / chunk_events`` rows per session. No join touches
-    the events themselves.
+    This is the session's event list in long form: a list in one row would have
+    to meet in one task, and has no bound. The numbering is distributed
+    (:func:`strata.operators.ranking.numbered_within`), so a session with most
+    of all events is spread like the rest.
     """
-    from strata.operators.ranking import _with_offsets, ranked_partitions
-
-    order = [F.col(k).asc() for k in keys] + [F.col("ts").asc(), F.col("event_id").asc()]
-    numbered = _with_offsets(ranked_partitions(hot_events, order), "_rn")
-    cut = F.floor((F.col("_rn") - F.lit(1)) / F.lit(chunk_events)).alias("_cut")
-    # The lists: one row per (session, cut), each at most chunk_events long.
-    seqs = (numbered.groupBy(*keys, cut)
-            .agg(F.collect_list(F.struct("ts", "event_id", "event_type")).alias("_seq"))
-            .select(*keys, "_cut", _sequence("_seq").alias("event_sequence")))
-    # Chunk order and session totals on the same keys, without the lists, so the
-    # window below never moves sequence data.
-    per_session = Window.partitionBy(*keys)
-    meta = (numbered.groupBy(*keys, cut)
-             .agg(F.count(F.lit(1)).alias("_c"), F.sum("revenue").alias("_r"),
-                  F.min("ts").alias("_s"), F.max("ts").alias("_e"))
-             .select(*keys, "_cut",
-                     (F.row_number().over(per_session.orderBy("_cut")) - F.lit(1)).cast("int")
-                      .alias("sequence_chunk"),
-                     F.sum("_c").over(per_session).alias("event_count"),
-                     F.sum("_r").over(per_session).alias("session_revenue"),
-                     F.min("_s").over(per_session).alias("session_start"),
-                     F.max("_e").over(per_session).alias("session_end")))
-    # (session, cut) is unique on both sides: an even join.
-    return seqs.join(meta, [*keys, "_cut"]).drop("_cut")
+    from strata.operators.ranking import numbered_within
+
+    events = clicks.select("user_id", "hour_start", "ts", "event_id", "event_type")
+    placed = numbered_within(events, ["user_id", "hour_start"], ["ts", "event_id"])
+    return placed.select("user_id", session_id("user_id", "hour_start").alias("session_id"), "position",
+                         "event_id", "event_type", "ts")
 
 
 def session_totals(clicks: DataFrame) -> DataFrame:
@@ -252,15 +184,16 @@ def revenue_buckets(stats: DataFrame, with_avg_events: bool = True) -> DataFrame
     return out.select(*cols)
 
 
-def skew_user_stats(clicks: DataFrame) -> DataFrame:
-    """Per user: count, revenue, distinct sessions and the set of event types."""
-    return (clicks.groupBy("user_id")
+def skew_user_stats(clicks: DataFrame, key: str = "user_id") -> DataFrame:
+    """Per ``key`` (a user): count, revenue, distinct session hours and the
+    event types as a sorted array."""
+    return (clicks.groupBy(key)
             .agg(F.count(F.lit(1)).alias("event_count"),
                  F.sum("revenue").alias("_rev"),
                  F.countDistinct("hour_start").alias("session_count"),
                  F.collect_set("event_type").alias("_types"))
-            .select("user_id", "event_count", to_double(F.col("_rev")).alias("total_revenue"),
-                    "session_count", sorted_join("_types").alias("event_types")))
+            .select(key, "event_count", to_double(F.col("_rev")).alias("total_revenue"),
+                    "session_count", F.array_sort("_types").alias("event_types")))
 
 
 def tier_stats(joined: DataFrame) -> DataFrame:

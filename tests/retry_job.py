@@ -38,7 +38,7 @@ def main(sf_dir):
 
     checks = {
         "salted_user_stats": lambda inj: skew.salted_user_stats(clicks(inj), 10),
-        "session_rollup": lambda inj: rollups.session_rollup(clicks(inj), chunk_events=50),
+        "session_sequence": lambda inj: rollups.session_sequence(clicks(inj)),
         "global_row_number": lambda inj: ranking.global_row_number(
             customer_orders(spark, sf_dir).repartition(4).withColumn("user_id", inj(F.col("user_id")))
             .groupBy("user_id").agg(F.sum("revenue").alias("ltv")), "ltv", "user_id", True, "r", 4),

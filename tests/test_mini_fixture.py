@@ -16,12 +16,14 @@ def test_user_stats(mini_clicks):
 
 def test_session_rollup_hour_boundary_and_order(mini_clicks):
     out = rollups.session_rollup(mini_clicks)
-    got = rows(out, "user_id", "session_id", "event_count", "session_revenue", "event_sequence")
-    assert got == [
-        (1, "session_1_2024010110", 1, 99.99, "purchase"), (1, "session_1_2024010111", 1, 0.01, "purchase"),
-        (2, "session_2_2024010110", 2, 999.99, "purchase,click"),
-        (3, "session_3_2024010110", 1, 1000.00, "purchase"),
-        (4, "session_4_2024010110", 1, 0.0, "view"), (5, "session_5_2024010110", 2, 0.0, "view,click")]
+    assert rows(out, "user_id", "session_id", "event_count", "session_revenue") == [
+        (1, "session_1_2024010110", 1, 99.99), (1, "session_1_2024010111", 1, 0.01), (2, "session_2_2024010110", 2, 999.99),
+        (3, "session_3_2024010110", 1, 1000.00), (4, "session_4_2024010110", 1, 0.0), (5, "session_5_2024010110", 2, 0.0)]
+    placed = rows(rollups.session_sequence(mini_clicks), "session_id", "position", "event_type")
+    assert placed == [
+        ("session_1_2024010110", 1, "purchase"), ("session_1_2024010111", 1, "purchase"),
+        ("session_2_2024010110", 1, "purchase"), ("session_2_2024010110", 2, "click"), ("session_3_2024010110", 1, "purchase"),
+        ("session_4_2024010110", 1, "view"), ("session_5_2024010110", 1, "view"), ("session_5_2024010110", 2, "click")]
 
 
 def test_revenue_buckets_edges(mini_clicks):
@@ -111,31 +113,20 @@ def test_null_user_never_matches(spark, mini_clicks, mini_users):
     assert rows(j.groupBy("user_tier").count()) == [(None, 4), ("Premium", 5)]
 
 
-def test_session_rollup_hot_sessions_in_chunks(spark, mini_clicks):
-    """Chunks of 1 event: sessions with 2 events are split, and chunks concatenate to the plain list."""
-    plain = {(r["user_id"], r["session_id"]): r for r in rollups.session_rollup(mini_clicks).collect()}
-    hot = rollups.session_rollup(mini_clicks, chunk_events=1).collect()
-    assert sum(1 for r in hot if r["sequence_chunk"] == 1) == 2   # users 2 and 5
-    by = {}
-    for r in hot:
-        by.setdefault((r["user_id"], r["session_id"]), []).append(r)
-    assert by.keys() == plain.keys()
-    for k, rs in by.items():
-        rs.sort(key=lambda r: r["sequence_chunk"])
-        assert [r["sequence_chunk"] for r in rs] == list(range(len(rs)))
-        assert ",".join(r["event_sequence"] for r in rs) == plain[k]["event_sequence"]
-        assert all(r["event_count"] == plain[k]["event_count"] for r in rs)
-        assert all(r["session_revenue"] == plain[k]["session_revenue"] for r in rs)
-
-
-def test_session_rollup_many_big_sessions_use_shuffle_split(mini_clicks, monkeypatch):
-    """More big sessions than the broadcast cap: the split becomes a shuffle semi/anti join."""
-    from strata.operators import joins
-
-    plain = sorted((r["session_id"], r["event_sequence"]) for r in rollups.session_rollup(mini_clicks).collect())
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 1)
-    out = rollups.session_rollup(mini_clicks, chunk_events=1).collect()
-    parts = {}
-    for r in out:
-        parts.setdefault(r["session_id"], []).append((r["sequence_chunk"], r["event_sequence"]))
-    assert sorted((k, ",".join(x for _, x in sorted(v))) for k, v in parts.items()) == plain
+def test_sessions_of_any_size_and_null_keys(spark):
+    """One session with 80 % of the events and one with NULL keys: one rollup
+    row each, and positions that count their events in order."""
+    from pyspark.sql import Window
+
+    ids = spark.range(2000).withColumnRenamed("id", "event_id")
+    clicks = ids.select(
+        "event_id", F.timestamp_seconds(F.pmod(F.xxhash64("event_id"), F.lit(3600))).cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("event_id") < 1600, 7).when(F.col("event_id") < 1900, F.lit(None)).otherwise(F.col("event_id")).cast("bigint").alias("user_id"),
+        F.lit("click").alias("event_type"), F.lit(1).cast("decimal(18,2)").alias("revenue"))
+    clicks = clicks.withColumn("hour_start", F.when(F.col("user_id").isNotNull(), F.lit("1970-01-01").cast("timestamp_ntz")))
+    sessions = rows(rollups.session_rollup(clicks), "event_count")
+    assert len(sessions) == 102 and (1600,) in sessions and (300,) in sessions
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = rows(clicks.select("user_id", F.row_number().over(w).alias("position"), "event_id"))
+    assert rows(rollups.session_sequence(clicks), "user_id", "position", "event_id") == want
+    assert rollups.session_sequence(clicks.limit(0)).count() == 0
