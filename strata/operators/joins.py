@@ -1,59 +1,60 @@
 """Joins: shuffle vs broadcast, size-checked broadcast, salting, hot keys, buckets.
 
-Broadcasting is only done for a side whose size is *checked* (one aggregate
-over that side, never over the big one) or bounded by construction (a hot-key
-list capped at a number of keys, a table of one row per partition). Beyond
-the bound every operator falls back to a shuffle join, which AQE may still
-convert or split at run time.
+A side is broadcast only when its size has been *measured* (one distributed
+aggregate over that side, never over the big one) or is bounded by
+construction: keys that hold more than a share ``s`` of the rows are fewer than
+``1 / s``. Beyond the bound every operator falls back to a shuffle join, which
+AQE may still convert or split at run time.
+
+The skew joins take ``inner`` and ``left`` only: they replicate or split the
+small side, so its unmatched rows can't be told from the parts alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_OVERHEAD = 16
 
-# In-memory bytes per value of the fixed-width types (nested types: a guess).
+# In-memory bytes per value of the fixed-width types.
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
           T.FloatType: 4, T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8,
           T.TimestampNTZType: 8, T.DecimalType: 16}
 
 
-def _row_widths(df: DataFrame) -> tuple[int, list]:
-    fixed, var = 16, []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            var.append(F.coalesce(F.sum(F.octet_length(F.col(f"`{f.name}`"))), F.lit(0)))
-            fixed += 8
-        else:
-            fixed += _WIDTH.get(type(f.dataType), 16)
-    return fixed, var
-
+def _value_bytes(f: T.StructField) -> Column | int:
+    """In-memory bytes of a column's values: a number if all are alike, else an expression."""
+    c = F.col(f"`{f.name}`")
+    if type(f.dataType) in _WIDTH:
+        return _WIDTH[type(f.dataType)]
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(8) + F.coalesce(F.octet_length(c), F.lit(0))
+    # Nested: an element takes at least two characters of JSON and eight bytes
+    # of memory, so four bytes a character is an upper bound.
+    return F.lit(8) + 4 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
-def estimate_size_bytes(df: DataFrame, row_cap: int | None = None) -> int:
-    """Bytes of ``df`` as rows in memory, measured with one aggregate.
 
-    Fixed-width columns count their width, strings and binaries their actual
-    length, plus a per-row overhead. With ``row_cap`` at most ``row_cap + 1``
-    rows are read, so the check costs O(row_cap) however large ``df`` is (the
-    answer is then a lower bound once the cap is hit).
-    """
-    fixed, var = _row_widths(df)
-    src = df.limit(row_cap + 1) if row_cap is not None else df
-    row = src.agg(F.count(F.lit(1)).alias("n"), *[v.alias(f"v{i}") for i, v in enumerate(var)]).first()
-    return int(row["n"]) * fixed + sum(int(row[f"v{i}"]) for i in range(len(var)))
+def estimate_size_bytes(df: DataFrame) -> int:
+    """Bytes of ``df`` as rows in memory, from one partially aggregated count
+    and sum. Fixed-width columns count their width, strings and binaries their
+    length, nested columns a bound from their JSON; every row some overhead."""
+    widths = [_value_bytes(f) for f in df.schema.fields]
+    fixed = ROW_OVERHEAD + sum(w for w in widths if isinstance(w, int))
+    row = F.lit(fixed).cast("bigint")
+    for w in widths:
+        if not isinstance(w, int):
+            row = row + w
+    return int(df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"])
 
 
 def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` measures at most ``max_bytes``, else ``(df, False)``.
-
-    No row is smaller than the fixed part of the schema, so more than
-    ``max_bytes / fixed`` rows can never fit: the measurement stops there.
-    """
-    fixed, _ = _row_widths(df)
-    if estimate_size_bytes(df, row_cap=max_bytes // fixed) <= max_bytes:
+    """``(broadcast(df), True)`` if ``df`` measures at most ``max_bytes``, else ``(df, False)``."""
+    if estimate_size_bytes(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
@@ -76,7 +77,6 @@ def left_join_broadcast(fact: DataFrame, dim: DataFrame, on: str,
     Beyond that the join shuffles; with ``skew_safe`` the fact's hot keys are
     found first (one partial aggregate over the key column) and joined to a
     broadcast of their few dimension rows, so no reducer receives a hot key.
-    ``dim`` must be unique on ``on`` (a dimension).
     """
     side, ok = broadcast_if_bounded(dim, max_bytes)
     if ok or not skew_safe:
@@ -84,84 +84,108 @@ def left_join_broadcast(fact: DataFrame, dim: DataFrame, on: str,
     return hot_key_join(fact, dim, on, hot_keys(fact, on), how="left")
 
 
-def hot_keys(df: DataFrame, key: str, count_col: str | None = None, share: float | None = None,
-             max_keys: int | None = None, total=None) -> DataFrame:
-    """Keys holding more than ``share`` of the rows, at most ``max_keys`` of them.
-
-    ``share`` defaults to one partition's fair share (1 / shuffle partitions):
-    fewer keys than partitions can exceed it, so the default cap of one key per
-    partition loses none. The result is small by construction and safe to
-    broadcast; keys beyond the cap are still joined exactly, by the cold path.
-    """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    share = share if share is not None else 1.0 / parts
-    max_keys = max_keys or parts
-    counts = df if count_col else df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-    c = count_col or "_cnt"
-    if total is None:
-        # A row count of the source, not a second pass of the grouping.
-        total = (counts.select(F.sum(c)) if count_col else df.select(F.count(F.lit(1)))).scalar()
-    return (counts.filter(F.col(c) > total * F.lit(share))
-                  .orderBy(F.col(c).desc(), F.col(key).asc()).limit(max_keys)
-                  .select(key))
+HOT_TO_MEDIAN = 10
 
 
-MAX_HOT_KEYS = 10_000
+def fair_share(df: DataFrame) -> float:
+    """One shuffle partition's share of the rows."""
+    return 1.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bounded_key_list(keys: DataFrame, on: str, max_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
-    """A key list as a broadcastable DataFrame, or None when it is empty.
+def hot_keys(df: DataFrame, key: str, share: float | None = None, to_median: float = HOT_TO_MEDIAN) -> DataFrame:
+    """Keys (not NULL) that hold more than ``share`` of the rows and more than
+    ``to_median`` times the median key's rows.
 
-    At most ``max_keys`` keys are fetched (one small driver round trip). Any
-    keys beyond that simply stay on the callers' cold (shuffle) path, where
-    they are still processed exactly.
+    ``share`` defaults to one partition's fair share. Fewer than ``1 / share``
+    keys can exceed it, which bounds the list; the second test keeps tables of
+    few or even keys from counting as skewed.
     """
-    rows = keys.select(on).limit(max_keys).collect()
+    share = share if share is not None else fair_share(df)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
+    whole = counts.agg(F.sum("_cnt").alias("n"), F.percentile_approx("_cnt", 0.5).alias("m"))
+    total, median = whole.select("n").scalar(), whole.select("m").scalar()
+    return counts.filter((F.col("_cnt") > total * F.lit(share)) & (F.col("_cnt") > median * F.lit(to_median))
+                         & F.col(key).isNotNull()).select(key)
+
+
+def bounded_key_list(keys: DataFrame, on: str) -> DataFrame | None:
+    """The keys of :func:`hot_keys` as a broadcastable DataFrame, or None when
+    there are none (one small driver round trip)."""
+    rows = keys.select(on).collect()
     if not rows:
         return None
     return F.broadcast(keys.sparkSession.createDataFrame(rows, keys.select(on).schema))
 
 
+def _checked(how: str) -> str:
+    if how not in ("inner", "left"):
+        raise ValueError(f"a skew join can be inner or left, not {how}")
+    return how
+
+
+def _row_hash(df: DataFrame, row_key: list[str] | None) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in row_key or df.columns])
+
+
+def _shuffle_join(big: DataFrame, small: DataFrame, on: str, how: str, row_key: list[str] | None) -> DataFrame:
+    """``big.join(small, on, how)`` with the rows of a NULL key spread.
+
+    They match nothing, but a left join would send them all to one reducer. A
+    second join column holds a row hash for them, and 0 for everything else on
+    both sides. (An inner join drops them before its exchange.)
+    """
+    if how == "inner":
+        return big.join(small, on, how)
+    spread = F.when(F.col(on).isNull(), _row_hash(big, row_key)).otherwise(F.lit(0).cast("bigint"))
+    return (big.withColumn("_spread", spread)
+            .join(small.withColumn("_spread", F.lit(0).cast("bigint")), [on, "_spread"], how).drop("_spread"))
+
+
 def hot_key_join(big: DataFrame, small: DataFrame, on: str, hot: DataFrame, how: str = "inner",
-                 small_unique: bool = True, max_bytes: int = DEFAULT_BROADCAST_BYTES,
-                 salt_buckets: int = 16) -> DataFrame:
-    """Join ``big`` to ``small`` with hot keys isolated.
+                 max_bytes: int = DEFAULT_BROADCAST_BYTES, row_key: list[str] | None = None) -> DataFrame:
+    """Join ``big`` to ``small`` (``inner`` or ``left``) with hot keys isolated.
 
     Rows of hot keys join a broadcast of the matching ``small`` rows, so no
     task receives a hot key's rows; the rest joins by the usual shuffle. The
-    two parts are disjoint and are unioned.
-
-    With ``small_unique`` (a dimension, or a table grouped on ``on``) the
-    broadcast holds at most one row per hot key, a bound by construction.
-    Otherwise its size is measured first, and beyond ``max_bytes`` the hot
-    part becomes a salted join (exact, both sides spread ``salt_buckets`` ways).
+    two parts are disjoint and are unioned. The broadcast side is measured;
+    beyond ``max_bytes`` the hot part becomes a salted join, for which
+    ``row_key`` names columns that tell the rows of ``big`` apart (all columns
+    if not given).
     """
+    _checked(how)
     hot_b = bounded_key_list(hot, on)
     if hot_b is None:          # no hot key: the plain join is the whole answer
-        return big.join(small, on, how)
+        return _shuffle_join(big, small, on, how, row_key)
+    side, ok = broadcast_if_bounded(small.join(hot_b, on, "left_semi"), max_bytes)
     big_hot = big.join(hot_b, on, "left_semi")
-    big_cold = big.join(hot_b, on, "left_anti")
-    small_hot = small.join(hot_b, on, "left_semi")
-    if small_unique:
-        hot_part = big_hot.join(F.broadcast(small_hot), on, how)
-    else:
-        side, ok = broadcast_if_bounded(small_hot, max_bytes)
-        hot_part = big_hot.join(side, on, how) if ok else salted_join(big_hot, small_hot, on, salt_buckets, how)
-    return hot_part.unionByName(big_cold.join(small, on, how))
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: str, buckets: int = 8, how: str = "inner") -> DataFrame:
-    """Equi-join with every key split ``buckets`` ways.
-
-    The big side's salt is a hash of the whole row (deterministic, so a retried
-    task sends each row to the same bucket); the small side is replicated once
-    per salt value. A hot key's rows spread over ``buckets`` tasks.
+    hot_part = big_hot.join(side, on, how) if ok else salted_join(big_hot, side, on, row_key or big.columns, how=how)
+    return hot_part.unionByName(_shuffle_join(big.join(hot_b, on, "left_anti"), small, on, how, row_key))
+
+
+def salt_buckets(df: DataFrame, key: str) -> int:
+    """Ways to split a key so that the largest one fills no more than a fair
+    share of a shuffle partition per way: its share of the rows times the
+    partitions, from one partially aggregated count."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("c"))
+    row = counts.agg(F.max("c").alias("most"), F.sum("c").alias("n")).first()
+    return max(1, math.ceil((row["most"] or 0) / ((row["n"] or 1) * fair_share(df))))
+
+
+def salted_join(big: DataFrame, small: DataFrame, on: str, row_key: list[str], buckets: int | None = None,
+                how: str = "inner") -> DataFrame:
+    """Equi-join (``inner`` or ``left``) with every key split ``buckets`` ways.
+
+    The big side's salt is a hash of ``row_key``, columns that tell its rows
+    apart: deterministic, so a retried task sends each row to the same bucket,
+    and spread for rows that are otherwise alike. The small side is replicated
+    once per salt value. ``buckets`` defaults to :func:`salt_buckets`.
     """
-    big_cols = [F.col(f"`{c}`") for c in big.columns]
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*big_cols), F.lit(buckets)))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, [on, "_salt"], how).drop("_salt")
+    _checked(how)
+    n = buckets or salt_buckets(big, on)
+    # Rows of a NULL key match no salt: their whole hash spreads them further.
+    salt = F.when(F.col(on).isNull(), _row_hash(big, row_key)).otherwise(F.pmod(_row_hash(big, row_key), F.lit(n)))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
+    return big.withColumn("_salt", salt).join(s, [on, "_salt"], how).drop("_salt")
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:

@@ -53,8 +53,8 @@ def skew_report(df: DataFrame, key: str) -> DataFrame:
                 F.col("v_lo") + F.col("v_hi")).alias("max_to_median"))
 
 
-def salted_user_stats(clicks: DataFrame, salt_factor: int = 10) -> DataFrame:
-    """Per user stats in two stages, ``(user, salt)`` then ``user``.
+def salted_user_stats(clicks: DataFrame, salt_factor: int = 10, key: str = "user_id") -> DataFrame:
+    """Per ``key`` (a user) stats in two stages, ``(key, salt)`` then ``key``.
 
     The salt is a hash of the session hour, so each session falls in exactly one
     salt and the per-salt distinct session counts add up exactly (a random salt
@@ -62,51 +62,51 @@ def salted_user_stats(clicks: DataFrame, salt_factor: int = 10) -> DataFrame:
     equals :func:`strata.operators.rollups.skew_user_stats`.
     """
     salted = clicks.withColumn("_salt", F.pmod(F.xxhash64("hour_start"), F.lit(salt_factor)))
-    stage1 = (salted.groupBy("user_id", "_salt")
+    stage1 = (salted.groupBy(key, "_salt")
               .agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("rev"),
                    F.countDistinct("hour_start").alias("sessions"),
                    F.collect_set("event_type").alias("types")))
-    stage2 = (stage1.groupBy("user_id")
+    stage2 = (stage1.groupBy(key)
               .agg(F.sum("n").alias("event_count"), F.sum("rev").alias("_rev"),
                    F.sum("sessions").alias("session_count"),
                    array_set_merge(F.collect_list("types")).alias("_types")))
-    return stage2.select("user_id", "event_count", to_double(F.col("_rev")).alias("total_revenue"),
-                         "session_count", F.array_join("_types", ",").alias("event_types"))
+    return stage2.select(key, "event_count", to_double(F.col("_rev")).alias("total_revenue"),
+                         "session_count", F.col("_types").alias("event_types"))
 
 
 def hot_key_split_union(clicks: DataFrame, key: str = "user_id", salt_factor: int = 10,
                         hot: DataFrame | None = None) -> DataFrame:
-    """Per-user stats with hot users processed apart, then unioned.
+    """Per-``key`` stats with hot keys processed apart, then unioned.
 
-    Hot keys (bounded list, broadcast) go through the salted two-stage
-    aggregate; the rest through the direct one. Same answer as the direct form.
+    Hot keys (a list bounded by their share, broadcast) go through the salted
+    two-stage aggregate; the rest, NULL included, through the direct one. Same
+    answer as the direct form.
     """
     from strata.operators.joins import bounded_key_list, hot_keys
     from strata.operators.rollups import skew_user_stats
 
-    hot = hot if hot is not None else hot_keys(clicks, key)
-    hot_b = bounded_key_list(hot, key)
+    hot_b = bounded_key_list(hot if hot is not None else hot_keys(clicks, key), key)
     if hot_b is None:          # nothing hot: the direct aggregate is the whole answer
-        return skew_user_stats(clicks)
-    hot_part = salted_user_stats(clicks.join(hot_b, key, "left_semi"), salt_factor)
-    cold_part = skew_user_stats(clicks.join(hot_b, key, "left_anti"))
+        return skew_user_stats(clicks, key)
+    hot_part = salted_user_stats(clicks.join(hot_b, key, "left_semi"), salt_factor, key)
+    cold_part = skew_user_stats(clicks.join(hot_b, key, "left_anti"), key)
     return hot_part.unionByName(cold_part)
 
 
-def composite_key_repartition(df: DataFrame, key: str, value: str, salt_factor: int = 8,
+def composite_key_repartition(df: DataFrame, key: str, value: str, salt_by: str, salt_factor: int = 8,
                               num_partitions: int | None = None, explicit_repartition: bool = False) -> DataFrame:
     """Spread rows by the composite key ``(key, salt)`` before aggregating by ``key``.
 
-    Grouping on ``(key, salt)`` hash-partitions on the composite key, so a hot
-    key is spread over ``salt_factor`` partitions, and its partial aggregate
-    runs before the exchange. The second aggregate merges at most
-    ``salt_factor`` rows per key. ``explicit_repartition`` adds
-    ``repartition(n, key, salt)`` first (the documented form); that ships raw
-    rows, since an aggregate above a user repartition gets no map-side stage.
-    Equals the direct ``groupBy(key)``.
+    The salt is a hash of the one column ``salt_by``. Grouping on ``(key,
+    salt)`` hash-partitions on the composite key, so a hot key is spread over
+    ``salt_factor`` partitions, and its partial aggregate runs before the
+    exchange. The second aggregate merges at most ``salt_factor`` rows per key.
+    ``explicit_repartition`` adds ``repartition(n, key, salt)`` first (the
+    documented form); that ships raw rows, since an aggregate above a user
+    repartition gets no map-side stage. Equals the direct ``groupBy(key)``
+    (:func:`direct_key_sums`), which is the faster plan for plain counts and sums.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
-                                           F.lit(salt_factor)))
+    salted = df.select(key, value, F.pmod(F.xxhash64(salt_by), F.lit(salt_factor)).alias("_salt"))
     if explicit_repartition:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salted = salted.repartition(n, key, "_salt")
@@ -134,6 +134,18 @@ def approx_distinct_mergeable(df: DataFrame, group: str, value: str, salt_factor
                   .select(group, F.hll_sketch_estimate("sk").alias("approx_distinct")))
 
 
+def approx_distinct_error(df: DataFrame, group: str, value: str, salt_factor: int = 8,
+                          bound: float = 0.03) -> DataFrame:
+    """The estimates of :func:`approx_distinct_mergeable` held against the exact
+    counts: ``within_bound`` tells whether they differ by at most ``bound``."""
+    exact = (df.groupBy(group, value).agg(F.lit(1).alias("_one"))
+             .groupBy(group).agg(F.count(value).alias("distinct_values")))
+    estimate = approx_distinct_mergeable(df, group, value, salt_factor).withColumnRenamed(group, "_group")
+    off = F.abs(F.col("approx_distinct") - F.col("distinct_values"))
+    return (exact.join(estimate, F.col(group).eqNullSafe(F.col("_group")))
+            .select(group, "distinct_values", (off <= F.col("distinct_values") * F.lit(bound)).alias("within_bound")))
+
+
 def array_set_merge_by(clicks: DataFrame, key: str = "user_id", salt_factor: int = 10) -> DataFrame:
     """Per key, the union of partial type sets (``flatten`` + ``array_distinct``).
 
@@ -144,12 +156,12 @@ def array_set_merge_by(clicks: DataFrame, key: str = "user_id", salt_factor: int
     salted = clicks.withColumn("_salt", F.pmod(F.xxhash64("hour_start"), F.lit(salt_factor)))
     stage1 = salted.groupBy(key, "_salt").agg(F.collect_set("event_type").alias("t"))
     return (stage1.groupBy(key).agg(array_set_merge(F.collect_list("t")).alias("_types"))
-                  .select(key, F.array_join("_types", ",").alias("event_types"),
+                  .select(key, F.col("_types").alias("event_types"),
                           F.size("_types").cast("bigint").alias("type_count")))
 
 
 __all__ = [
     "key_frequency_top", "skew_report", "salted_user_stats", "hot_key_split_union",
-    "composite_key_repartition", "direct_key_sums", "approx_distinct_mergeable",
+    "composite_key_repartition", "direct_key_sums", "approx_distinct_mergeable", "approx_distinct_error",
     "array_set_merge_by",
 ]

@@ -1,5 +1,6 @@
 """Every physical variant equals its plain form (on sf0.01 tables)."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -38,10 +39,10 @@ def test_salted_and_hot_key_joins_equal_plain(spark):
     o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = read_table(spark, SF01, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     plain = rows(o.join(c, "o_custkey", "left"))
-    assert rows(joins.salted_join(o, c, "o_custkey", 5, "left").select(*o.columns, "c_name")) == \
+    assert rows(joins.salted_join(o, c, "o_custkey", ["o_orderkey"], 5, "left").select(*o.columns, "c_name")) == \
         rows(o.join(c, "o_custkey", "left").select(*o.columns, "c_name"))
-    hot = joins.hot_keys(o, "o_custkey", share=0.0001, max_keys=50)
-    assert hot.count() == 50
+    hot = joins.hot_keys(o, "o_custkey", share=0.0008, to_median=0)
+    assert hot.count() > 50
     hk = joins.hot_key_join(o, c, "o_custkey", hot, "left")
     assert rows(hk.select("o_custkey", "o_orderkey", "o_totalprice", "c_name")) == \
         rows(o.join(c, "o_custkey", "left").select("o_custkey", "o_orderkey", "o_totalprice", "c_name"))
@@ -59,7 +60,7 @@ def test_skewed_key_join_all_paths_agree(spark):
     assert [r["k"] for r in hot.collect()] == [0]
     assert rows(joins.hot_key_join(li, c, "k", hot, "left").select("k", "l_orderkey", "l_linenumber", "c_name")) == \
         rows(li.join(c, "k", "left").select("k", "l_orderkey", "l_linenumber", "c_name"))
-    assert rows(joins.salted_join(li, c, "k", 8, "left").select("k", "l_orderkey", "l_linenumber", "c_name")) == \
+    assert rows(joins.salted_join(li, c, "k", ["l_orderkey", "l_linenumber"], how="left").select("k", "l_orderkey", "l_linenumber", "c_name")) == \
         rows(li.join(c, "k", "left").select("k", "l_orderkey", "l_linenumber", "c_name"))
     assert len(base) == 60000
 
@@ -69,23 +70,16 @@ def test_salted_and_split_aggregates_equal_direct(spark):
     direct = rows(rollups.skew_user_stats(c))
     assert rows(skew.salted_user_stats(c, 10)) == direct
     assert rows(skew.hot_key_split_union(c, "user_id", 10)) == direct
-    hot = joins.hot_keys(c, "user_id", share=0.005)
+    hot = joins.hot_keys(c, "user_id", share=0.005, to_median=0)
     assert hot.count() > 0
     assert rows(skew.hot_key_split_union(c, "user_id", 7, hot=hot)) == direct
 
 
-def test_random_salt_overcounts_sessions(spark):
-    """The reference's random salt counts a session once per salt it lands in."""
-    plain = {r["user_id"]: r["session_count"] for r in variants.salted_user_stats_random(spark, SF01).collect()}
-    exact = {r["user_id"]: r["session_count"] for r in rollups.skew_user_stats(clickstream(spark, SF01)).collect()}
-    assert sum(plain.values()) > sum(exact.values())
-
-
 def test_composite_key_repartition_equals_direct(spark):
     li = read_table(spark, SF01, "lineitem")
     direct = rows(skew.direct_key_sums(li, "l_suppkey", "l_extendedprice"))
-    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", 8)) == direct
-    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", 8,
+    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", "l_orderkey", 8)) == direct
+    assert rows(skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", "l_orderkey", 8,
                                                explicit_repartition=True)) == direct
 
 
@@ -104,7 +98,7 @@ def test_global_ranks_equal_window_functions(spark):
 
 
 def test_percent_rank_with_a_hot_value(spark):
-    """A value held by 80 % of rows goes through the hot-key path and stays exact."""
+    """A value held by 80 % of rows runs over most partitions and stays exact."""
     li = read_table(spark, SF01, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         F.when(F.pmod("l_orderkey", F.lit(10)) < 8, F.lit(0)).otherwise(F.col("l_partkey")).alias("v"))
@@ -135,10 +129,10 @@ def test_hot_key_join_with_duplicate_small_keys(spark):
     """Not-unique small side: measured, and salted when too big to broadcast."""
     o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey")
     dup = read_table(spark, SF01, "orders").select("o_custkey", F.col("o_orderkey").alias("other"))
-    hot = joins.hot_keys(o, "o_custkey", share=0.0005)
+    hot = joins.hot_keys(o, "o_custkey", share=0.0005, to_median=0)
     plain = rows(o.join(dup, "o_custkey").select("o_custkey", "o_orderkey", "other"))
     for max_bytes in (10, 1 << 30):
-        j = joins.hot_key_join(o, dup, "o_custkey", hot, "inner", small_unique=False, max_bytes=max_bytes)
+        j = joins.hot_key_join(o, dup, "o_custkey", hot, "inner", max_bytes=max_bytes, row_key=["o_orderkey"])
         assert rows(j.select("o_custkey", "o_orderkey", "other")) == plain
 
 
@@ -158,12 +152,67 @@ def test_scenarios_plain_and_tuned_agree(spark):
             assert sorted(a, key=str) == sorted(b, key=str), (name, out)
 
 
-def test_size_check_is_bounded(spark):
+def test_size_check_measures(spark):
     li = read_table(spark, SF01, "lineitem")
-    full = joins.estimate_size_bytes(li)
-    assert full > 1_000_000
-    assert joins.estimate_size_bytes(li, row_cap=100) < full / 100
-    side, ok = joins.broadcast_if_bounded(li, max_bytes=10_000)
+    assert joins.estimate_size_bytes(li) > 1_000_000
+    _, ok = joins.broadcast_if_bounded(li, max_bytes=10_000)
     assert not ok
-    side, ok = joins.broadcast_if_bounded(read_table(spark, SF01, "nation"), max_bytes=10_000)
+    _, ok = joins.broadcast_if_bounded(read_table(spark, SF01, "nation"), max_bytes=10_000)
     assert ok
+    assert joins.estimate_size_bytes(li.limit(0)) == 0
+    # Nested columns count what they hold.
+    wide = spark.range(100).select("id", F.sequence(F.lit(1), F.lit(1000)).cast("array<double>").alias("v"))
+    assert joins.estimate_size_bytes(wide) >= 100 * 1000 * 8
+    _, ok = joins.broadcast_if_bounded(wide, max_bytes=400_000)
+    assert not ok
+
+
+def test_skew_joins_refuse_what_they_cannot_do(spark):
+    o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey")
+    c = read_table(spark, SF01, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    for how in ("right", "full", "left_anti"):
+        with pytest.raises(ValueError):
+            joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey"), how)
+        with pytest.raises(ValueError):
+            joins.salted_join(o, c, "o_custkey", ["o_orderkey"], 4, how)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_null_keys_stay_out_of_the_shuffle(spark, how):
+    """80 % NULL keys, a hot key among the rest, and rows that are all alike."""
+    big = spark.range(1000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(None)).when(F.col("id") % 10 == 8, 0).otherwise(F.col("id")).cast("bigint").alias("k"),
+        F.col("id").alias("row"), F.lit("same").alias("x"))
+    small = spark.createDataFrame([(0, "zero"), (9, "nine"), (None, "null")], "k bigint, name string")
+    want = rows(big.join(small, "k", how).select("k", "row", "x", "name"))
+    hot = joins.hot_keys(big, "k", share=0.05)
+    assert [r["k"] for r in hot.collect()] == [0]       # NULL is no hot key
+    j = joins.hot_key_join(big, small, "k", hot, how, row_key=["row"])
+    assert rows(j.select("k", "row", "x", "name")) == want
+    s = joins.salted_join(big, small, "k", ["row"], how=how)
+    assert rows(s.select("k", "row", "x", "name")) == want
+    assert "BroadcastHashJoin" in plan_text(j) and "Union" in plan_text(j)
+
+
+def test_salt_follows_the_largest_share(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    even = spark.range(10_000).select((F.col("id") % 1000).alias("k"))
+    assert joins.salt_buckets(even, "k") == 1
+    skewed = spark.range(10_000).select(F.when(F.col("id") < 5000, 0).otherwise(F.col("id")).alias("k"))
+    assert joins.salt_buckets(skewed, "k") == parts // 2
+    assert joins.hot_keys(even, "k", share=0.0005).count() == 0     # over the share, but not over the median
+
+
+def test_registered_skew_queries_take_their_skew_path(spark):
+    from strata.plans.queries import QUERIES
+
+    for partitions in ("4", "64"):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            assert "Union" in plan_text(QUERIES["hot_key_broadcast_join"](spark, SF01))
+            assert "Union" in plan_text(QUERIES["hot_key_split_union"](spark, SF01))
+            c = clickstream(spark, SF01)
+            assert joins.salt_buckets(c, "revenue") > int(partitions) // 2
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
