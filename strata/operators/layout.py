@@ -26,12 +26,23 @@ def write_uncontrolled(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _plain_path(path):
+    """A file's path in one form: listings and row metadata write ``file:`` differently."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """One row per file under ``path`` (partition folders included, empty files
+    too): ``file_path`` and ``file_size``. Only the listing is read, no content."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", pattern).load(path))
+    return listed.select(_plain_path(F.col("path")).alias("file_path"), F.col("length").alias("file_size"))
+
+
 def input_bytes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """One row: the total size of the files under ``path``, from file metadata."""
-    files = (spark.read.format(fmt).load(path)
-             .select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-             .dropDuplicates(["p"]))
-    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("s"), F.lit(0)).alias("input_bytes"))
+    """One row: number and total size of the ``*.<fmt>`` files under ``path``."""
+    return list_files(spark, path, f"*.{fmt}").agg(
+        F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("input_bytes"))
 
 
 def size_partitions(spark: SparkSession, path: str, target_bytes: int = TARGET_PARTITION_BYTES,
@@ -54,23 +65,16 @@ def repartition_by_size(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions)
 
 
-def write_compacted(df: DataFrame, path: str, files: int | None = None, target_bytes: int | None = None,
-                    max_records_per_file: int = 0) -> DataFrame:
+def write_compacted(df: DataFrame, path: str, files: int | None = None, max_records_per_file: int = 0) -> DataFrame:
     """Write ``df`` as few, even files.
 
     * ``files``: round-robin into exactly that many (``repartition``, not
       ``coalesce``, so the upstream stage keeps its full parallelism).
-    * ``target_bytes``: measure ``df`` once (one aggregate) and use
-      ``ceil(bytes / target_bytes)`` files.
-    * neither: the ``rebalance`` hint, so AQE sizes the final shuffle's
+    * otherwise the ``rebalance`` hint, so AQE sizes the final shuffle's
       partitions from measured shuffle bytes toward
       ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` - one pass, file count
       growing with the data.
     """
-    if files is None and target_bytes:
-        from strata.operators.joins import estimate_size_bytes
-
-        files = max(1, -(-estimate_size_bytes(df) // target_bytes))
     shaped = df.repartition(files) if files else df.hint("rebalance")
     w = shaped.write.mode("overwrite")
     if max_records_per_file:
@@ -81,11 +85,24 @@ def write_compacted(df: DataFrame, path: str, files: int | None = None, target_b
 
 def file_layout_report(spark: SparkSession, path: str, small_bytes: int = SMALL_FILE_BYTES,
                        fmt: str = "parquet") -> DataFrame:
-    """Per file: name, size, rows and whether it is a small file."""
-    files = spark.read.format(fmt).load(path).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"))
-    return (files.groupBy("file_name", "file_size").agg(F.count(F.lit(1)).alias("rows"))
-                 .withColumn("is_small", F.col("file_size") < F.lit(small_bytes)))
+    """Per ``*.<fmt>`` file: path, size, rows and whether it is a small file.
+    Files of one name in several partition folders, and files without rows,
+    are rows of their own."""
+    rows = (spark.read.format(fmt).load(path).groupBy(_plain_path(F.col("_metadata.file_path")).alias("_path"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+    files = list_files(spark, path, f"*.{fmt}")
+    return (files.join(rows, F.col("file_path") == F.col("_path"), "left")
+            .select("file_path", "file_size", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+                    (F.col("file_size") < F.lit(small_bytes)).alias("is_small")))
+
+
+def scan_text(df: DataFrame, path: str, **options) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` as JSON lines and scan them as text: the lines with the file
+    each came from (``value``, ``file_path``), and the folder's listing."""
+    df.write.mode("overwrite").options(**options).json(path)
+    spark = df.sparkSession
+    lines = spark.read.text(path).select("value", _plain_path(F.col("_metadata.file_path")).alias("file_path"))
+    return lines, list_files(spark, path, "*.json")
 
 
 def file_layout_summary(report: DataFrame) -> DataFrame:
