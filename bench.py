@@ -1,11 +1,11 @@
 """Benchmark: every catalog query at one scale, written in full to the noop sink.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, default all), BENCH_REPEAT (runs per query, best
-kept; default 2), BENCH_GEN_ROWS (rows of the generated
+BENCH_QUERIES (comma list, default all), BENCH_REPEAT (runs per query, the
+median is reported and ``spread`` has the fastest and slowest; default 3), BENCH_GEN_ROWS (rows of the generated
 scenario section, default 2,000,000; 0 skips it). Prints one JSON line.
 ``queries`` holds the catalog versions; ``plain`` the reference's query shapes
-(unpartitioned windows, random salt, forced sort-merge) for the same keys;
+(unpartitioned windows, no salt, forced sort-merge) for the same keys;
 ``scenarios`` the reference's five jobs on generated rows, plain vs tuned,
 with rows/s.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -35,22 +36,25 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=parts, app_name="strata-bench")
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(QUERIES)
 
-    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
 
-    def timed(fn):
-        best = None
-        for _ in range(repeat):   # best of `repeat`: this VM's run-to-run noise is large
+    spread = {}
+
+    def timed(fn, name=None):
+        took = []
+        for _ in range(repeat):
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        return round(best, 3)
+            took.append(time.perf_counter() - t0)
+        if name:
+            spread[name] = [round(min(took), 3), round(max(took), 3)]
+        return round(statistics.median(took), 3)
 
     timed(QUERIES["user_stats"])  # warm-up: JIT, file listing caches
     results, errors = {}, {}
     for k in wanted:
         try:
-            results[k] = timed(QUERIES[k])
+            results[k] = timed(QUERIES[k], k)
         except Exception as e:  # noqa: BLE001
             errors[k] = f"{type(e).__name__}: {str(e)[:200]}"
     plain = {}
@@ -75,7 +79,7 @@ def main() -> None:
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     out = {"metric": "catalog_total_noop_seconds", "value": round(sum(results.values()), 3), "unit": "sec",
            "queries": results, "plain": plain, "scenarios": scen, "generated_rows": gen_rows,
-           "sf": sf, "cpus": int(cpus), "shuffle_partitions": parts, "repeat": repeat, "stat": "min"}
+           "sf": sf, "cpus": int(cpus), "shuffle_partitions": parts, "repeat": repeat, "stat": "median", "spread": spread}
     if errors:
         out["errors"] = errors
     print(json.dumps(out))

@@ -17,7 +17,7 @@ from strata.functions.columns import int_mix, int_mix_sql
 from strata.functions.money import ratio_2_sql, to_double
 from strata.operators import joins, layout, ranking, rollups, skew
 from strata.plans.sql import CLICKS, CUSTOMER_LTV, PROFILES, USER_DIM, USER_STATS
-from strata.session import scratch_dir
+from strata.session import reliable_checkpoint, scratch_dir
 from strata.sources import generators as gen
 from strata.sources.tables import clickstream, customer_orders, read_table, table_path, user_dimension
 
@@ -72,14 +72,22 @@ def _joined(spark, d, broadcast=True, exact_revenue=False):
 
 @register("session_rollup", f"""
 WITH {CLICKS}
-SELECT user_id, session_id, 0 AS sequence_chunk, count(*) AS event_count, sum(revenue)::DOUBLE AS session_revenue,
-       string_agg(event_type, ',' ORDER BY ts, event_id) AS event_sequence,
+SELECT user_id, session_id, count(*) AS event_count, sum(revenue)::DOUBLE AS session_revenue,
        min(ts) AS session_start, max(ts) AS session_end
 FROM e GROUP BY user_id, session_id""")
 def q_session_rollup(spark, d):
     return rollups.session_rollup(_clicks(spark, d))
 
 
+@register("session_sequence", f"""
+WITH {CLICKS}
+SELECT user_id, session_id, row_number() OVER (PARTITION BY user_id, hour_start ORDER BY ts, event_id) AS position,
+       event_id, event_type, ts
+FROM e""")
+def q_session_sequence(spark, d):
+    return rollups.session_sequence(_clicks(spark, d))
+
+
 @register("user_profiles", f"""
 WITH {CLICKS}, {PROFILES}
 SELECT user_id, total_sessions, total_events, ltv::DOUBLE AS lifetime_value, avg_events_per_session, last_seen
@@ -156,7 +164,7 @@ SKEW_STATS_SQL = f"""
 WITH {CLICKS}
 SELECT user_id, count(*) AS event_count, sum(revenue)::DOUBLE AS total_revenue,
        count(DISTINCT session_id) AS session_count,
-       string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
+       list(DISTINCT event_type ORDER BY event_type) AS event_types
 FROM e GROUP BY user_id"""
 
 
@@ -170,14 +178,21 @@ def q_salted_user_stats(spark, d):
     return skew.salted_user_stats(_clicks(spark, d), SALT)
 
 
-@register("hot_key_split_union", SKEW_STATS_SQL)
+@register("hot_key_split_union", f"""
+WITH {CLICKS}
+SELECT revenue::DOUBLE AS price, count(*) AS event_count, sum(revenue)::DOUBLE AS total_revenue,
+       count(DISTINCT hour_start) AS session_count,
+       list(DISTINCT event_type ORDER BY event_type) AS event_types
+FROM e GROUP BY revenue""")
 def q_hot_key_split_union(spark, d):
-    return skew.hot_key_split_union(_clicks(spark, d), "user_id", SALT)
+    """By the price of an event: most events have none, so 0 is a hot key at every scale."""
+    stats = skew.hot_key_split_union(_clicks(spark, d), "revenue", SALT)
+    return stats.withColumn("price", to_double(F.col("revenue"))).drop("revenue")
 
 
 @register("array_set_merge", f"""
 WITH {CLICKS}
-SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types,
+SELECT user_id, list(DISTINCT event_type ORDER BY event_type) AS event_types,
        count(DISTINCT event_type) AS type_count
 FROM e GROUP BY user_id""")
 def q_array_set_merge(spark, d):
@@ -225,9 +240,11 @@ def q_groupby_1000_keys(spark, d):
     return rollups.groupby_keys(read_table(spark, d, "lineitem"), "l_orderkey", 1000, "l_extendedprice")
 
 
-@register("approx_distinct_mergeable")
+@register("approx_distinct_mergeable", """
+SELECT event_type, count(DISTINCT user_id) AS distinct_values, true AS within_bound FROM events GROUP BY event_type""")
 def q_approx_distinct_mergeable(spark, d):
-    return skew.approx_distinct_mergeable(read_table(spark, d, "events"), "event_type", "user_id")
+    """Estimates from merged sketches, held against the exact counts."""
+    return skew.approx_distinct_error(read_table(spark, d, "events"), "event_type", "user_id")
 
 
 @register("revenue_bucket_label", f"""
@@ -351,13 +368,22 @@ def q_tier_revenue_per_user(spark, d):
     return rollups.tier_revenue_per_user(_joined(spark, d, exact_revenue=True)).orderBy(F.col("total_revenue").desc())
 
 
+def _first_joined(spark, d, *order):
+    """The first ``TOP_N`` events with their user's columns. The order is the
+    fact's and the dimension is unique, so the limit goes before the join; the
+    dimension is then at most one row per kept event."""
+    top = _fact(spark, d).orderBy(*order).limit(TOP_N)
+    users = user_dimension(spark, d).join(F.broadcast(top.select("user_id").distinct()), "user_id", "left_semi")
+    return (top.join(F.broadcast(users), "user_id", "left").orderBy(*order)
+            .select("event_id", "user_id", "event_type", "revenue", "user_tier", "user_age"))
+
+
 @register("top_joined_events", f"""
 WITH {CLICKS}, {FACT_SQL}, {USER_DIM}
 SELECT e2.event_id, e2.user_id, e2.event_type, e2.revenue, d.user_tier, d.user_age
 FROM e2 LEFT JOIN d ON e2.user_id = d.user_id ORDER BY e2.revenue DESC, e2.event_id LIMIT {TOP_N}""")
 def q_top_joined_events(spark, d):
-    return (_joined(spark, d).orderBy(F.col("revenue").desc(), F.col("event_id")).limit(TOP_N)
-            .select("event_id", "user_id", "event_type", "revenue", "user_tier", "user_age"))
+    return _first_joined(spark, d, F.col("revenue").desc(), F.col("event_id"))
 
 
 @register("sample_joined", f"""
@@ -365,75 +391,79 @@ WITH {CLICKS}, {FACT_SQL}, {USER_DIM}
 SELECT e2.event_id, e2.user_id, e2.event_type, e2.revenue, d.user_tier, d.user_age
 FROM e2 LEFT JOIN d ON e2.user_id = d.user_id ORDER BY e2.event_id LIMIT {TOP_N}""")
 def q_sample_joined(spark, d):
-    return (_joined(spark, d).orderBy("event_id").limit(TOP_N)
-            .select("event_id", "user_id", "event_type", "revenue", "user_tier", "user_age"))
+    return _first_joined(spark, d, F.col("event_id"))
 
 
-ORDERS_CUSTOMER_SQL = """
-SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_mktsegment
-FROM orders o {how} JOIN customer c ON o.o_custkey = c.c_custkey"""
+# A real hot key: most events have no revenue, so the price 0 holds most rows at
+# every scale, whatever the number of partitions.
+PRICES_SQL = f"""
+WITH {CLICKS},
+prices AS (SELECT revenue, count(*) AS events_at_price, min(event_id) AS first_event FROM e GROUP BY revenue)
+SELECT e.event_id, e.user_id, e.revenue::DOUBLE AS price, p.events_at_price, p.first_event
+FROM e {{how}} JOIN prices p ON e.revenue = p.revenue"""
 
 
-def _orders_customer(spark, d):
-    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    c = (read_table(spark, d, "customer")
-         .select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment"))
-    return o, c
+def _events_and_prices(spark, d):
+    clicks = _clicks(spark, d).select("event_id", "user_id", "revenue")
+    prices = clicks.groupBy("revenue").agg(F.count(F.lit(1)).alias("events_at_price"), F.min("event_id").alias("first_event"))
+    return clicks, prices
 
 
-@register("salted_join", ORDERS_CUSTOMER_SQL.format(how="LEFT"))
-def q_salted_join(spark, d):
-    o, c = _orders_customer(spark, d)
-    return joins.salted_join(o, c, "o_custkey", buckets=8, how="left")
+def _priced(joined):
+    return joined.withColumn("price", to_double(F.col("revenue"))).drop("revenue")
 
 
-@register("hot_key_broadcast_join", ORDERS_CUSTOMER_SQL.format(how="INNER"))
-def q_hot_key_broadcast_join(spark, d):
-    o, c = _orders_customer(spark, d)
-    return joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey"), how="inner")
+@register("salted_join", PRICES_SQL.format(how="LEFT"))
+def q_salted_join(spark, d):
+    clicks, prices = _events_and_prices(spark, d)
+    return _priced(joins.salted_join(clicks, prices, "revenue", row_key=["event_id"], how="left"))
 
 
-SKEW_KEY = "CASE WHEN l_orderkey % 10 < 8 THEN 0 ELSE l_orderkey END"
+@register("hot_key_broadcast_join", PRICES_SQL.format(how="INNER"))
+def q_hot_key_broadcast_join(spark, d):
+    clicks, prices = _events_and_prices(spark, d)
+    return _priced(joins.hot_key_join(clicks, prices, "revenue", joins.hot_keys(clicks, "revenue"), how="inner",
+                                      row_key=["event_id"]))
 
 
-@register("skew_join_aqe", f"""
-SELECT l.l_orderkey, l.l_linenumber, l.skew_key, c.c_name, c.c_mktsegment
-FROM (SELECT l_orderkey, l_linenumber, {SKEW_KEY} AS skew_key FROM lineitem) l
-LEFT JOIN customer c ON l.skew_key = c.c_custkey""")
+@register("skew_join_aqe", PRICES_SQL.format(how="LEFT"))
 def q_skew_join_aqe(spark, d):
-    li = read_table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber",
-        F.when(F.pmod("l_orderkey", F.lit(10)) < 8, F.lit(0).cast("bigint"))
-         .otherwise(F.col("l_orderkey")).alias("skew_key"))
-    c = read_table(spark, d, "customer").select(F.col("c_custkey").alias("skew_key"), "c_name", "c_mktsegment")
+    clicks, prices = _events_and_prices(spark, d)
     # A plain sort-merge join: AQE (spark.sql.adaptive.skewJoin.*) splits the
-    # partition of the hot key at run time.
-    return li.join(c.hint("merge"), "skew_key", "left")
+    # partition of the hot key at run time. It can only do so where both sides
+    # come straight from an exchange, so the grouped side is written first.
+    return _priced(clicks.join(reliable_checkpoint(prices).hint("merge"), "revenue", "left"))
 
 
 @register("bucketed_join", """
 SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, l.l_linenumber, l.l_quantity, l.l_extendedprice
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
 def q_bucketed_join(spark, d):
-    import uuid
-
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = uuid.uuid4().hex[:10]
-    o = joins.write_bucketed(read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
-                             f"strata_orders_{tag}", "o_orderkey", n, scratch_dir(spark, "orders-bucketed"))
-    li = joins.write_bucketed(read_table(spark, d, "lineitem")
-                              .select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"),
-                              f"strata_lineitem_{tag}", "l_orderkey", n, scratch_dir(spark, "lineitem-bucketed"))
+    o = _bucketed_once(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"], n)
+    li = _bucketed_once(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"], n)
     j = joins.bucketed_join(o, li, "o_orderkey", "l_orderkey")
     return j.select("o_orderkey", "o_custkey", "o_orderdate", "l_linenumber", "l_quantity", "l_extendedprice")
 
 
+def _bucketed_once(spark, d, name, columns, n):
+    """The table's columns bucketed by the first one, written on first use. The
+    name carries the input's files (path, size, time), so changed input is
+    written anew."""
+    files = (spark.read.format("binaryFile").load(table_path(d, name))
+             .agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h")).first()["h"])
+    saved = f"strata_{name}_{n}_{int(files) % 10 ** 18}"
+    if spark.catalog.tableExists(saved):
+        return spark.table(saved)
+    return joins.write_bucketed(read_table(spark, d, name).select(*columns), saved, columns[0], n,
+                                scratch_dir(spark, f"{name}-bucketed"))
+
+
 @register("composite_key_repartition", """
 SELECT l_suppkey, count(*) AS row_count, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS value_sum
 FROM lineitem GROUP BY l_suppkey""")
 def q_composite_key_repartition(spark, d):
-    li = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    return skew.composite_key_repartition(li, "l_suppkey", "l_extendedprice", salt_factor=8)
+    return skew.composite_key_repartition(read_table(spark, d, "lineitem"), "l_suppkey", "l_extendedprice", "l_orderkey")
 
 
 @register("project_columns", """
@@ -460,16 +490,23 @@ def q_scan_parquet(spark, d):
 NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-@register("scan_text_files", "SELECT * FROM events")
+@register("scan_text_files", "SELECT *, true AS listed FROM events")
 def q_scan_text_files(spark, d):
-    path = scratch_dir(spark, "events-json")
-    return layout.write_format(read_table(spark, d, "events"), path, "json", timestampNTZFormat=NTZ_FORMAT)
+    """Events written as text, scanned line by line; ``listed``: the line's file
+    is in the folder's listing."""
+    events = read_table(spark, d, "events")
+    lines, files = layout.scan_text(events, scratch_dir(spark, "events-json"), timestampNTZFormat=NTZ_FORMAT)
+    parsed = lines.select(F.from_json("value", events.schema, {"timestampNTZFormat": NTZ_FORMAT}).alias("e"), "file_path")
+    return (parsed.join(files.withColumn("listed", F.lit(True)).select("file_path", "listed"), "file_path", "left")
+            .select("e.*", F.coalesce("listed", F.lit(False)).alias("listed")))
 
 
 @register("range_scan", "SELECT unnest(range((SELECT count(*) FROM lineitem))) AS id")
 def q_range_scan(spark, d):
-    n = read_table(spark, d, "lineitem").count()
-    return gen.ids(spark, n, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Consecutive ids from 0, one for each row of the table: the rows are
+    numbered where they lie, in key order."""
+    rows = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return ranking.global_row_number(rows, "l_orderkey", "l_linenumber", False, "n").select((F.col("n") - 1).alias("id"))
 
 
 ROW_EXPAND_K = f"(({int_mix_sql('o_orderkey')}) % 7 + 1)"
@@ -533,16 +570,32 @@ def q_write_compacted(spark, d):
     return layout.write_compacted(_customer_spend(spark, d), scratch_dir(spark, "spend-compacted"))
 
 
-@register("file_layout_report")
+@register("file_layout_report", """
+SELECT o_orderstatus, count(*) AS "rows", true AS all_listed, true AS all_small
+FROM orders GROUP BY o_orderstatus""")
 def q_file_layout_report(spark, d):
-    path = scratch_dir(spark, "spend-layout")
-    layout.write_uncontrolled(_customer_spend(spark, d), path)
-    return layout.file_layout_report(spark, path)
-
-
-@register("size_partitions")
+    """The files of a table written by order status, summed per partition
+    folder: their rows, and whether size and smallness are known of each."""
+    path = scratch_dir(spark, "orders-layout")
+    read_table(spark, d, "orders").write.partitionBy("o_orderstatus").parquet(path)
+    report = layout.file_layout_report(spark, path, small_bytes=1 << 40)
+    return (report.groupBy(F.regexp_extract("file_path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"))
+            .agg(F.sum("rows").alias("rows"), F.bool_and(F.col("file_size") > 0).alias("all_listed"),
+                 F.bool_and("is_small").alias("all_small")))
+
+
+@register("size_partitions", """
+SELECT true AS has_files, true AS covers_input, true AS not_oversized, count(*) AS table_rows FROM lineitem""")
 def q_size_partitions(spark, d):
-    return layout.size_partitions(spark, table_path(d, "lineitem"))
+    """The partition count for a table's files, checked: enough partitions of
+    the target size to hold all bytes, and not one more than that (or the minimum)."""
+    p = layout.size_partitions(spark, table_path(d, "lineitem"))
+    room = F.col("partitions") * F.col("target_bytes")
+    rows = read_table(spark, d, "lineitem").select(F.count(F.lit(1)).alias("table_rows")).scalar()
+    return p.select(((F.col("files") > 0) & (F.col("input_bytes") > 0)).alias("has_files"),
+                    (room >= F.col("input_bytes")).alias("covers_input"),
+                    ((F.col("partitions") == 4) | (room - F.col("target_bytes") < F.col("input_bytes"))).alias("not_oversized"),
+                    rows.alias("table_rows"))
 
 
 @register("repartition_by_size", "SELECT * FROM lineitem")
@@ -551,10 +604,20 @@ def q_repartition_by_size(spark, d):
     return layout.repartition_by_size(read_table(spark, d, "lineitem"), n)
 
 
-@register("partition_row_counts")
+@register("partition_row_counts", """
+SELECT count(*) AS "rows", true AS as_many_as_sized, true AS even FROM lineitem""")
 def q_partition_row_counts(spark, d):
+    """Rows per partition after a round-robin into the sized count: their sum,
+    whether there are as many partitions as sized, and whether they are even
+    (each input task deals its rows out one by one, so two partitions differ
+    by a row per input task at most)."""
     n = layout.partitions_for(spark, table_path(d, "lineitem"))
-    return layout.partition_row_counts(layout.repartition_by_size(read_table(spark, d, "lineitem"), n))
+    lines = read_table(spark, d, "lineitem")
+    tasks = lines.select(F.spark_partition_id().alias("p")).agg(F.count_distinct("p").alias("tasks")).scalar()
+    counts = layout.partition_row_counts(layout.repartition_by_size(lines, n))
+    whole = counts.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) == n).alias("as_many_as_sized"),
+                       (F.max("rows") - F.min("rows")).alias("spread"))
+    return whole.select("rows", "as_many_as_sized", (F.col("spread") <= tasks).alias("even"))
 
 
 # ---------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """The reference's plain query shapes, kept for side-by-side benchmarks.
 
 Each is the same logical query as its catalog key written the way the
-reference writes it (unpartitioned windows, random salt, forced sort-merge).
+reference writes it (unpartitioned windows, no salt, forced sort-merge).
 They are *not* registered as catalog queries; ``bench.py`` times them beside
 the catalog versions.
 """
@@ -25,17 +25,6 @@ def top_users_ranked_single_partition(spark: SparkSession, d: str, k: int = 1000
              .withColumn("lifetime_value", to_double(F.col("lifetime_value"))))
 
 
-def salted_user_stats_random(spark: SparkSession, d: str, salt: int = 10) -> DataFrame:
-    """Random salt: not retry-safe and over-counts sessions split across salts."""
-    c = clickstream(spark, d).withColumn("_salt", (F.rand(7) * salt).cast("int"))
-    s1 = (c.groupBy("user_id", "_salt").agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("r"),
-                                            F.countDistinct("session_id").alias("s"),
-                                            F.collect_set("event_type").alias("t")))
-    return s1.groupBy("user_id").agg(F.sum("n").alias("event_count"), F.sum("r").alias("total_revenue"),
-                                     F.sum("s").alias("session_count"),
-                                     F.array_distinct(F.flatten(F.collect_set("t"))).alias("event_types"))
-
-
 def tier_stats_sort_merge(spark: SparkSession, d: str) -> DataFrame:
     from strata.sources.tables import user_dimension
 
@@ -63,11 +52,11 @@ def ltv_percentile_single_partition(spark: SparkSession, d: str) -> DataFrame:
     return c.withColumn("ltv_percentile", F.percent_rank().over(Window.orderBy("ltv")))
 
 
-def orders_customer_plain_join(spark: SparkSession, d: str, how: str = "inner") -> DataFrame:
-    from strata.plans.queries import _orders_customer
+def events_prices_plain_join(spark: SparkSession, d: str, how: str = "inner") -> DataFrame:
+    from strata.plans.queries import _events_and_prices, _priced
 
-    o, c = _orders_customer(spark, d)
-    return o.join(c, "o_custkey", how)
+    clicks, prices = _events_and_prices(spark, d)
+    return _priced(clicks.join(prices.hint("merge"), "revenue", how))
 
 
 def orders_lineitem_shuffle_join(spark: SparkSession, d: str) -> DataFrame:
@@ -85,19 +74,19 @@ def supplier_sums_direct(spark: SparkSession, d: str) -> DataFrame:
     return direct_key_sums(read_table(spark, d, "lineitem"), "l_suppkey", "l_extendedprice")
 
 
-def skew_user_stats_direct(spark: SparkSession, d: str) -> DataFrame:
-    return rollups.skew_user_stats(clickstream(spark, d))
+def skew_user_stats_direct(spark: SparkSession, d: str, key: str = "user_id") -> DataFrame:
+    return rollups.skew_user_stats(clickstream(spark, d), key)
 
 
 PLAIN = {
     "top_users_ranked": top_users_ranked_single_partition,
     "user_rank": user_rank_single_partition,
     "ltv_percentile": ltv_percentile_single_partition,
-    "salted_user_stats": salted_user_stats_random,
-    "hot_key_split_union": skew_user_stats_direct,
+    "salted_user_stats": skew_user_stats_direct,
+    "hot_key_split_union": lambda spark, d: skew_user_stats_direct(spark, d, "revenue"),
     "tier_stats": tier_stats_sort_merge,
-    "salted_join": lambda spark, d: orders_customer_plain_join(spark, d, "left"),
-    "hot_key_broadcast_join": orders_customer_plain_join,
+    "salted_join": lambda spark, d: events_prices_plain_join(spark, d, "left"),
+    "hot_key_broadcast_join": events_prices_plain_join,
     "bucketed_join": orders_lineitem_shuffle_join,
     "composite_key_repartition": supplier_sums_direct,
 }

@@ -100,10 +100,34 @@ def test_hot_key_join_broadcasts_only_the_hot_part(spark):
 
     o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, SF01, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    t = _run(joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey", share=0.0005), "inner"))
+    t = _run(joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey", share=0.0005, to_median=0), "inner"))
     assert "LeftSemi" in t and "LeftAnti" in t and "Union" in t
 
 
+def test_size_check_gathers_no_rows(spark):
+    """The measuring aggregate is partial below its one-task end: nothing else goes to a single partition."""
+    from strata.sources.tables import user_dimension
+
+    dim = user_dimension(spark, SF01)
+    t = _run(dim.agg(F.sum(F.octet_length("country"))))
+    assert single_partition_exchanges_are_global_aggregates(t)
+    import inspect
+
+    assert "limit(" not in inspect.getsource(joins.estimate_size_bytes) + inspect.getsource(joins.broadcast_if_bounded)
+
+
+def test_top_joined_events_limit_before_the_join(spark):
+    t = _run(QUERIES["top_joined_events"](spark, SF01))
+    final = t.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and "TakeOrderedAndProject" in final
+    assert final.index("BroadcastHashJoin") < final.rindex("TakeOrderedAndProject")
+
+
+def test_percent_rank_joins_no_rows_on_their_value(spark):
+    t = _run(QUERIES["ltv_percentile"](spark, SF01))
+    assert "SortMergeJoin" not in t.split("== Initial Plan ==")[0] and "Window" in t
+
+
 def test_bucketed_write_has_one_file_per_bucket(spark):
     import os
 
