@@ -35,7 +35,8 @@ percent degree degrees mph kmh kph watt watts kw volt volts amp amps hz khz mhz
 LITERAL, NUMBER, UNIT, NAME, END = range(5)
 PLACEHOLDER = {NUMBER: "<num>", NAME: "<name>", UNIT: "<unit>"}
 BITMAP_BITS = 1 << 22
-CACHE = 1 << 18
+CACHE = 1 << 19
+BATCH_CHARS = 1 << 21    # texts looked at together
 
 
 def _hash(word: str) -> int:
@@ -77,30 +78,27 @@ class Templates:
             self.code = np.append(self.code, np.array([_hash(t) for t in lower], np.uint64))
         return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Kinds and hashes of a text's template tokens, and their words."""
-        n = self._numbers(TOKEN.findall(text))
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template tokens of several texts laid end to end: kinds, hashes,
+        numbers of their words, and the text each belongs to."""
+        tokens = [TOKEN.findall(t) for t in texts]
+        n = self._numbers([t for ts in tokens for t in ts])
+        text = np.repeat(np.arange(len(tokens)), [len(ts) for ts in tokens])
         kind = self.kind[n]
-        first = np.concatenate([[True], kind[:-1] == END])[:len(kind)]     # of a sentence
+        fresh = np.ones(len(n), bool)                   # first of its text
+        fresh[1:] = text[1:] != text[:-1]
+        first = fresh.copy()                            # of a sentence
+        first[1:] |= kind[:-1] == END
         real = kind != END
-        kind, n, first = kind[real], n[real], first[real]
+        kind, n, text, first = kind[real], n[real], text[real], first[real]
         kind = np.where((kind == NAME) & first, LITERAL, kind)
-        after_number = np.concatenate([[False], kind[:-1] == NUMBER])[:len(kind)]
+        after_number = np.zeros(len(n), bool)
+        after_number[1:] = (kind[:-1] == NUMBER) & (text[1:] == text[:-1])
         kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
         code = self.code[n]
         for k, mark in PLACEHOLDER.items():
             code[kind == k] = _hash(mark)
-        return kind, code, [self.words[i] for i in n] if len(n) < 4096 else _Words(self.words, n)
-
-
-class _Words:
-    """The words of a long text, looked up when asked for."""
-
-    def __init__(self, words: list[str], n: np.ndarray):
-        self.words, self.n = words, n
-
-    def __getitem__(self, at: slice) -> list[str]:
-        return [self.words[i] for i in self.n[at]]
+        return kind, code, n, text
 
 
 def _window_hashes(code: np.ndarray, size: int) -> np.ndarray:
@@ -116,28 +114,41 @@ def _windows(sizes: list[int] | None, window: int, least: int, literals: int, bi
 
     With ``sizes`` None a text gives windows of ``window`` tokens, or is one
     window if it is shorter (``least`` tokens or more)."""
+    columns = ["id", "at", "size", "hash", "template", "slots"]
+
+    def found(templates: Templates, keys: list, texts: list[str]) -> list[tuple]:
+        kind, code, n, text = templates.of(texts)
+        count = np.bincount(text, minlength=len(texts))
+        begin = np.cumsum(count) - count
+        plain = np.concatenate([[0], np.cumsum(kind == LITERAL)])
+        out = []
+        for size in sizes if sizes is not None else range(least, window + 1):
+            h = _window_hashes(code, size)
+            if not len(h):
+                continue
+            hit = (text[size - 1:] == text[:len(h)]) & (plain[size:] - plain[:-size] >= literals)
+            if bitmap is not None:
+                low = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
+                hit &= (bitmap[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
+            elif size < window:
+                hit &= count[text[:len(h)]] == size     # a whole short text
+            for i in np.flatnonzero(hit).tolist():
+                k, words = kind[i:i + size].tolist(), [templates.words[x] for x in n[i:i + size]]
+                out.append((keys[text[i]], i - int(begin[text[i]]), size, int(h[i:i + 1].view(np.int64)[0]),
+                            " ".join(PLACEHOLDER.get(t, x) for t, x in zip(k, words)),
+                            [f"{p}:{PLACEHOLDER[t]}:{x}" for p, (t, x) in enumerate(zip(k, words)) if t != LITERAL]))
+        return out
+
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         templates = Templates()
         for batch in batches:
-            out = []
-            for key, text in zip(batch["id"], batch["text"]):
-                kind, code, words = templates.of(text or "")
-                for size in sizes if sizes is not None else [min(window, len(kind))]:
-                    if size < least or size > len(kind):
-                        continue
-                    h = _window_hashes(code, size)
-                    plain = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-                    hit = plain[size:] - plain[:-size] >= literals
-                    if bitmap is not None:
-                        low = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
-                        hit &= (bitmap[low >> 3] >> (low & 7) & 1).astype(bool)
-                    for at in np.flatnonzero(hit).tolist():
-                        k, w = kind[at:at + size].tolist(), words[at:at + size]
-                        out.append((key, at, size, int(h[at:at + 1].view(np.int64)[0]),
-                                    " ".join(PLACEHOLDER.get(t, x) for t, x in zip(k, w)),
-                                    [f"{i}:{PLACEHOLDER[t]}:{x}" for i, (t, x) in enumerate(zip(k, w)) if t != LITERAL]))
-            if out:
-                yield pd.DataFrame(out, columns=["id", "at", "size", "hash", "template", "slots"])
+            keys, texts = batch["id"].tolist(), [t or "" for t in batch["text"]]
+            part = np.cumsum([len(t) for t in texts]) // BATCH_CHARS
+            for p in np.unique(part):
+                at = np.flatnonzero(part == p)
+                out = found(templates, [keys[i] for i in at], [texts[i] for i in at])
+                if out:
+                    yield pd.DataFrame(out, columns=columns)
     return windows
 
 
