@@ -95,7 +95,31 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-@query("op7_secret_scan")
+def _spans_sql(rule: secrets.Rule, order: int) -> str:
+    """The matches of a rule, as the texts between and in them."""
+    pattern = "'" + rule.pattern.replace("'", "''") + "'"
+    part = f"regexp_extract_all(text, {pattern}, {rule.part})"
+    return f"""SELECT rid, {order} AS k, '{rule.kind}' AS kind, string_split_regex(text, {pattern}) AS gaps,
+        regexp_extract_all(text, {pattern}) AS whole, list_transform({part}, lambda m: length(m) >= {rule.least}) AS fits
+        FROM docs WHERE regexp_matches(text, {"'[0-9a-f]{24}'" if rule.kind == "hex" else pattern})"""
+
+
+SECRETS_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+hits AS ({" UNION ALL ".join(_spans_sql(r, i) for i, r in enumerate(secrets.BASE_RULES + secrets.MORE_RULES))}),
+one AS (SELECT rid, k, kind, gaps, whole, fits, unnest(range(1, len(whole) + 1)) AS i FROM hits),
+spans AS (SELECT rid, k, kind, fits[i] AS fits, length(whole[i]) AS n,
+                 sum(length(gaps[i]) + length(whole[i])) OVER (PARTITION BY rid, k ORDER BY i) AS stop FROM one),
+listed AS (SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+                  string_agg(kind || ':' || (stop - n) || ':' || stop, ',' ORDER BY stop - n, k) FILTER (k < 3) AS base,
+                  string_agg(kind || ':' || (stop - n) || ':' || stop, ',' ORDER BY stop - n, k) AS spans
+           FROM spans WHERE fits GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (rid)"""
+
+
+@query("op7_secret_scan", SECRETS_SQL)
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, each distinct text scanned once per rule version."""
     found, _ = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -104,7 +128,17 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.listing(F.col("found.spans")).alias("spans"))
 
 
-@query("op8_substring_dedup")
+@query("op8_substring_dedup", r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT rid, words, unnest(range(1, len(words) - 33)) AS i FROM docs WHERE len(words) >= 35),
+windows AS (SELECT rid, i, md5(array_to_string(words[i:i + 34], ' ')) AS w FROM places),
+repeats AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS "at" FROM windows SEMI JOIN repeats USING (w)),
+each AS (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS "at" FROM docs),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY "at") AS text FROM each ANTI JOIN gone USING (rid, "at") GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)""")
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words outside every repeated window of 35 words, over all documents."""
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=35)
@@ -128,7 +162,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-@query("op10_top_k")
+@query("op10_top_k", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS "rank" FROM scored)
+SELECT query_id, "rank"::INTEGER AS "rank", vec_id, score FROM ranked WHERE "rank" <= 10""")
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten highest integer inner products of every hundredth vector, over all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)

@@ -512,3 +512,20 @@ def test_dual_search_prunes_and_stays_exact():
         want = sorted(((-score[x], x) for x in ids if x != ids[::30][q]))[:k]
         assert sorted((-s[m], j[m]) for m in np.flatnonzero(i == q))[:k] == want
     assert len(i) < 30 * 300
+
+
+# The registered queries that SQL can express
+
+@pytest.mark.parametrize("key", sorted(ORACLE))
+def test_query_matches_its_sql(spark, key):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
+    want = con.sql(ORACLE[key])
+    got = QUERIES[key](spark, SF001)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(repr, (tuple(r) for r in got.select(want.columns).collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_every_operator_is_registered():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
