@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import regex
@@ -105,6 +106,8 @@ class WordCounter:
 
     CACHE = 1 << 19         # pre-tokens remembered in a task
     BATCH = 1 << 17         # new pre-tokens merged at once
+    CHUNK = 1 << 20         # characters of a long text tokenized at a time
+    TOGETHER = 1 << 22      # characters whose new pre-tokens are learned together
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -134,13 +137,35 @@ class WordCounter:
             n = self.merges.count([p.encode("utf-8", "replace") for p in part])
             self.known.update(zip(part, n.tolist()))
 
+    def _units(self, texts: list[str | None]) -> Iterator[tuple[int, str]]:
+        """(text, part) for parts that are tokenized alone: texts cut around
+        special strings, long ones also at a space about every CHUNK characters
+        (no pre-token and no composed character spans a space)."""
+        for i, text in enumerate(texts):
+            for part in self.special.split(text) if text and self.opening in text else [text or ""]:
+                start = 0
+                while len(part) - start > self.CHUNK and (cut := part.find(" ", start + self.CHUNK)) >= 0:
+                    yield i, part[start:cut]
+                    start = cut
+                yield i, part[start:]
+
     def count(self, texts: list[str | None]) -> list[int]:
         """Tokens of each text: special strings count one, the rest is cut
         around them into pre-tokens, whose counts are computed once."""
-        total, pieces = [0] * len(texts), []
-        for i, text in enumerate(texts):
-            parts = self.special.split(text) if text and self.opening in text else [text or ""]
-            total[i] = len(parts) - 1
-            pieces.append([p for part in parts for p in self._pretokens(part)])
-        self._learn(set().union(*pieces))
-        return [t + sum(map(self.known.__getitem__, p)) for t, p in zip(total, pieces)]
+        total = [len(self.special.findall(t)) if t and self.opening in t else 0 for t in texts]
+
+        def add(units: list[tuple[int, str]]) -> None:
+            pieces = [self._pretokens(part) for _, part in units]
+            self._learn(set().union(*pieces))
+            for (i, _), p in zip(units, pieces):
+                total[i] += sum(map(self.known.__getitem__, p))
+
+        held, size = [], 0
+        for unit in self._units(texts):
+            held.append(unit)
+            size += len(unit[1])
+            if size > self.TOGETHER:
+                add(held)
+                held, size = [], 0
+        add(held)
+        return total

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -10,31 +9,16 @@ from pyspark.sql import Column, functions as F
 
 from strata.llm.bpe import WordCounter
 
-BATCH_CHARS = 4_000_000     # texts counted together
-
 
 @lru_cache(maxsize=2)
 def _counter(path: str) -> WordCounter:
     return WordCounter(path)
 
 
-def _batches(texts: list) -> Iterator[list]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t or "")
-        if size > BATCH_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def token_count(text: Column, path: str) -> Column:
     """Number of tokens of ``text`` under the vocabulary file ``path``, which
     every executor must be able to open. Null counts as the empty text."""
     @F.pandas_udf("long")
     def counted(texts: pd.Series) -> pd.Series:
-        counter = _counter(path)
-        return pd.Series([n for part in _batches(list(texts)) for n in counter.count(part)], dtype="int64")
+        return pd.Series(_counter(path).count(list(texts)), dtype="int64")
     return counted(text)

@@ -341,7 +341,7 @@ def test_merging_agrees_on_random_text():
     texts = ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(3000)] + ["a" * 5000, "!" * 4097, "ab" * 3000, ""]
     t = Tokenizer.from_file(WORD_BPE)
     counter = bpe.WordCounter(WORD_BPE)
-    counter.CACHE = 500         # forgets often
+    counter.CACHE, counter.CHUNK, counter.TOGETHER = 500, 20, 3000         # forgets often, cuts often
     want = [len(e.ids) for e in t.encode_batch(texts, add_special_tokens=False)]
     assert [n for i in range(0, len(texts), 500) for n in counter.count(texts[i:i + 500])] == want
 
