@@ -30,7 +30,7 @@ def main() -> None:
 
     from strata.plans.queries import QUERIES
     from strata.plans.variants import PLAIN
-    from strata.session import local_session
+    from strata.session import local_session, release_scratch
 
     parts = max(8, int(cpus) * 2)
     spark = local_session(cpus, shuffle_partitions=parts, app_name="strata-bench")
@@ -83,6 +83,7 @@ def main() -> None:
     if errors:
         out["errors"] = errors
     print(json.dumps(out))
+    release_scratch(spark)
     spark.stop()
 
 

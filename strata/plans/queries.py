@@ -570,6 +570,15 @@ def q_write_compacted(spark, d):
     return layout.write_compacted(_customer_spend(spark, d), scratch_dir(spark, "spend-compacted"))
 
 
+@register("write_file_count", 'SELECT count(*) AS "rows", 6::BIGINT AS files FROM orders')
+def q_write_file_count(spark, d):
+    """Orders written into six files, counted in the folder's listing."""
+    path = scratch_dir(spark, "orders-six")
+    back = layout.write_compacted(read_table(spark, d, "orders"), path, files=6)
+    return (back.agg(F.count(F.lit(1)).alias("rows"))
+            .select("rows", layout.input_bytes(spark, path).select("files").scalar().alias("files")))
+
+
 @register("file_layout_report", """
 SELECT o_orderstatus, count(*) AS "rows", true AS all_listed, true AS all_small
 FROM orders GROUP BY o_orderstatus""")

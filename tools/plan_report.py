@@ -55,7 +55,7 @@ def _bounded(key: str) -> str:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as ent
+    from strata.plans.queries import QUERIES
 
     spark = local_session()
     print("# Final physical plans, per catalog key\n")
@@ -65,7 +65,7 @@ def main():
     print("one-row-per-partition offsets, so no unbounded data meets in one task.\n")
     print("| key | hash exch. | range exch. | round-robin | single-part. | broadcasts | BHJ | SMJ | skew split | window | top-k | 1-task ok | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for k, fn in ent.queries().items():
+    for k, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()
         s = summary(plan_text(df))
