@@ -4,13 +4,12 @@ Texts are shuffled once, into blocks of about a megabyte. A block hashes all
 its windows and sends each distinct hash once, to the bucket its leading bits
 name: a request of 7 bytes per hash, however often a hash repeats in the
 block. A bucket counts the blocks of each hash and answers with one bit per
-hash, in the order asked. A block joins the answers with its own counts, so
-each of its windows is known to be repeated or not, and merges the repeated
-ones into maximal intervals. Neither a text nor a window position travels
-through the counting.
+hash, in the order asked. A block joins the answers with its own counts.
 
-Hashes have 64 bits; two different windows are taken for one with a
-probability of about n^2 / 2^65 over n windows.
+Windows that seem repeated go through a second round with another hash
+function, so that a window counts as repeated only if both its 64-bit hashes
+are; what remains is merged into maximal intervals. Neither a text nor a window
+position travels through the counting.
 """
 
 from __future__ import annotations
@@ -25,7 +24,8 @@ BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20      # of text whose hashes share a bucket
 MIN_BUCKETS = 256           # so that the first byte of a hash is known from its bucket
 
-BASE_BYTE, BASE_WORD = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95   # odd multipliers
+# Odd multipliers of each round's hash, over the bytes of a word and over words.
+BASES = ((0x9E3779B97F4A7C15, 0xD1342543DE82EF95), (0xBF58476D1CE4E5B9, 0x2545F4914F6CDD1D))
 
 
 @lru_cache(maxsize=8)
@@ -63,29 +63,62 @@ def split_words(data: bytes | None) -> list[bytes]:
     return (data or b"").split()    # of bytes: at ASCII white space alone
 
 
-def window_hashes(docs: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of every window of every document, and where each starts among
-    the words of all documents laid end to end."""
+def window_hashes(docs: list[list[bytes]], window: int, turn: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every window of every document, by the hash function of a
+    round, and where each starts among the words of all documents laid end to end."""
+    byte_base, word_base = BASES[turn]
     words = [w for d in docs for w in d]
     n = len(words)
     size = np.fromiter(map(len, words), np.int64, n)
     end = np.cumsum(size)
     letters = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
-    token = _mix(_rolling(letters, BASE_BYTE, end - size, end) ^ (size.astype(np.uint64) << np.uint64(40)))
+    token = _mix(_rolling(letters, byte_base, end - size, end) ^ (size.astype(np.uint64) << np.uint64(40)))
     close = np.repeat(np.cumsum([len(d) for d in docs]), [len(d) for d in docs]) if n else np.zeros(0, np.int64)
     start = np.flatnonzero(np.arange(n) + window <= close)
-    return _mix(_rolling(token, BASE_WORD, start, start + window)), start
+    return _mix(_rolling(token, word_base, start, start + window)), start
 
 
-def _request(window: int, shift: int):
+def _repeated(h: np.ndarray, shift: int, buckets, bits) -> np.ndarray:
+    """Which of a block's hashes occur elsewhere: in the block itself, or in
+    another one by the answers to its distinct hashes."""
+    known, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+    twice, bucket = count > 1, (known >> np.uint64(shift)).astype(np.int64)
+    for k, b in zip(buckets, bits):
+        lo, hi = np.searchsorted(bucket, [k, k + 1])
+        twice[lo:hi] |= np.unpackbits(np.frombuffer(b, np.uint8), count=hi - lo).astype(bool)
+    return twice[inverse]
+
+
+def _doubtful(docs: list[list[bytes]], window: int, shift: int, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Second hashes and starts of the windows that the first round found repeated."""
+    h, start = window_hashes(docs, window)
+    first = answers[answers["turn"] == 0]
+    kept = _repeated(h, shift, first["bucket"], first["bits"])
+    return (window_hashes(docs, window, 1)[0][kept] if kept.any() else h[:0]), start[kept]
+
+
+def _request(block: int, turn: int, h: np.ndarray, shift: int) -> pd.DataFrame:
+    """A block's distinct hashes by bucket, seven bytes each."""
+    h = np.unique(h)
+    bucket = (h >> np.uint64(shift)).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else np.zeros(0, int)
+    low = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
+    return pd.DataFrame({"bucket": bucket[cut], "turn": np.full(len(cut), turn), "block": np.full(len(cut), block),
+                         "hashes": [low[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(h)))]})
+
+
+def _ask(window: int, shift: int):
     def ask(rows: pd.DataFrame) -> pd.DataFrame:
-        h, _ = window_hashes([split_words(t) for t in rows["text"]], window)
-        h = np.unique(h)
-        bucket = (h >> np.uint64(shift)).astype(np.int64)
-        cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(h) else np.zeros(0, int)
-        low = np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7])
-        return pd.DataFrame({"bucket": bucket[cut], "block": np.full(len(cut), rows["block"].iloc[0]),
-                             "hashes": [low[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(h)))]})
+        docs = [split_words(t) for t in rows["text"]]
+        return _request(rows["block"].iloc[0], 0, window_hashes(docs, window)[0], shift)
+    return ask
+
+
+def _ask_again(window: int, shift: int):
+    def ask(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        docs = [split_words(t) for t in rows["text"]]
+        h, _ = _doubtful(docs, window, shift, answers)
+        return _request(rows["block"].iloc[0] if len(rows) else 0, 1, h, shift)
     return ask
 
 
@@ -100,9 +133,9 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     twice = np.zeros(len(h), bool)
     twice[order[1:][same]] = True
     twice[order[:-1][same]] = True
-    out = [(b, k, np.packbits(t).tobytes()) for b, k, t in zip(
-        rows["block"], rows["bucket"], np.split(twice, np.cumsum(size)[:-1])) if t.any()]
-    return pd.DataFrame(out, columns=["block", "bucket", "bits"])
+    out = [(b, n, k, np.packbits(t).tobytes()) for b, n, k, t in zip(
+        rows["block"], rows["turn"], rows["bucket"], np.split(twice, np.cumsum(size)[:-1])) if t.any()]
+    return pd.DataFrame(out, columns=["block", "turn", "bucket", "bits"])
 
 
 def _intervals(covered: np.ndarray) -> list[tuple[int, int]]:
@@ -113,14 +146,9 @@ def _intervals(covered: np.ndarray) -> list[tuple[int, int]]:
 def _remove(window: int, shift: int, id_col: str):
     def remove(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         docs = [split_words(t) for t in rows["text"]]
-        h, start = window_hashes(docs, window)
-        known, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
-        repeated = count > 1
-        bucket = (known >> np.uint64(shift)).astype(np.int64)
-        for k, bits in zip(answers["bucket"], answers["bits"]):
-            a, b = np.searchsorted(bucket, [k, k + 1])
-            repeated[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
-        at = start[repeated[inverse]]
+        h, start = _doubtful(docs, window, shift, answers)
+        second = answers[answers["turn"] == 1]
+        at = start[_repeated(h, shift, second["bucket"], second["bits"])]
         n = sum(map(len, docs))
         step = np.zeros(n + 1, np.int64)
         np.add.at(step, at, 1)
@@ -152,11 +180,14 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     text = F.col(text_col).cast("binary")
     rows = docs.select(F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text_col))), F.lit(blocks)).alias("block"),
                        F.col(id_col).alias("id"), text.alias("text"))
-    blocked = rows.groupBy("block")
-    asked = blocked.applyInPandas(_request(window, 64 - bits), "bucket long, block long, hashes binary")
-    answered = asked.groupBy("bucket").applyInPandas(_answer, "block long, bucket long, bits binary")
+    blocked, shift = rows.groupBy("block"), 64 - bits
+    request, answer = "bucket long, turn int, block long, hashes binary", "block long, turn int, bucket long, bits binary"
+    asked = blocked.applyInPandas(_ask(window, shift), request)
+    answered = asked.groupBy("bucket").applyInPandas(_answer, answer)
+    doubted = blocked.cogroup(answered.groupBy("block")).applyInPandas(_ask_again(window, shift), request)
+    answers = answered.unionByName(doubted.groupBy("bucket").applyInPandas(_answer, answer))
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()),
                            T.StructField("removed", T.ArrayType(T.StructType([
                                T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
                            T.StructField("kept", T.BinaryType())])
-    return blocked.cogroup(answered.groupBy("block")).applyInPandas(_remove(window, 64 - bits, id_col), schema)
+    return blocked.cogroup(answers.groupBy("block")).applyInPandas(_remove(window, shift, id_col), schema)
