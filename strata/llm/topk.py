@@ -28,7 +28,7 @@ ANCHORS = 64
 SAMPLE = 2048           # vectors that the anchors are chosen from
 BLOCK = 4096            # vectors of a block, about
 CHUNK = 1024            # queries of a chunk, about
-LEAF, CHILDREN = 32, 16
+LEAF, CHILDREN = 128, 16
 
 
 def integers(vector: Column, scale: int = 1024) -> Column:
