@@ -26,19 +26,22 @@ MAX_FILTER_BITS = 1 << 24
 BITS_PER_KEY, HASHES = 10, 5
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``; null where there is none."""
+    before = F.when(F.contains(url, F.lit("://")), F.substring_index(url, "://", 1))
+    return F.substr(url, F.char_length(before) + 4)
+
+
 def host(url: Column) -> Column:
     """Between the first ``://`` and ``/``, ``?``, ``#`` or the end, A-Z in lower
     case; empty without ``://`` and for null."""
-    rest = F.when(F.contains(url, F.lit("://")), F.substring_index(url, "://", 1))
-    rest = F.substr(url, F.char_length(rest) + 4)
-    return F.coalesce(F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
+    name = F.regexp_extract(_after_scheme(url), r"^([^/?#]*)", 1)
+    return F.coalesce(F.translate(name, UPPER, LOWER), F.lit(""))
 
 
 def path(url: Column) -> Column:
     """After the host up to ``?``, ``#`` or the end; empty like the host."""
-    rest = F.when(F.contains(url, F.lit("://")), F.substring_index(url, "://", 1))
-    rest = F.substr(url, F.char_length(rest) + 4)
-    return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def domains(name: Column) -> Column:
