@@ -155,10 +155,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of four fifths of them."""
-    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(5, 0))
+    docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
-    classifier = toxicity.train(docs.where("not held_out"), labels)
-    scored = docs.select("doc_id", "held_out", classifier.score(F.col("text")).alias("score"))
+    classifier, rows = toxicity.train(docs, labels, train_on=~held_out(5, 0))
+    scored = rows.select(F.col("id").alias("doc_id"), (~F.col("trains")).alias("held_out"), classifier.score_packed(F.col("x")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

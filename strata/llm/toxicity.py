@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-1. A lexicon is learned from the labelled training rows: words, and beginnings
-   of words, that toxic texts hold far more often than others.
+1. A lexicon is learned from a bounded sample of the labelled training rows:
+   words, and beginnings of words, that toxic texts hold far more often than others.
 2. Voters look for it in different ways: several lexicons, word beginnings,
    and patterns of disguise (digits for letters, spaced, stretched, masked and
    shouted words), each of which fires or doesn't on a text.
@@ -10,7 +10,10 @@
    correlations between voters as a spanning forest. Given labels take part as
    one more voter that may abstain and may err. It is fitted by EM.
 4. A linear classifier on lexicon and pattern features is trained on the label
-   model's posteriors of a bounded sample of labelled training rows.
+   model's posteriors of the same sample.
+
+The sample's ids are the only thing broadcast, so no text is shuffled. Every
+text is read for its features once; voting and scoring work on those.
 """
 
 from __future__ import annotations
@@ -36,7 +39,8 @@ EDGE = ".,;:?!\"'()[]*#-_"
 BEGIN = 5               # letters of a word's beginning
 LEXICONS, STEM_VOTERS, PATTERNS = 6, 2, ("leet", "spaced", "stretched", "masked", "shouted", "several")
 MAX_KEYS = 256          # learned words and beginnings
-SAMPLE_ROWS = 20_000    # labelled rows that the classifier is trained on, at most
+SAMPLE_ROWS = 30_000    # labelled rows that lexicon and classifier are learned from, at most
+ROWS = 4096             # of features in memory as floats at once
 
 
 def keys(text: str) -> set[str]:
@@ -109,7 +113,7 @@ VOTERS = LEXICONS + STEM_VOTERS + len(PATTERNS)
 
 def learn_keys(train: DataFrame, min_share: float = 0.002, min_gain: float = 15.0) -> tuple[str, ...]:
     """The keys that mark toxic texts most surely (by likelihood ratio), at most
-    MAX_KEYS. ``train``: (``text``, ``toxic``). Every row is counted; only keys in at least
+    MAX_KEYS. ``train``: (``text``, ``toxic``). Only keys in at least
     ``min_share`` of the toxic rows (three or more) are counted elsewhere too."""
     found = F.pandas_udf(lambda texts: pd.Series([list(keys(t or "")) for t in texts]), "array<string>")
     rows = train.select("toxic", F.explode(found("text")).alias("key"))
@@ -216,15 +220,18 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
 
 
-def fit_linear(x: np.ndarray, p: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Logistic regression on soft labels by Newton's method; the last weight is the intercept."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
+def fit_linear(rows: np.ndarray, p: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+    """Logistic regression on soft labels by Newton's method, from rows of
+    counts; the last weight is the intercept."""
+    d = rows.shape[1]
+    w, penalty = np.zeros(d + 1), np.append(np.full(d, ridge), 1e-6)
     for _ in range(rounds):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (q - p) + penalty * w
-        hessian = (x * (q * (1 - q))[:, None]).T @ x + np.diag(penalty + 1e-9)
+        gradient, hessian = penalty * w, np.diag(penalty + 1e-9)
+        for i in range(0, len(rows), ROWS):
+            x = np.hstack([_scaled(rows[i:i + ROWS]), np.ones((len(rows[i:i + ROWS]), 1))])
+            q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            gradient = gradient + x.T @ (q - p[i:i + ROWS])
+            hessian = hessian + (x * (q * (1 - q))[:, None]).T @ x
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -232,54 +239,84 @@ def fit_linear(x: np.ndarray, p: np.ndarray, ridge: float = 1.0, rounds: int = 2
     return w
 
 
+def _scaled(counts: np.ndarray) -> np.ndarray:
+    return np.log1p(counts.astype(np.float64))
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    """The counts that aren't zero: how many, their places, their values."""
+    at = np.flatnonzero(counts)
+    return at.astype("<u2").tobytes() + counts[at].astype("<f4").tobytes()
+
+
+def _dense(packed, width: int) -> np.ndarray:
+    out = np.zeros((len(packed), width), np.float32)
+    for row, b in zip(out, packed):
+        n = len(b) // 6
+        row[np.frombuffer(b, "<u2", n)] = np.frombuffer(b, "<f4", n, 2 * n)
+    return out
+
+
 @dataclass(frozen=True)
 class Classifier:
     features: Features
     weights: np.ndarray | None
 
-    def score(self, text: Column) -> Column:
-        """Between 0 and 1; 0 where there was nothing to learn from."""
-        features, weights = self.features, self.weights
-
-        def scored(texts: pd.Series) -> pd.Series:
-            if weights is None:
-                return pd.Series(np.zeros(len(texts)))
-            x = _scaled(np.array([features.of(t) for t in texts]).reshape(len(texts), -1))
-            return pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))))
-        return F.pandas_udf(scored, "double")(text)
+    def packed(self, text: Column) -> Column:
+        """A text's features, as bytes."""
+        features = self.features
+        return F.pandas_udf(lambda texts: pd.Series([_packed(features.of(t)) for t in texts], dtype=object), "binary")(text)
 
+    def score_packed(self, packed: Column) -> Column:
+        weights, width = self.weights, len(self.features.names) + len(PATTERNS)
 
-def _scaled(counts: np.ndarray) -> np.ndarray:
-    return np.log1p(counts.astype(np.float64))
-
+        def scored(rows: pd.Series) -> pd.Series:
+            if weights is None:
+                return pd.Series(np.zeros(len(rows)))
+            z = [_scaled(_dense(rows[i:i + ROWS], width)) @ weights[:-1] + weights[-1] for i in range(0, len(rows), ROWS)]
+            return pd.Series(1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *z]), -30, 30))))
+        return F.pandas_udf(scored, "double")(packed)
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
-          text_col: str = "text", label_col: str = "toxic") -> Classifier:
-    """Fit on ``docs`` and ``labels`` (both training rows only). Lexicon counts
-    cover every labelled row and vote counts every document; the classifier is
-    trained on at most ``sample_rows`` labelled rows, chosen by a hash of the id."""
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    labels = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
-              .agg(F.max(F.col(label_col)).cast("int").alias("toxic")))
-    labelled = materialize(docs.join(labels, "id"), "toxic-labelled")
-    features = Features(learn_keys(labelled))
+    def score(self, text: Column) -> Column:
+        """Between 0 and 1; 0 where there was nothing to learn from."""
+        return self.score_packed(self.packed(text))
+
+
+def train(docs: DataFrame, labels: DataFrame, train_on: Column | None = None, sample_rows: int = SAMPLE_ROWS,
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[Classifier, DataFrame]:
+    """Fit on the rows of ``docs`` where ``train_on`` holds (default: all) and
+    on ``labels``, which must be of such rows. Returns the classifier and, for
+    every row of ``docs``, its id, ``trains`` and packed features ``x``.
+
+    Lexicon and classifier are learned from at most ``sample_rows`` labelled
+    rows, chosen by a hash of the id; the label model counts the votes on every
+    training document. A repeated label counts once, the higher one.
+    """
+    trains = F.lit(True) if train_on is None else F.coalesce(train_on, F.lit(False))
+    docs = docs.select(F.col(id_col).alias("id"), trains.alias("trains"), F.col(text_col).alias("text"))
+    labels = materialize(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+                         .agg(F.max(F.col(label_col)).cast("int").alias("toxic")), "toxic-labels")
+    chosen = materialize(labels.orderBy(F.xxhash64("id"), "id").limit(sample_rows), "toxic-chosen")
+    sample = docs.where("trains").join(F.broadcast(chosen), "id").select("id", "toxic", "text")    # sample_rows ids at most
+    sample = materialize(sample, "toxic-sample")
+    features = Features(learn_keys(sample))
+    blank = Classifier(features, None)
+    found = materialize(docs.select("id", "trains", blank.packed(F.col("text")).alias("x")), "toxic-features")
     if not features.names:
-        return Classifier(features, None)
+        return blank, found
+    width = len(features.names) + len(PATTERNS)
 
-    def vote(texts: pd.Series) -> pd.Series:
-        counts = np.array([features.of(t) for t in texts]).reshape(len(texts), len(features.names) + len(PATTERNS))
-        return pd.Series(features.votes(counts) @ (1 << np.arange(VOTERS)))
+    def vote(rows: pd.Series) -> pd.Series:
+        parts = [features.votes(_dense(rows[i:i + ROWS], width)) @ (1 << np.arange(VOTERS)) for i in range(0, len(rows), ROWS)]
+        return pd.Series(np.concatenate([np.zeros(0, np.int64), *parts]))
 
-    pattern = docs.select("id", F.pandas_udf(vote, "long")("text").alias("pattern"))
+    pattern = found.where("trains").select("id", F.pandas_udf(vote, "long")("x").alias("pattern"))
     counted = (pattern.join(labels, "id", "left").groupBy("pattern", F.coalesce("toxic", F.lit(-1)).alias("given"))
                .agg(F.count("*").alias("n")).toPandas())    # at most 3 * 2^VOTERS rows
-    bits = lambda p: (p.to_numpy(np.int64)[:, None] >> np.arange(VOTERS) & 1).astype(bool)
-    model = LabelModel(bits(counted["pattern"]), counted["given"].to_numpy(), counted["n"].to_numpy())
-
-    chosen = labelled.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    counts = F.pandas_udf(lambda texts: pd.Series([features.of(t).tolist() for t in texts]), "array<float>")
-    sample = labelled.join(chosen.select("id").distinct(), "id", "left_semi").select("toxic", counts("text").alias("x"))
-    sample = sample.toPandas()
-    x = np.array(sample["x"].tolist(), np.float32)
-    p = model.posterior(features.votes(x), sample["toxic"].to_numpy())
-    return Classifier(features, fit_linear(_scaled(x), p))
+    bits = (counted["pattern"].to_numpy(np.int64)[:, None] >> np.arange(VOTERS) & 1).astype(bool)
+    model = LabelModel(bits, counted["given"].to_numpy(), counted["n"].to_numpy())
+
+    rows = found.where("trains").join(F.broadcast(chosen), "id").select("toxic", "x").toPandas()
+    x = _dense(rows["x"], width)
+    votes = np.concatenate([features.votes(x[i:i + ROWS]) for i in range(0, len(x), ROWS)])
+    return Classifier(features, fit_linear(x, model.posterior(votes, rows["toxic"].to_numpy()))), found

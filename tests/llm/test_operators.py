@@ -135,12 +135,14 @@ def test_toxicity_hard_rows(spark, hard):
         "doc_id long, text string"), allowMissingColumns=True)
     labels = spark.createDataFrame([(100 + i, i % 2, 0) for i in range(50)] + [(1, 0, 1), (1, 0, None), (None, 1, 1), (3, None, 0)],
                                    "doc_id long, toxic int, quality int")
-    model = toxicity.train(docs, labels)
+    model, rows = toxicity.train(docs, labels)
+    assert rows.count() == docs.count()
     score = {r.doc_id: r.s for r in docs.select("doc_id", model.score(F.col("text")).alias("s")).collect()}
     assert score[151] > 0.5 > score[150] and score[155] > 0.5 and score[3] == score[4] < 0.5
-    nothing = toxicity.train(docs, labels.limit(0))
+    nothing, _ = toxicity.train(docs, labels.limit(0))
     assert {r.s for r in docs.select(nothing.score(F.col("text")).alias("s")).collect()} == {0.0}
     assert docs.limit(0).select(model.score(F.col("text")).alias("s")).count() == 0
+    assert toxicity.train(docs.limit(0), labels)[1].count() == 0
 
 
 def test_label_model_finds_accuracies():
