@@ -16,8 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strata.llm.bloom import bloom_filter
 from strata.session import materialize
 
+MAX_FILTER_BITS = 1 << 22
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -131,10 +134,16 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     per_blob = findings(ledger, rules, base)
     per_blob = materialize(per_blob.select(F.col("blob").alias("_blob"), F.struct(
         *[c for c in per_blob.columns if c != "blob"]).alias("found")), "findings")
+    # Most texts have no finding. A small filter of the blobs that do keeps the
+    # others out of the join; where it is too full to, the join takes them all.
+    bits = min(MAX_FILTER_BITS, 64 * -(-per_blob.count() * 10 // 64) or 64)
+    maybe = bloom_filter(per_blob.select(F.col("_blob").alias("key")), bits)(F.col("_key"))
     rows = docs.withColumn("_key", blob_id(F.col(text_col)))
     kept = [c for c in docs.columns if c != "found"]
-    joined = rows.join(per_blob, rows["_key"] == per_blob["_blob"], "left")
-    return joined.select(*[rows[c] for c in kept], per_blob["found"]), ledger
+    hit = rows.where(maybe)
+    hit = hit.join(per_blob, hit["_key"] == per_blob["_blob"], "left").select(*[hit[c] for c in kept], per_blob["found"])
+    none = F.lit(None).cast(per_blob.schema["found"].dataType).alias("found")
+    return hit.unionByName(rows.where(~maybe).select(*[rows[c] for c in kept], none)), ledger
 
 
 def listing(spans: Column) -> Column:

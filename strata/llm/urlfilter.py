@@ -16,14 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.llm.bloom import bloom_filter
 from strata.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_FILTER_BITS = 1 << 24
-BITS_PER_KEY, HASHES = 10, 5
+BITS_PER_KEY = 10
 
 
 def _after_scheme(url: Column) -> Column:
@@ -51,26 +51,6 @@ def domains(name: Column) -> Column:
                        lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
 
 
-def _positions(key: Column, level: int, bits: int) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(key, F.lit(level), F.lit(i)), F.lit(bits).cast("long")) for i in range(HASHES)])
-
-
-def _filter(keys: DataFrame, level: int, bits: int) -> Callable[[Column], Column]:
-    """Whether a key may be in the filter of ``keys``, as an expression on the
-    filter's words (64 bits each), which are one constant array."""
-    at = keys.select(F.explode(_positions(F.col("key"), level, bits)).alias("at"))
-    words = (at.groupBy(F.expr("at div 64").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v")).collect())
-    dense = np.zeros(bits // 64, np.int64)
-    dense[[r["word"] for r in words]] = [r["v"] for r in words]
-    constant = F.split(F.lit(",".join(map(str, dense.tolist()))), ",").cast("array<bigint>")
-
-    def test(key: Column) -> Column:
-        return F.forall(_positions(key, level, bits), lambda at: F.getbit(
-            F.get(constant, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1)
-    return test
-
-
 def cascade(universe: DataFrame, listed: DataFrame, max_filter_bits: int = MAX_FILTER_BITS
             ) -> Callable[[Column], Column] | None:
     """Exact membership test for the keys of ``universe`` (column ``key``) in
@@ -89,7 +69,7 @@ def cascade(universe: DataFrame, listed: DataFrame, max_filter_bits: int = MAX_F
         if bits > max_filter_bits:
             return None
         level = len(tests)
-        tests.append(_filter(inside, level, bits))
+        tests.append(bloom_filter(inside, bits, salt=level))
         inside, outside = materialize(outside.where(tests[-1](F.col("key"))), f"passed-{level}"), inside
 
     def member(key: Column) -> Column:
