@@ -40,7 +40,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     text alike."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     key = secrets.blob_id(F.col("text"))
-    hits = decontam.contamination(docs.select(key.alias("_key"), "text"), benchmark, id_col="_key")
+    hits = decontam.contamination(docs.select(key.alias("_key"), "text"), benchmark, id_col="_key", by_window=True)
     hits = materialize(hits.select("_key").distinct(), "contaminated")
     return docs.withColumn("_key", key).join(hits, "_key", "left_anti").select(docs.columns)
 

@@ -3,10 +3,10 @@
 Texts become sequences of template tokens: words in lower case, with numbers,
 names (capitalised within a sentence) and units (after a number) replaced by
 typed placeholders whose values are kept as slots. Windows of template tokens
-are hash-joined with those of the benchmark; along each alignment of a
-document and an item, slots must map one to one from the item's values to the
-document's. So a question is found with other numbers, names or units too, but
-not where they contradict each other.
+are hash-joined with those of the benchmark. So a question is found with other numbers, names or units too, but
+not where they contradict each other along an alignment of a document and an
+item: each value of the item must stand for one of the document, and for names
+and units the other way round, too.
 
 Documents send on only windows whose hash passes a fixed-size bitmap of the
 benchmark's window hashes; the join then compares whole templates.
@@ -15,6 +15,7 @@ benchmark's window hashes; the join then compares whole templates.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -162,12 +163,42 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return words.view(np.uint8)
 
 
+def _judge(by_window: bool):
+    """Function of an alignment's windows to the places of those that count, and
+    whether all slots have the item's value."""
+
+    def judged(windows):
+        slots = {tuple(s) for w in windows for s in w["slots"]}     # place, kind, mine, theirs
+        same = all(mine == theirs for _, _, mine, theirs in slots)
+        votes = Counter((kind, mine, theirs) for _, kind, mine, theirs in slots)
+        there, back = {}, {}
+        for kind, mine, theirs in sorted(votes, key=lambda v: (-votes[v], v[1] != v[2], v)):
+            there.setdefault((kind, mine), theirs)
+            back.setdefault((kind, theirs), mine)
+
+        def agrees(s) -> bool:
+            return there[s["kind"], s["mine"]] == s["theirs"] and (
+                s["kind"] == PLACEHOLDER[NUMBER] or back[s["kind"], s["theirs"]] == s["mine"])
+
+        places = [w["item_at"] for w in windows if all(map(agrees, w["slots"]))
+                  or by_window and all(s["mine"] == s["theirs"] for s in w["slots"])]
+        whole = by_window or len(places) == len(windows)
+        return sorted(set(places)) if whole else [], same
+    return judged
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = 8, least: int = 5,
-                  literals: int = 4, min_windows: int = 1) -> DataFrame:
+                  literals: int = 4, min_windows: int = 1, by_window: bool = False) -> DataFrame:
     """One row per document and benchmark item found in it: the two ids,
     ``n_windows`` (matching windows), ``share`` (of the item's distinct
-    windows) and ``same_values`` (whether every slot has the item's value).
+    windows) and ``same_values`` (whether every slot of an alignment has the
+    item's value).
+
+    An alignment whose slots contradict each other counts for nothing as a
+    whole; with ``by_window``, which the queries use, all its windows with the
+    item's own values count, and of the others those that agree with the value
+    most places have.
 
     Windows hold at least ``literals`` plain words. Items shorter than
     ``window`` are one window; those under ``least`` tokens, and null texts,
@@ -185,23 +216,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
              .mapInPandas(_windows(sizes, window, least, literals, _bitmap(items)), schema(docs.schema[id_col].dataType)))
     item = items.select(F.col("id").alias("item"), F.col("at").alias("item_at"), "size", "hash", "template",
                         F.col("slots").alias("item_slots"))
+    value = lambda s, i: F.element_at(F.split(s, ":", 3), i)
     pairs = found.join(item, ["hash", "size", "template"]).select(
         "id", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
         # of each slot: place in the item, kind, the item's value, the document's
         F.zip_with("item_slots", "slots", lambda a, b: F.struct(
-            F.element_at(F.split(a, ":", 3), 2).alias("kind"), F.element_at(F.split(a, ":", 3), 3).alias("mine"),
-            F.element_at(F.split(b, ":", 3), 3).alias("theirs"))).alias("slots"))
-    aligned = pairs.groupBy("id", "item", "shift").agg(
-        F.collect_set("item_at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    mine = F.transform("slots", lambda s: F.struct(s["kind"], s["mine"]))
-    theirs = F.transform("slots", lambda s: F.struct(s["kind"], s["theirs"]))
-    one_to_one = ((F.size(F.array_distinct(mine)) == F.size("slots"))
-                  & (F.size(F.array_distinct(theirs)) == F.size("slots")))
+            (F.col("item_at") + value(a, 1).cast("long")).alias("place"), value(a, 2).alias("kind"),
+            value(a, 3).alias("mine"), value(b, 3).alias("theirs"))).alias("slots"))
+    aligned = pairs.groupBy("id", "item", "shift").agg(F.collect_set(F.struct("item_at", "slots")).alias("windows"))
+    judged = F.udf(_judge(by_window), "places array<long>, same_values boolean")
+    aligned = aligned.select("id", "item", judged("windows").alias("found")).select("id", "item", "found.*")
     totals = item.groupBy("item").agg(F.countDistinct("item_at").alias("total"))
-    hits = aligned.where(one_to_one).groupBy("id", "item").agg(
+    hits = aligned.where(F.size("places") > 0).groupBy("id", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
-        F.max(F.forall("slots", lambda s: s["mine"] == s["theirs"])).alias("same_values"))
+        F.max("same_values").alias("same_values"))
     hits = hits.where(F.col("n_windows") >= min_windows).join(totals, "item")
     return hits.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows",
                        (F.col("n_windows") / F.col("total")).alias("share"), "same_values")

@@ -233,6 +233,18 @@ def test_decontamination_slots(spark):
     assert decontam.contamination(docs, items.limit(0)).count() == decontam.contamination(docs.limit(0), items).count() == 0
 
 
+def test_decontamination_windows_beside_contradictions(spark):
+    start, end = "Take 5 of the red boxes and put them on the old table near ", " apples that were left over from the long trip home"
+    docs = spark.createDataFrame([(1, start + "6" + end), (2, start.replace("5", "7") + "7" + end),
+                                  (3, "Take 4 red cups and 4 blue cups to the big white house"), (4, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, start + "5" + end), (2, "Take 3 red cups and 5 blue cups to the big white house")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contamination(docs, items, by_window=True).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 2)}
+    assert 0 < got[1, 1].share < 1 and got[2, 1].share == got[3, 2].share == 1 and not any(r.same_values for r in got.values())
+    # Two numbers of an item may become equal, two names may not.
+    assert {r.doc_id for r in decontam.contamination(docs, items).collect()} == {2, 3}
+
+
 # 5: packing
 
 def check_packing(pieces, texts):
