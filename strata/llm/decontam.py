@@ -2,7 +2,8 @@
 
 Texts become sequences of template tokens: words in lower case, with numbers,
 names (capitalised within a sentence) and units (after a number) replaced by
-typed placeholders whose values are kept as slots. Windows of template tokens
+typed placeholders whose values are kept as slots. Operators between operands
+are tokens, and so is each character of a script without spaces. Windows of template tokens
 are hash-joined with those of the benchmark. So a question is found with other numbers, names or units too, but
 not where they contradict each other along an alignment of a document and an
 item: each value of the item must stand for one of the document, and for names
@@ -25,7 +26,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from strata.session import materialize
 
-TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+(?:[.,]\d+)*|[.!?:;]|\n")
+# Scripts without spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer): each character is a token.
+UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u3041-\u30ff"
+            "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f")
+LETTER = rf"[^\W\d_{UNSPACED}]"
+# Signs of calculation, where they stand between operands: not hyphens, bullets or slashes of prose.
+OPERATORS = "+=^×÷*/<>-−"
+TOKEN = re.compile(rf"{LETTER}+(?:['’]{LETTER}+)*|\d+(?:[.,]\d+)*|[.!?:;。！？]|\n|[{UNSPACED}]"
+                   r"|[+=^×÷](?:(?<=[\w)].)|(?<=[\w)] .))(?= ?[\w(?])|[*/<>−-](?:(?<=[\d)].)|(?<=[\d)] .))(?= ?[\d(])")
 # Words that are units after a number.
 UNITS = frozenset("""
 mm cm m km inch inches foot feet ft yard yards mile miles mi mg g kg lb lbs oz ounce ounces pound pounds gram grams
@@ -33,8 +41,9 @@ kilogram kilograms ton tons tonne tonnes ml l liter liters litre litres gallon g
 mins minute minutes h hr hrs hour hours day days week weeks month months year years cent cents dollar dollars euro euros
 percent degree degrees mph kmh kph watt watts kw volt volts amp amps hz khz mhz ghz byte bytes kb mb gb tb
 """.split())
-LITERAL, NUMBER, UNIT, NAME, END = range(5)
+LITERAL, NUMBER, UNIT, NAME, END, OPERATOR, CHARACTER = range(7)
 PLACEHOLDER = {NUMBER: "<num>", NAME: "<name>", UNIT: "<unit>"}
+ALONE = re.compile(f"[{UNSPACED}]")
 BITMAP_BITS = 1 << 22
 CACHE = 1 << 19
 BATCH_CHARS = 1 << 21    # texts looked at together
@@ -60,6 +69,10 @@ class Templates:
     def _kind(token: str) -> int:
         if token[0].isdigit():
             return NUMBER
+        if token in OPERATORS:
+            return OPERATOR
+        if ALONE.match(token):
+            return CHARACTER
         if not token[0].isalpha():
             return END
         if token.lower() in UNITS:
@@ -79,9 +92,9 @@ class Templates:
             self.code = np.append(self.code, np.array([_hash(t) for t in lower], np.uint64))
         return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
 
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Template tokens of several texts laid end to end: kinds, hashes,
-        numbers of their words, and the text each belongs to."""
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template tokens of several texts laid end to end: kinds, hashes, hashes
+        of their words, numbers of their words, and the text each belongs to."""
         tokens = [TOKEN.findall(t) for t in texts]
         n = self._numbers([t for ts in tokens for t in ts])
         text = np.repeat(np.arange(len(tokens)), [len(ts) for ts in tokens])
@@ -96,10 +109,11 @@ class Templates:
         after_number = np.zeros(len(n), bool)
         after_number[1:] = (kind[:-1] == NUMBER) & (text[1:] == text[:-1])
         kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
-        code = self.code[n]
+        exact = self.code[n]
+        code = exact.copy()
         for k, mark in PLACEHOLDER.items():
             code[kind == k] = _hash(mark)
-        return kind, code, n, text
+        return kind, code, exact, n, text
 
 
 def _window_hashes(code: np.ndarray, size: int) -> np.ndarray:
@@ -113,31 +127,43 @@ def _window_hashes(code: np.ndarray, size: int) -> np.ndarray:
 def _windows(sizes: list[int] | None, window: int, least: int, literals: int, bitmap: np.ndarray | None):
     """Pandas function: rows (id, text) to windows (id, at, size, hash, template, slots).
 
+    A window comes as its template if it holds enough plain words, and word for
+    word, without slots, if it holds placeholders or too few plain words.
+
     With ``sizes`` None a text gives windows of ``window`` tokens, or is one
-    window if it is shorter (``least`` tokens or more)."""
+    window if it is shorter (``least`` tokens or more). Where a window holds
+    characters of unspaced scripts, two of them stand for a word and it has
+    twice as many tokens."""
     columns = ["id", "at", "size", "hash", "template", "slots"]
 
     def found(templates: Templates, keys: list, texts: list[str]) -> list[tuple]:
-        kind, code, n, text = templates.of(texts)
+        kind, code, exact, n, text = templates.of(texts)
         count = np.bincount(text, minlength=len(texts))
         begin = np.cumsum(count) - count
-        plain = np.concatenate([[0], np.cumsum(kind == LITERAL)])
+        sums = lambda a: np.concatenate([[0], np.cumsum(a)])
+        plain, chars = sums(2 * (kind == LITERAL) + (kind == CHARACTER)), sums(kind == CHARACTER)
+        slots = sums(np.isin(kind, list(PLACEHOLDER)))
         out = []
-        for size in sizes if sizes is not None else range(least, window + 1):
-            h = _window_hashes(code, size)
-            if not len(h):
+        for size in sizes if sizes is not None else range(least, 2 * window + 1):
+            if len(kind) < size:
                 continue
-            hit = (text[size - 1:] == text[:len(h)]) & (plain[size:] - plain[:-size] >= literals)
-            if bitmap is not None:
-                low = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
-                hit &= (bitmap[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
-            elif size < window:
-                hit &= count[text[:len(h)]] == size     # a whole short text
-            for i in np.flatnonzero(hit).tolist():
-                k, words = kind[i:i + size].tolist(), [templates.words[x] for x in n[i:i + size]]
-                out.append((keys[text[i]], i - int(begin[text[i]]), size, int(h[i:i + 1].view(np.int64)[0]),
-                            " ".join(PLACEHOLDER.get(t, x) for t, x in zip(k, words)),
-                            [f"{p}:{PLACEHOLDER[t]}:{x}" for p, (t, x) in enumerate(zip(k, words)) if t != LITERAL]))
+            inside = text[size - 1:] == text[:len(kind) - size + 1]
+            enough = plain[size:] - plain[:-size] >= 2 * literals
+            if bitmap is None:
+                n_chars = chars[size:] - chars[:-size]
+                short = (count[text[:len(inside)]] == size) & (2 * size - n_chars >= 2 * least)     # a whole short text
+                inside &= np.where(n_chars > 0, (size == 2 * window) | short, (size == window) | short & (size < window))
+            for code_of, hit in ((code, inside & enough), (exact, inside & (~enough | (slots[size:] > slots[:-size])))):
+                h = _window_hashes(code_of, size)
+                if bitmap is not None:
+                    low = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
+                    hit = hit & (bitmap[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
+                for i in np.flatnonzero(hit).tolist():
+                    k, words = kind[i:i + size].tolist(), [templates.words[x] for x in n[i:i + size]]
+                    mark = PLACEHOLDER if code_of is code else {}
+                    out.append((keys[text[i]], i - int(begin[text[i]]), size, int(h[i:i + 1].view(np.int64)[0]),
+                                " ".join(mark.get(t, x) for t, x in zip(k, words)),
+                                [f"{p}:{mark[t]}:{x}" for p, (t, x) in enumerate(zip(k, words)) if t in mark]))
         return out
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +206,7 @@ def _judge(by_window: bool):
             return there[s["kind"], s["mine"]] == s["theirs"] and (
                 s["kind"] == PLACEHOLDER[NUMBER] or back[s["kind"], s["theirs"]] == s["mine"])
 
-        places = [w["item_at"] for w in windows if all(map(agrees, w["slots"]))
+        places = [(w["item_at"], w["size"]) for w in windows if all(map(agrees, w["slots"]))
                   or by_window and all(s["mine"] == s["theirs"] for s in w["slots"])]
         whole = by_window or len(places) == len(windows)
         return sorted(set(places)) if whole else [], same
@@ -200,9 +226,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item's own values count, and of the others those that agree with the value
     most places have.
 
-    Windows hold at least ``literals`` plain words. Items shorter than
-    ``window`` are one window; those under ``least`` tokens, and null texts,
-    are not searched. Documents with a null id are reported under null.
+    Windows with fewer than ``literals`` plain words match only word for word,
+    the others also with other values. Items shorter than ``window`` are one
+    window; those under ``least`` tokens, and null texts, are not searched. Two
+    characters of an unspaced script stand for a word in all three. Documents with a null id are reported under null.
     Repeated rows count once. Without benchmark items no row comes back.
     """
     schema = lambda of: T.StructType([T.StructField("id", of), T.StructField("at", T.LongType()), T.StructField("size", T.LongType()),
@@ -211,22 +238,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items = materialize(
         benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("text"))
         .mapInPandas(_windows(None, window, least, literals, None), schema(benchmark.schema[item_col].dataType)), "benchmark-windows")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())    # least .. window
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect())    # least .. 2 * window
     found = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
              .mapInPandas(_windows(sizes, window, least, literals, _bitmap(items)), schema(docs.schema[id_col].dataType)))
     item = items.select(F.col("id").alias("item"), F.col("at").alias("item_at"), "size", "hash", "template",
                         F.col("slots").alias("item_slots"))
     value = lambda s, i: F.element_at(F.split(s, ":", 3), i)
     pairs = found.join(item, ["hash", "size", "template"]).select(
-        "id", "item", "item_at", (F.col("at") - F.col("item_at")).alias("shift"),
+        "id", "item", "item_at", "size", (F.col("at") - F.col("item_at")).alias("shift"),
         # of each slot: place in the item, kind, the item's value, the document's
         F.zip_with("item_slots", "slots", lambda a, b: F.struct(
             (F.col("item_at") + value(a, 1).cast("long")).alias("place"), value(a, 2).alias("kind"),
             value(a, 3).alias("mine"), value(b, 3).alias("theirs"))).alias("slots"))
-    aligned = pairs.groupBy("id", "item", "shift").agg(F.collect_set(F.struct("item_at", "slots")).alias("windows"))
-    judged = F.udf(_judge(by_window), "places array<long>, same_values boolean")
+    aligned = pairs.groupBy("id", "item", "shift").agg(F.collect_set(F.struct("item_at", "size", "slots")).alias("windows"))
+    judged = F.udf(_judge(by_window), "places array<struct<item_at:long,size:long>>, same_values boolean")
     aligned = aligned.select("id", "item", judged("windows").alias("found")).select("id", "item", "found.*")
-    totals = item.groupBy("item").agg(F.countDistinct("item_at").alias("total"))
+    totals = item.groupBy("item").agg(F.countDistinct("item_at", "size").alias("total"))
     hits = aligned.where(F.size("places") > 0).groupBy("id", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
         F.max("same_values").alias("same_values"))

@@ -245,6 +245,20 @@ def test_decontamination_windows_beside_contradictions(spark):
     assert {r.doc_id for r in decontam.contamination(docs, items).collect()} == {2, 3}
 
 
+def test_decontamination_few_plain_words(spark):
+    items = ["What is 12 + 7 * 3 - 2 / 5 ?", "Alice Bob Carol Dave Erin Frank Grace Heidi met", "小明有五个苹果。他又买了三个苹果，现在一共有几个？",
+             "小明有五个苹果他又买了三", "What is 2+2?", "ครูมีดินสอสามแท่งและซื้อเพิ่มอีกสองแท่ง", "小红每天跑步5公里，她跑了7天，请问她一共跑了多少公里？"]
+    docs = [f"Well then, here it is: {i} And so on." for i in items]
+    other = ["What is 13 + 8 * 4 - 3 / 6 ?", "What is 12 - 7 * 3 + 2 / 5 ?", "I saw Zoe Bob Carol Dave Erin Frank Grace Henry there",
+             "小明有五个苹果。后来他走了", "well-known and/or 12-year * bullets", "What is 2+3?"]
+    varied = items[6].replace("5", "6").replace("7", "9")
+    docs = spark.createDataFrame(list(enumerate(docs + [varied] + other)), "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contamination(docs, items, by_window=True).collect()}
+    assert set(got) == {(i, i) for i in range(7)} | {(2, 3), (7, 6)}      # item 3 begins item 2
+    assert got[0, 0].same_values and got[2, 2].share == 1 and not got[7, 6].same_values
+
+
 # 5: packing
 
 def check_packing(pieces, texts):
