@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-1. A lexicon is learned from a bounded sample of the labelled training rows:
-   words, and beginnings of words, that toxic texts hold far more often than others.
+1. A lexicon is learned from all labelled training rows: words, and beginnings
+   of words, that toxic texts hold far more often than others.
 2. Voters look for it in different ways: several lexicons, word beginnings,
    and patterns of disguise (digits for letters, spaced, stretched, masked and
    shouted words), each of which fires or doesn't on a text.
@@ -10,15 +10,18 @@
    correlations between voters as a spanning forest. Given labels take part as
    one more voter that may abstain and may err. It is fitted by EM.
 4. A linear classifier on lexicon and pattern features is trained on the label
-   model's posteriors of the same sample.
+   model's posteriors of a bounded sample of those rows.
 
-The sample's ids are the only thing broadcast, so no text is shuffled. Every
-text is read for its features once; voting and scoring work on those.
+Texts meet their labels once, to count keys: where Spark doesn't broadcast the
+labels, the texts are shuffled for it. Every text is read for its features once;
+voting and scoring work on those.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -38,9 +41,9 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 EDGE = ".,;:?!\"'()[]*#-_"
 BEGIN = 5               # letters of a word's beginning
 LEXICONS, STEM_VOTERS, PATTERNS = 6, 2, ("leet", "spaced", "stretched", "masked", "shouted", "several")
-MAX_KEYS = 256          # learned words and beginnings
-SAMPLE_ROWS = 30_000    # labelled rows that lexicon and classifier are learned from, at most
-ROWS = 4096             # of features in memory as floats at once
+KEYS_HELD = 200_000     # counted in a task's memory before they are sent on
+SAMPLE_ROWS = 30_000    # labelled rows that the classifier is learned from, at most
+CELL = np.dtype([("at", "<u4"), ("n", "<f4")])     # a feature's place and count
 
 
 def keys(text: str) -> set[str]:
@@ -73,17 +76,18 @@ class Features:
             self._finder.make_automaton()
         return self._finder
 
-    def of(self, text: str | None) -> np.ndarray:
+    def found(self, text: str | None) -> dict[int, float]:
+        """The counts that aren't zero, by place."""
         text = text or ""
         low = text.lower()
-        out = np.zeros(len(self.names) + len(PATTERNS), np.float32)
+        out: dict[int, float] = {}
         shouted, lexicon = 0, self._words
         for end, values in self._find().iter(low) if self.names else ():
             goes_on = low[end + 1:end + 2].isalpha()
             for i, size, begins in values:
                 start = end + 1 - size
                 if begins == goes_on and not (start and low[start - 1].isalpha()):
-                    out[i] += 1
+                    out[i] = out.get(i, 0) + 1
                     shouted += len(low) == len(text) and not begins and text[start:end + 1].isupper()
         raw = {"leet": sum(t.strip(EDGE).translate(LEET) in lexicon or t.rstrip(EDGE).translate(LEET) in lexicon
                            for t in MIXED.findall(low) if t.strip(EDGE) not in lexicon),
@@ -93,46 +97,62 @@ class Features:
                "masked": sum((m[0], m[-1], len(m)) in self._shapes for m in MASKED.findall(low))
                if "*" in low or "#" in low else 0,
                "shouted": 0 if text.isupper() else shouted,
-               "several": int(np.count_nonzero(out) > 2)}
-        out[len(self.names):] = [raw[p] for p in PATTERNS]
+               "several": int(len(out) > 2)}
+        return out | {len(self.names) + j: raw[p] for j, p in enumerate(PATTERNS) if raw[p]}
+
+    def of(self, text: str | None) -> np.ndarray:
+        out = np.zeros(len(self.names) + len(PATTERNS), np.float32)
+        for i, n in self.found(text).items():
+            out[i] = n
         return out
 
-    def votes(self, counts: np.ndarray) -> np.ndarray:
-        """Which voters fire (rows x voters): keys are dealt to the lexicons by rank."""
-        fires = counts > 0
-        n = len(self.names)
+    def votes(self, row: np.ndarray, cells: np.ndarray, n: int) -> np.ndarray:
+        """Which voters fire (``n`` rows x voters): keys are dealt to the lexicons by rank."""
         stem = np.array([x.endswith("*") for x in self.names], bool)
-        groups = [np.flatnonzero(~stem)[i::LEXICONS] for i in range(LEXICONS)]
-        groups += [np.flatnonzero(stem)[i::STEM_VOTERS] for i in range(STEM_VOTERS)]
-        groups += [np.array([n + i]) for i in range(len(PATTERNS))]
-        return np.stack([fires[:, g].any(1) if len(g) else np.zeros(len(fires), bool) for g in groups], axis=1)
+        voter = np.append(np.zeros(len(stem), int), LEXICONS + STEM_VOTERS + np.arange(len(PATTERNS)))
+        voter[np.flatnonzero(~stem)] = np.arange((~stem).sum()) % LEXICONS
+        voter[np.flatnonzero(stem)] = LEXICONS + np.arange(stem.sum()) % STEM_VOTERS
+        out = np.zeros((n, VOTERS), bool)
+        out[row, voter[cells["at"]]] = True
+        return out
 
 
 VOTERS = LEXICONS + STEM_VOTERS + len(PATTERNS)
 
 
-def learn_keys(train: DataFrame, min_share: float = 0.002, min_gain: float = 15.0) -> tuple[str, ...]:
-    """The keys that mark toxic texts most surely (by likelihood ratio), at most
-    MAX_KEYS. ``train``: (``text``, ``toxic``). Only keys in at least
-    ``min_share`` of the toxic rows (three or more) are counted elsewhere too."""
-    found = F.pandas_udf(lambda texts: pd.Series([list(keys(t or "")) for t in texts]), "array<string>")
-    rows = train.select("toxic", F.explode(found("text")).alias("key"))
+def learn_keys(train: DataFrame, min_gain: float = 15.0) -> tuple[str, ...]:
+    """Every key that marks toxic texts with a likelihood ratio over the
+    threshold, surest first. ``train``: (``text``, ``toxic``), of which all rows count."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = (Counter(), Counter())                   # clean, toxic
+
+        def rows() -> pd.DataFrame:
+            at = list(seen[0].keys() | seen[1].keys())
+            out = pd.DataFrame({"key": pd.Series(at, dtype=object), "a": [seen[1][k] for k in at], "b": [seen[0][k] for k in at]})
+            for s in seen:
+                s.clear()
+            return out
+        for batch in batches:
+            for text, toxic in zip(batch["text"], batch["toxic"]):
+                seen[toxic].update(keys(text or ""))
+                if len(seen[0]) + len(seen[1]) > KEYS_HELD:
+                    yield rows()
+        yield rows()
+
     size = train.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
     if not size["t"] or not size["c"]:
         return ()
     t, c = size["t"], size["c"]
-    often = materialize(rows.where("toxic = 1").groupBy("key").agg(F.count("*").alias("a"))
-                        .where(F.col("a") >= max(3, min_share * t)), "toxic-keys")
-    clean = rows.where("toxic = 0").join(often.select("key"), "key", "left_semi").groupBy("key").agg(F.count("*").alias("b"))
-    both = often.join(clean, "key", "left").select("key", "a", F.coalesce("b", F.lit(0)).alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    both = (train.select("toxic", "text").mapInPandas(counted, "key string, a long, b long")
+            .groupBy("key").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b")).where("a > 0"))
+    a, b = F.col("a"), F.col("b")
     gain = F.lit(0.0)
     for seen, of in ((a, t), (b, c), (t - a, t), (c - b, c)):
         share = (a + b if seen is a or seen is b else t + c - a - b) / (t + c)
         gain = gain + F.when(seen > 0, 2 * seen * F.log(seen / (of * share))).otherwise(0.0)
-    best = (both.where(a / t > b / c).select("key", gain.alias("gain")).where(F.col("gain") >= min_gain)
-            .orderBy(F.desc("gain"), "key").limit(MAX_KEYS))
-    return tuple(r["key"] for r in best.collect())
+    best = both.where(a / t > b / c).select("key", gain.alias("gain")).where(F.col("gain") >= min_gain)
+    return tuple(r["key"] for r in sorted(best.collect(), key=lambda r: (-r["gain"], r["key"])))
 
 
 class LabelModel:
@@ -220,41 +240,48 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -500, 500)))
 
 
-def fit_linear(rows: np.ndarray, p: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Logistic regression on soft labels by Newton's method, from rows of
-    counts; the last weight is the intercept."""
-    d = rows.shape[1]
+def fit_linear(row: np.ndarray, cells: np.ndarray, d: int, p: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+    """Logistic regression on soft labels by Newton's method, each step solved by
+    conjugate gradients, from the cells of ``len(p)`` rows and ``d`` features; the
+    last weight is the intercept."""
+    at, x, n = cells["at"], _scaled(cells), len(p)
+    times = lambda v: np.bincount(row, x * v[at], n) + v[-1]
+    back = lambda r, x=x: np.append(np.bincount(at, x * r[row], d), r.sum())
     w, penalty = np.zeros(d + 1), np.append(np.full(d, ridge), 1e-6)
     for _ in range(rounds):
-        gradient, hessian = penalty * w, np.diag(penalty + 1e-9)
-        for i in range(0, len(rows), ROWS):
-            x = np.hstack([_scaled(rows[i:i + ROWS]), np.ones((len(rows[i:i + ROWS]), 1))])
-            q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            gradient = gradient + x.T @ (q - p[i:i + ROWS])
-            hessian = hessian + (x * (q * (1 - q))[:, None]).T @ x
-        step = np.linalg.solve(hessian, gradient)
+        q = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        curve = q * (1 - q)
+        scale = back(curve, x * x) + penalty + 1e-9
+        step, left = np.zeros(d + 1), penalty * w + back(q - p)
+        goal, z = 1e-8 * np.abs(left).max(), left / scale
+        way, size = z, left @ z
+        for _ in range(200):
+            if np.abs(left).max() <= goal:
+                break
+            bent = back(curve * times(way)) + (penalty + 1e-9) * way
+            far = size / (way @ bent)
+            step, left = step + far * way, left - far * bent
+            z = left / scale
+            size, before = left @ z, size
+            way = z + size / before * way
         w -= step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def _scaled(counts: np.ndarray) -> np.ndarray:
-    return np.log1p(counts.astype(np.float64))
+def _scaled(cells: np.ndarray) -> np.ndarray:
+    return np.log1p(cells["n"].astype(np.float64))
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """The counts that aren't zero: how many, their places, their values."""
-    at = np.flatnonzero(counts)
-    return at.astype("<u2").tobytes() + counts[at].astype("<f4").tobytes()
+def _packed(found: dict[int, float]) -> bytes:
+    return np.array(sorted(found.items()), CELL).tobytes()
 
 
-def _dense(packed, width: int) -> np.ndarray:
-    out = np.zeros((len(packed), width), np.float32)
-    for row, b in zip(out, packed):
-        n = len(b) // 6
-        row[np.frombuffer(b, "<u2", n)] = np.frombuffer(b, "<f4", n, 2 * n)
-    return out
+def _cells(packed) -> tuple[np.ndarray, np.ndarray]:
+    """The row of each cell, and the cells."""
+    return (np.repeat(np.arange(len(packed)), [len(b) // CELL.itemsize for b in packed]),
+            np.frombuffer(b"".join(packed), CELL))
 
 
 @dataclass(frozen=True)
@@ -265,16 +292,17 @@ class Classifier:
     def packed(self, text: Column) -> Column:
         """A text's features, as bytes."""
         features = self.features
-        return F.pandas_udf(lambda texts: pd.Series([_packed(features.of(t)) for t in texts], dtype=object), "binary")(text)
+        return F.pandas_udf(lambda texts: pd.Series([_packed(features.found(t)) for t in texts], dtype=object), "binary")(text)
 
     def score_packed(self, packed: Column) -> Column:
-        weights, width = self.weights, len(self.features.names) + len(PATTERNS)
+        weights = self.weights
 
         def scored(rows: pd.Series) -> pd.Series:
             if weights is None:
                 return pd.Series(np.zeros(len(rows)))
-            z = [_scaled(_dense(rows[i:i + ROWS], width)) @ weights[:-1] + weights[-1] for i in range(0, len(rows), ROWS)]
-            return pd.Series(1 / (1 + np.exp(-np.clip(np.concatenate([np.zeros(0), *z]), -30, 30))))
+            row, cells = _cells(rows)
+            z = np.bincount(row, _scaled(cells) * weights[cells["at"]], len(rows)) + weights[-1]
+            return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
         return F.pandas_udf(scored, "double")(packed)
 
     def score(self, text: Column) -> Column:
@@ -288,27 +316,23 @@ def train(docs: DataFrame, labels: DataFrame, train_on: Column | None = None, sa
     on ``labels``, which must be of such rows. Returns the classifier and, for
     every row of ``docs``, its id, ``trains`` and packed features ``x``.
 
-    Lexicon and classifier are learned from at most ``sample_rows`` labelled
-    rows, chosen by a hash of the id; the label model counts the votes on every
-    training document. A repeated label counts once, the higher one.
+    The lexicon is counted over every labelled row, the classifier learned from at
+    most ``sample_rows`` of them, chosen by a hash of the id; the label model
+    counts the votes on every training document. A repeated label counts once, the higher one.
     """
     trains = F.lit(True) if train_on is None else F.coalesce(train_on, F.lit(False))
     docs = docs.select(F.col(id_col).alias("id"), trains.alias("trains"), F.col(text_col).alias("text"))
     labels = materialize(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
                          .agg(F.max(F.col(label_col)).cast("int").alias("toxic")), "toxic-labels")
     chosen = materialize(labels.orderBy(F.xxhash64("id"), "id").limit(sample_rows), "toxic-chosen")
-    sample = docs.where("trains").join(F.broadcast(chosen), "id").select("id", "toxic", "text")    # sample_rows ids at most
-    sample = materialize(sample, "toxic-sample")
-    features = Features(learn_keys(sample))
+    features = Features(learn_keys(docs.where("trains").join(labels, "id").select("toxic", "text")))
     blank = Classifier(features, None)
     found = materialize(docs.select("id", "trains", blank.packed(F.col("text")).alias("x")), "toxic-features")
     if not features.names:
         return blank, found
-    width = len(features.names) + len(PATTERNS)
 
     def vote(rows: pd.Series) -> pd.Series:
-        parts = [features.votes(_dense(rows[i:i + ROWS], width)) @ (1 << np.arange(VOTERS)) for i in range(0, len(rows), ROWS)]
-        return pd.Series(np.concatenate([np.zeros(0, np.int64), *parts]))
+        return pd.Series(features.votes(*_cells(rows), len(rows)) @ (1 << np.arange(VOTERS)))
 
     pattern = found.where("trains").select("id", F.pandas_udf(vote, "long")("x").alias("pattern"))
     counted = (pattern.join(labels, "id", "left").groupBy("pattern", F.coalesce("toxic", F.lit(-1)).alias("given"))
@@ -316,7 +340,7 @@ def train(docs: DataFrame, labels: DataFrame, train_on: Column | None = None, sa
     bits = (counted["pattern"].to_numpy(np.int64)[:, None] >> np.arange(VOTERS) & 1).astype(bool)
     model = LabelModel(bits, counted["given"].to_numpy(), counted["n"].to_numpy())
 
-    rows = found.where("trains").join(F.broadcast(chosen), "id").select("toxic", "x").toPandas()
-    x = _dense(rows["x"], width)
-    votes = np.concatenate([features.votes(x[i:i + ROWS]) for i in range(0, len(x), ROWS)])
-    return Classifier(features, fit_linear(x, model.posterior(votes, rows["toxic"].to_numpy()))), found
+    rows = found.where("trains").join(F.broadcast(chosen), "id").select("toxic", "x").toPandas()   # sample_rows ids at most
+    row, cells = _cells(rows["x"])
+    p = model.posterior(features.votes(row, cells, len(rows)), rows["toxic"].to_numpy())
+    return Classifier(features, fit_linear(row, cells, len(features.names) + len(PATTERNS), p)), found

@@ -145,6 +145,20 @@ def test_toxicity_hard_rows(spark, hard):
     assert toxicity.train(docs.limit(0), labels)[1].count() == 0
 
 
+def test_toxicity_keys_cover_all_labelled_rows(spark):
+    # 600 words, each in 6 of 3,600 toxic rows; the classifier sees 500 rows.
+    word = lambda i: "q" + "".join(chr(97 + i // 26 ** k % 26) for k in range(3))
+    rows = [(i, f"so {word(i % 600)} it is {i}", 1) for i in range(3600)] + [(i, f"so fine it is {i}", 0) for i in range(3600, 24_000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model, _ = toxicity.train(docs, labels, sample_rows=500)
+    assert {word(i) for i in range(600)} <= set(model.features.names)
+    again = toxicity.fit_linear(np.array([0, 1, 1]), np.array([(0, 1), (0, 2), (1, 3)], toxicity.CELL), 2, np.array([0.2, 0.9]))
+    x = np.log1p(np.array([[1, 0], [2, 3]]))
+    q = 1 / (1 + np.exp(-(x @ again[:2] + again[2])))
+    assert np.abs(x.T @ (q - [0.2, 0.9]) + again[:2]).max() < 1e-5      # the gradient is zero
+
+
 def test_label_model_finds_accuracies():
     rng = np.random.default_rng(3)
     y = rng.random(20_000) < 0.3
