@@ -14,6 +14,8 @@ from strata.llm import decontam, langid, packing, secrets, simhash
 from strata.session import materialize
 
 MIN_LANGUAGE_SCORE = 0.5
+# Of an item found with other values only: windows that make a document contaminated, as a share or in a row.
+MIN_SHARE, MIN_RUN = 0.5, 8
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +38,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item go, all copies of a
-    text alike."""
+    """Documents that hold a passage of a benchmark item with its own values go,
+    and those that hold half of its windows, or MIN_RUN in a row, with other
+    values; all copies of a text alike."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     key = secrets.blob_id(F.col("text"))
     hits = decontam.contamination(docs.select(key.alias("_key"), "text"), benchmark, id_col="_key", by_window=True)
-    hits = materialize(hits.select("_key").distinct(), "contaminated")
+    hits = materialize(hits.where((F.col("n_own") > 0) | (F.col("share") >= MIN_SHARE) | (F.col("run") >= MIN_RUN)).select("_key").distinct(), "contaminated")
     return docs.withColumn("_key", key).join(hits, "_key", "left_anti").select(docs.columns)
 
 

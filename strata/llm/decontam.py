@@ -190,8 +190,9 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
 
 
 def _judge(by_window: bool):
-    """Function of an alignment's windows to the places of those that count, and
-    whether all slots have the item's value."""
+    """Function of an alignment's windows to the places of those that count, how
+    many of these have the item's own values, the longest run of consecutive ones,
+    and whether all slots have the item's value."""
 
     def judged(windows):
         slots = {tuple(s) for w in windows for s in w["slots"]}     # place, kind, mine, theirs
@@ -208,8 +209,16 @@ def _judge(by_window: bool):
 
         places = [(w["item_at"], w["size"]) for w in windows if all(map(agrees, w["slots"]))
                   or by_window and all(s["mine"] == s["theirs"] for s in w["slots"])]
-        whole = by_window or len(places) == len(windows)
-        return sorted(set(places)) if whole else [], same
+        if not by_window and len(places) < len(windows):
+            return [], 0, 0, same
+        own = {w["item_at"] for w in windows if all(s["mine"] == s["theirs"] for s in w["slots"])}
+        places = sorted(set(places))
+        run = longest = 0
+        before = None
+        for at in sorted({at for at, _ in places}):
+            run = run + 1 if before == at - 1 else 1
+            before, longest = at, max(longest, run)
+        return places, len(own), longest, same
     return judged
 
 
@@ -219,7 +228,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document and benchmark item found in it: the two ids,
     ``n_windows`` (matching windows), ``share`` (of the item's distinct
     windows) and ``same_values`` (whether every slot of an alignment has the
-    item's value).
+    item's value), ``n_own`` (most windows of an alignment with the item's own
+    values) and ``run`` (most consecutive windows).
 
     An alignment whose slots contradict each other counts for nothing as a
     whole; with ``by_window``, which the queries use, all its windows with the
@@ -251,12 +261,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             (F.col("item_at") + value(a, 1).cast("long")).alias("place"), value(a, 2).alias("kind"),
             value(a, 3).alias("mine"), value(b, 3).alias("theirs"))).alias("slots"))
     aligned = pairs.groupBy("id", "item", "shift").agg(F.collect_set(F.struct("item_at", "size", "slots")).alias("windows"))
-    judged = F.udf(_judge(by_window), "places array<struct<item_at:long,size:long>>, same_values boolean")
+    judged = F.udf(_judge(by_window), "places array<struct<item_at:long,size:long>>, own long, run long, same_values boolean")
     aligned = aligned.select("id", "item", judged("windows").alias("found")).select("id", "item", "found.*")
     totals = item.groupBy("item").agg(F.countDistinct("item_at", "size").alias("total"))
     hits = aligned.where(F.size("places") > 0).groupBy("id", "item").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_windows"),
-        F.max("same_values").alias("same_values"))
+        F.max("same_values").alias("same_values"), F.max("own").alias("n_own"), F.max("run").alias("run"))
     hits = hits.where(F.col("n_windows") >= min_windows).join(totals, "item")
     return hits.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows",
-                       (F.col("n_windows") / F.col("total")).alias("share"), "same_values")
+                       (F.col("n_windows") / F.col("total")).alias("share"), "same_values", "n_own", "run")

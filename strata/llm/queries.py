@@ -149,7 +149,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_decontamination")
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item, or one with other values in its slots."""
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), by_window=True)
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), by_window=True).drop("n_own", "run")
 
 
 @query("op2_toxicity")

@@ -45,6 +45,16 @@ def test_stages_on_the_documents(spark):
     assert packed.groupBy("doc_id").agg((F.sum("length") - F.max("doc_tokens")).alias("d")).where("d <> 0").count() == 0
 
 
+def test_decontamination_keeps_a_sentence_with_other_values(spark, tmp_path):
+    tail = " and there the young painter learned how to mix every colour that people of the region knew"
+    item = "the artist Anna Weber was born in 1901 in Bremen" + tail
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    other = "the artist Paul Klein was born in 1950 in Kiel"
+    texts = [other + " but he left", item, other + tail, "the artist Anna Weber was born in 1901 in Bremen but she left"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    assert [r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()] == [0]
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_stages_take_hard_rows(spark, name):
     rows = [(1, "a plain little text about nothing", "en", "s", 5), (1, "a plain little text about nothing", "en", "s", 5),
