@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm import (decontam, langid, packing, secrets, simhash, substrings, tokencount, topk, toxicity,
-                        urlfilter)
+                        urlfilter, winnow)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -172,3 +172,16 @@ SELECT query_id, "rank"::INTEGER AS "rank", vec_id, score FROM ranked WHERE "ran
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten highest integer inner products of every hundredth vector, over all others."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and of its edited text, which ends as the next document begins."""
+    rows = winnow.with_next(table(spark, sf_dir, "documents"))
+    rows = rows.select(F.col("id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "next_text",
+                       winnow.edited(F.col("text"), F.col("next_text")).alias("edited"))
+    rows = rows.select("doc_id", "text", "edited", *[winnow.fingerprint(F.col(c)).alias(f"{c}_marks") for c in ("text", "edited", "next_text")])
+    own, changed, after = (F.col(f"{c}_marks") for c in ("text", "edited", "next_text"))
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       winnow.listing(own).alias("fingerprint"), winnow.listing(changed).alias("edited_fingerprint"),
+                       winnow.likeness(own, changed).alias("near_edited"), winnow.likeness(own, after).alias("near_next"))
