@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import (decontam, langid, packing, secrets, simhash, substrings, tokencount, topk, toxicity,
+from strata.llm import (decontam, langid, packing, runs, secrets, simhash, substrings, tokencount, topk, toxicity,
                         urlfilter, winnow)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,32 @@ def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
                        winnow.listing(own).alias("fingerprint"), winnow.listing(changed).alias("edited_fingerprint"),
                        winnow.likeness(own, changed).alias("near_edited"), winnow.likeness(own, after).alias("near_next"))
+
+
+def _partly_periodic(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by crc32 of its id, repeats a stretch of its words
+    from some word on; a null id leaves its text as it is."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    docs = docs.select("doc_id", "text", g.alias("g"),
+                       F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("words"))
+    n = F.nullif(F.size("words"), F.lit(0))
+    docs = docs.withColumn("n", n).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    stretch = F.slice("words", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    changed = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(stretch, times))), F.lit(1), F.col("n"))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words in every document, a tenth of them made periodic."""
+    found = _partly_periodic(table(spark, sf_dir, "documents")).select("doc_id", runs.periodic_runs(F.col("text")).alias("f"))
+    best = runs.strongest(F.col("f.runs"))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat(F.array_join(F.transform("f.runs", line), "\n"), F.when(F.size("f.runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    found = found.select("doc_id", F.size("f.runs").cast("long").alias("n_runs"), best.alias("best"),
+                         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("f.collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
