@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.llm import (decontam, langid, packing, runs, secrets, simhash, substrings, tokencount, topk, toxicity,
+from strata.llm import (decontam, gnat, langid, packing, runs, secrets, simhash, substrings, tokencount, topk, toxicity,
                         urlfilter, winnow)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,6 +174,25 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+@query("op11_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+           FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.v) = len(c.v)),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+pairs AS (SELECT p.*, n.vec_id AS negative_id, n.score AS negative_score FROM positives p JOIN scored n
+          ON p.anchor_id = n.anchor_id AND NOT n.same AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS "rank" FROM pairs)
+SELECT anchor_id, positive_id, "rank"::INTEGER AS "rank", negative_id, positive_score, negative_score FROM ranked WHERE "rank" <= 10""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector and each of its five best of one label, the ten hardest of other labels."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 @query("op13_fingerprints")
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and of its edited text, which ends as the next document begins."""
