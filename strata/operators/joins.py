@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.heavy import heavy_hitters
+
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 16
 
@@ -84,7 +86,7 @@ def left_join_broadcast(fact: DataFrame, dim: DataFrame, on: str,
     return hot_key_join(fact, dim, on, hot_keys(fact, on), how="left")
 
 
-HOT_TO_MEDIAN = 10
+HOT_TO_TYPICAL = 10
 
 
 def fair_share(df: DataFrame) -> float:
@@ -92,20 +94,28 @@ def fair_share(df: DataFrame) -> float:
     return 1.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None, to_median: float = HOT_TO_MEDIAN) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float | None = None, to_typical: float = HOT_TO_TYPICAL) -> DataFrame:
     """Keys (not NULL) that hold more than ``share`` of the rows and more than
-    ``to_median`` times the median key's rows.
+    ``to_typical`` times as many as the other keys do on average.
 
     ``share`` defaults to one partition's fair share. Fewer than ``1 / share``
     keys can exceed it, which bounds the list; the second test keeps tables of
-    few or even keys from counting as skewed.
+    few or even keys from counting as skewed (a table whose keys all exceed the
+    share isn't; ``to_typical=0`` leaves the test out). Two passes over the key
+    column: a frequent-items sketch (:mod:`strata.operators.heavy`) with the
+    number of keys, then the exact count of its candidates. No shuffle carries
+    all keys.
     """
-    share = share if share is not None else fair_share(df)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-    whole = counts.agg(F.sum("_cnt").alias("n"), F.percentile_approx("_cnt", 0.5).alias("m"))
-    total, median = whole.select("n").scalar(), whole.select("m").scalar()
-    return counts.filter((F.col("_cnt") > total * F.lit(share)) & (F.col("_cnt") > median * F.lit(to_median))
-                         & F.col(key).isNotNull()).select(key)
+    share = min(share if share is not None else fair_share(df), 0.999)
+    heavy = [(r[key], r["count"]) for r in heavy_hitters(df, key, share).collect()]      # fewer than 1 / share
+    above = [(k, c) for k, c in heavy if k is not None]
+    schema = T.StructType([df.schema[key]])
+    if above and to_typical:
+        whole = df.agg(F.count(key).alias("n"), F.approx_count_distinct(key, 0.01).alias("d")).first()
+        rest, others = whole["n"] - sum(c for _, c in above), whole["d"] - len(above)
+        typical = rest / max(others, 1) if rest else float("inf")
+        above = [(k, c) for k, c in above if c > to_typical * typical]
+    return df.sparkSession.createDataFrame([(k,) for k, _ in above], schema)
 
 
 def bounded_key_list(keys: DataFrame, on: str) -> DataFrame | None:

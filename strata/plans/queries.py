@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import int_mix, int_mix_sql
 from strata.functions.money import ratio_2_sql, to_double
-from strata.operators import joins, layout, ranking, rollups, skew
+from strata.operators import heavy, iterate, joins, layout, moments, partitioner, ranking, rollups, skew
 from strata.plans.sql import CLICKS, CUSTOMER_LTV, PROFILES, USER_DIM, USER_STATS
-from strata.session import reliable_checkpoint, scratch_dir
+from strata.session import materialize, reliable_checkpoint, scratch_dir
 from strata.sources import generators as gen
 from strata.sources.tables import clickstream, customer_orders, read_table, table_path, user_dimension
 
@@ -706,3 +706,114 @@ def q_top_customers_ranked(spark, d):
     t = ranking.top_k_ranked(_customer_ltv(spark, d), "lifetime_value", "user_id", TOP_K)
     return t.select("user_id", "order_count", to_double(F.col("lifetime_value")).alias("lifetime_value"),
                     "user_rank", "ltv_percentile")
+
+
+# ---------------------------------------------------------------------------
+# Iterative jobs over a reused table (§2.12)
+# ---------------------------------------------------------------------------
+
+SHIPMENT_SQL = """
+WITH RECURSIVE firsts AS (SELECT l_partkey, l_shipdate, min(l_orderkey) AS first FROM lineitem GROUP BY l_partkey, l_shipdate),
+half AS (SELECT DISTINCT l.l_orderkey AS a, f.first AS b FROM lineitem l JOIN firsts f USING (l_partkey, l_shipdate) WHERE l.l_orderkey <> f.first),
+links AS (SELECT a, b FROM half UNION SELECT b, a FROM half),
+reach(node, other) AS (SELECT a, a FROM links UNION SELECT r.node, k.b FROM reach r JOIN links k ON r.other = k.a),
+least AS (SELECT node, min(other) AS low FROM reach GROUP BY node)"""
+
+
+@register("shipment_groups", SHIPMENT_SQL + """
+SELECT o_orderkey, coalesce(low, o_orderkey) AS shipment_group FROM orders LEFT JOIN least ON o_orderkey = node""")
+def q_shipment_groups(spark, d):
+    """Orders that can ship together: those that hold the same part on the same
+    day, and what hangs together through them. A part's day links every order to
+    its first one, so a popular part makes no pairs."""
+    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    firsts = lines.groupBy("l_partkey", "l_shipdate").agg(F.min("l_orderkey").alias("first"))
+    links = lines.join(firsts, ["l_partkey", "l_shipdate"]).where("l_orderkey <> first").select("l_orderkey", "first")
+    groups = iterate.components(links, "l_orderkey", "first")
+    return (read_table(spark, d, "orders").select("o_orderkey").join(groups, F.col("o_orderkey") == F.col("node"), "left")
+            .select("o_orderkey", F.coalesce("component", "o_orderkey").alias("shipment_group")))
+
+
+RANK_ROUNDS = 5
+
+
+def _rank_round_sql(i: int) -> str:
+    return f"""
+r{i} AS (SELECT n.node, ({iterate.RANK_UNIT * 15 // 100} + coalesce(g.got, 0) * 85 // 100)::BIGINT AS r
+         FROM r{i - 1} n LEFT JOIN (SELECT k.dst, sum(p.r // d.degree)::BIGINT AS got FROM links k JOIN r{i - 1} p ON k.src = p.node
+                                    JOIN degrees d ON k.src = d.src GROUP BY k.dst) g ON n.node = g.dst)"""
+
+
+@register("supplier_part_rank", f"""
+WITH links AS (SELECT -l_suppkey AS src, l_partkey AS dst FROM lineitem UNION SELECT l_partkey, -l_suppkey FROM lineitem),
+degrees AS (SELECT src, count(*) AS degree FROM links GROUP BY src),
+r0 AS (SELECT DISTINCT src AS node, {iterate.RANK_UNIT}::BIGINT AS r FROM links),{",".join(_rank_round_sql(i) for i in range(1, RANK_ROUNDS + 1))}
+SELECT CASE WHEN node < 0 THEN 'supplier' ELSE 'part' END AS kind, abs(node) AS "key", r AS "rank" FROM r{RANK_ROUNDS}""")
+def q_supplier_part_rank(spark, d):
+    """Suppliers and parts ranked by each other over who delivers what: a fixed
+    number of rounds over one reused link table."""
+    pairs = read_table(spark, d, "lineitem").select((-F.col("l_suppkey")).alias("s"), F.col("l_partkey").alias("p")).distinct()
+    with iterate.reused(pairs, "supplier-parts") as table:
+        ranks = iterate.rank_rounds(table.unionByName(table.select(F.col("p").alias("s"), F.col("s").alias("p"))), "s", "p", RANK_ROUNDS)
+    return ranks.select(F.when(F.col("node") < 0, "supplier").otherwise("part").alias("kind"), F.abs("node").alias("key"), "rank")
+
+
+# ---------------------------------------------------------------------------
+# Frequent keys by sketch, weighted partitions, mergeable moments (§2.5, §2.9)
+# ---------------------------------------------------------------------------
+
+@register("heavy_hitters", """
+SELECT l_quantity, count(*) AS "count" FROM lineitem GROUP BY l_quantity
+HAVING count(*) > 0.02 * (SELECT count(*) FROM lineitem)""")
+def q_heavy_hitters(spark, d):
+    """Quantities that more than 2 % of the lines have: half of them come close."""
+    return heavy.heavy_hitters(read_table(spark, d, "lineitem"), "l_quantity", 0.02)
+
+
+@register("heavy_hitters_stored", f"""
+WITH {CLICKS}
+SELECT revenue::DOUBLE AS price, count(*) AS "count" FROM e GROUP BY revenue HAVING count(*) > 0.001 * (SELECT count(*) FROM e)""")
+def q_heavy_hitters_stored(spark, d):
+    """Prices of more than 0.1 % of the events, from summaries stored by day and merged."""
+    clicks = _clicks(spark, d).select("revenue", F.to_date("ts").alias("day"))
+    daily = materialize(heavy.summarise(clicks, "revenue", 0.001, by=["day"]), "daily-summaries")
+    candidates, n = heavy.merged(daily, 0.001)
+    return (heavy.recount(clicks, "revenue", candidates, n, 0.001)
+            .select(to_double(F.col("revenue")).alias("price"), "count"))
+
+
+@register("weighted_partition_sums", """
+SELECT l_suppkey, count(*) AS row_count, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS value_sum, true AS whole, true AS even
+FROM lineitem GROUP BY l_suppkey""")
+def q_weighted_partition_sums(spark, d):
+    """Sums by supplier over lines that lie where their measured weights put them."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return partitioner.weighted_sums(read_table(spark, d, "lineitem"), "l_suppkey", "l_extendedprice", n)
+
+
+@register("salted_ltv_distribution", f"""
+WITH {CLICKS}, {PROFILES}
+SELECT count(ltv) AS users, round(avg(ltv::DOUBLE), 6) AS avg_ltv, round(stddev_samp(ltv::DOUBLE), 6) AS stddev_ltv,
+       min(ltv)::DOUBLE AS min_ltv, max(ltv)::DOUBLE AS max_ltv
+FROM p""")
+def q_salted_ltv_distribution(spark, d):
+    """The lifetime value's distribution from moments of salted parts."""
+    state = moments.moments(rollups.user_profiles(_clicks(spark, d)), [], "lifetime_value", "user_id")
+    return moments.statistics(state, []).select(
+        F.col("n").alias("users"), F.round("mean", 6).alias("avg_ltv"), F.round("stddev", 6).alias("stddev_ltv"),
+        F.col("least").alias("min_ltv"), F.col("most").alias("max_ltv"))
+
+
+@register("moments_by_type", """
+WITH m AS (SELECT event_type, count(value) AS n, avg(value) AS mean, min(value) AS least, max(value) AS most FROM events GROUP BY event_type),
+c AS (SELECT event_type, sum((value - mean) ** 2) AS m2, sum((value - mean) ** 3) AS m3, sum((value - mean) ** 4) AS m4
+      FROM events JOIN m USING (event_type) GROUP BY event_type)
+SELECT event_type, n, round(mean, 6) AS mean, round(sqrt(m2 / (n - 1)), 6) AS stddev, round(sqrt(n) * m3 / m2 ** 1.5, 6) AS skewness,
+       round(n * m4 / m2 ** 2 - 3, 6) AS kurtosis, least, most
+FROM m JOIN c USING (event_type)""")
+def q_moments_by_type(spark, d):
+    """The value's moments by event type, from states stored by day and merged."""
+    events = read_table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    daily = materialize(moments.moments(events, ["day", "event_type"], "value", "event_id"), "daily-moments")
+    found = moments.statistics(moments.merge_moments(daily, ["event_type"]), ["event_type"])
+    return found.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("mean", "stddev", "skewness", "kurtosis")], "least", "most")

@@ -70,7 +70,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_SCRATCH: list[str] = []     # folders handed out by this process
+_SCRATCH: list[str | None] = []     # folders handed out by this process; None: deleted
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -86,6 +86,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_mark() -> int:
+    """A mark for :func:`scratch_since`."""
+    return len(_SCRATCH)
+
+
+def scratch_since(mark: int) -> list[str]:
+    """The scratch folders handed out since the mark, in order."""
+    return [p for p in _SCRATCH[mark:] if p]
+
+
+def delete_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders that nothing reads any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    # Folders are blanked, not taken out, so that marks taken before stay right.
+    gone = set(paths)
+    _SCRATCH[:] = [None if p in gone else p for p in _SCRATCH]
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Drop the ``strata_*`` tables and delete the scratch folders that this
     process made; returns how many folders it deleted. Call it when no
@@ -95,8 +116,10 @@ def release_scratch(spark: SparkSession) -> int:
             spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
     jvm, conf, gone = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        gone += bool(path.getFileSystem(conf).delete(path, True))
+        name = _SCRATCH.pop()
+        if name:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            gone += bool(path.getFileSystem(conf).delete(path, True))
     return gone
 
 

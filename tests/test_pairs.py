@@ -41,7 +41,7 @@ def test_salted_and_hot_key_joins_equal_plain(spark):
     plain = rows(o.join(c, "o_custkey", "left"))
     assert rows(joins.salted_join(o, c, "o_custkey", ["o_orderkey"], 5, "left").select(*o.columns, "c_name")) == \
         rows(o.join(c, "o_custkey", "left").select(*o.columns, "c_name"))
-    hot = joins.hot_keys(o, "o_custkey", share=0.0008, to_median=0)
+    hot = joins.hot_keys(o, "o_custkey", share=0.0008, to_typical=0)
     assert hot.count() > 50
     hk = joins.hot_key_join(o, c, "o_custkey", hot, "left")
     assert rows(hk.select("o_custkey", "o_orderkey", "o_totalprice", "c_name")) == \
@@ -70,7 +70,7 @@ def test_salted_and_split_aggregates_equal_direct(spark):
     direct = rows(rollups.skew_user_stats(c))
     assert rows(skew.salted_user_stats(c, 10)) == direct
     assert rows(skew.hot_key_split_union(c, "user_id", 10)) == direct
-    hot = joins.hot_keys(c, "user_id", share=0.005, to_median=0)
+    hot = joins.hot_keys(c, "user_id", share=0.005, to_typical=0)
     assert hot.count() > 0
     assert rows(skew.hot_key_split_union(c, "user_id", 7, hot=hot)) == direct
 
@@ -129,7 +129,7 @@ def test_hot_key_join_with_duplicate_small_keys(spark):
     """Not-unique small side: measured, and salted when too big to broadcast."""
     o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey")
     dup = read_table(spark, SF01, "orders").select("o_custkey", F.col("o_orderkey").alias("other"))
-    hot = joins.hot_keys(o, "o_custkey", share=0.0005, to_median=0)
+    hot = joins.hot_keys(o, "o_custkey", share=0.0005, to_typical=0)
     plain = rows(o.join(dup, "o_custkey").select("o_custkey", "o_orderkey", "other"))
     for max_bytes in (10, 1 << 30):
         j = joins.hot_key_join(o, dup, "o_custkey", hot, "inner", max_bytes=max_bytes, row_key=["o_orderkey"])

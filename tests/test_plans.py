@@ -100,7 +100,7 @@ def test_hot_key_join_broadcasts_only_the_hot_part(spark):
 
     o = read_table(spark, SF01, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, SF01, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    t = _run(joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey", share=0.0005, to_median=0), "inner"))
+    t = _run(joins.hot_key_join(o, c, "o_custkey", joins.hot_keys(o, "o_custkey", share=0.0005, to_typical=0), "inner"))
     assert "LeftSemi" in t and "LeftAnti" in t and "Union" in t
 
 
