@@ -53,8 +53,8 @@ class Plan:
     buckets: list[int]
     load: list[int]
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(len(self.buckets))).cast("int")
+    def bucket(self, key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(len(self.buckets))).cast("int")
 
 
 def measure(df: DataFrame, key: str, partitions: int, split: bool = False) -> Plan:
@@ -89,18 +89,21 @@ def repartition_by_weight(df: DataFrame, plan: Plan, row_key: list[str] | None =
     that tell the rows of a split key apart (all, if not given). Both lookups are
     broadcasts of the plan, whose size is bounded by the number of partitions."""
     spark, key = df.sparkSession, plan.key
-    at = spark.createDataFrame(list(enumerate(plan.buckets)), "_bucket int, _at int")
-    dealt = df.withColumn("_bucket", plan.bucket()).join(F.broadcast(at), "_bucket")
+    at = spark.createDataFrame(list(enumerate(plan.buckets)), "bucket int, at int")
+    columns = [F.col(_quoted(c)) for c in df.columns]
+    row = F.xxhash64(*[F.col(_quoted(c)) for c in row_key or df.columns])
+    dealt = df.select(F.struct(*columns).alias("row"), F.col(_quoted(key)).alias("key"), row.alias("hash"))     # no name can clash
+    dealt = dealt.withColumn("bucket", plan.bucket("key")).join(F.broadcast(at), "bucket")
     if plan.large:
-        schema = T.StructType([T.StructField("_key", df.schema[key].dataType), T.StructField("_places", T.ArrayType(T.IntegerType()))])
+        schema = T.StructType([T.StructField("large", df.schema[key].dataType), T.StructField("places", T.ArrayType(T.IntegerType()))])
         places: dict = {}
         for k, _, _, p in plan.large:
             places.setdefault(k, []).append(p)
         large = spark.createDataFrame(list(places.items()), schema)
-        row = F.xxhash64(*[F.col(_quoted(c)) for c in row_key or df.columns])
-        way = F.pmod(row, F.size("_places")).cast("int")
-        dealt = dealt.join(F.broadcast(large), F.col(key).eqNullSafe(F.col("_key")), "left").withColumn("_at", F.coalesce(F.get("_places", way), "_at"))
-    return dealt.repartitionById(plan.partitions, F.col("_at")).select(*[F.col(_quoted(c)) for c in df.columns])
+        way = F.pmod("hash", F.size("places")).cast("int")
+        dealt = (dealt.join(F.broadcast(large), F.col("key").eqNullSafe(F.col("large")), "left")
+                 .withColumn("at", F.coalesce(F.get("places", way), "at")))
+    return dealt.repartitionById(plan.partitions, F.col("at")).select("row.*")
 
 
 def _quoted(name: str) -> str:
