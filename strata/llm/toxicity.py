@@ -1,7 +1,9 @@
 """Toxicity by weak supervision.
 
 1. A lexicon is learned from all labelled training rows: words, and beginnings
-   of words, that toxic texts hold far more often than others.
+   of words, that toxic texts hold far more often than others. A key counts by
+   what it adds: rows that a stronger key explains say nothing for a weaker one,
+   so words that merely stand beside toxic ones stay out at every size.
 2. Voters look for it in different ways: several lexicons, word beginnings,
    and patterns of disguise (digits for letters, spaced, stretched, masked and
    shouted words), each of which fires or doesn't on a text.
@@ -12,9 +14,9 @@
 4. A linear classifier on lexicon and pattern features is trained on the label
    model's posteriors of a bounded sample of those rows.
 
-Texts meet their labels once, to count keys: where Spark doesn't broadcast the
-labels, the texts are shuffled for it. Every text is read for its features once;
-voting and scoring work on those.
+Texts meet their labels once, in a shuffle join at every size; a filter of the
+labelled ids, of bounded size, keeps other texts out of it. Every text is read
+for its features once; voting and scoring work on those.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strata.llm.bloom import bloom_filter
 from strata.session import materialize
 
 LETTER = r"[^\W\d_]"
@@ -42,6 +46,9 @@ EDGE = ".,;:?!\"'()[]*#-_"
 BEGIN = 5               # letters of a word's beginning
 LEXICONS, STEM_VOTERS, PATTERNS = 6, 2, ("leet", "spaced", "stretched", "masked", "shouted", "several")
 KEYS_HELD = 200_000     # counted in a task's memory before they are sent on
+AT_ONCE = 1024          # keys held against each other in a round; there is no limit to the rounds
+KEY_BITS = 1 << 22      # of the filter of keys that are counted over clean rows; other keys may only add to what is counted
+LABEL_BITS = 1 << 21    # of the filter of labelled ids, at most; other texts may only add to what is joined
 SAMPLE_ROWS = 30_000    # labelled rows that the classifier is learned from, at most
 CELL = np.dtype([("at", "<u4"), ("n", "<f4")])     # a feature's place and count
 
@@ -53,10 +60,19 @@ def keys(text: str) -> set[str]:
 
 
 class Features:
-    """Counts of each learned key, then of each pattern."""
+    """Counts of each learned key, then of each pattern. ``gains``: how surely
+    each key marks toxic texts; keys are in falling order of it."""
 
-    def __init__(self, names: tuple[str, ...]):
+    def __init__(self, names: tuple[str, ...], gains: tuple[float, ...] | None = None):
         self.names = names
+        stem = np.array([x.endswith("*") for x in names], bool)
+        gain = np.array(gains if gains is not None else [1.0] * len(names))
+        voter = np.zeros(len(names), int)
+        for mine, first, n in ((~stem, 0, LEXICONS), (stem, LEXICONS, STEM_VOTERS)):
+            # Bands of like strength and equal sums of it: the many weak keys share the last voters.
+            before = np.cumsum(gain[mine]) - gain[mine]
+            voter[mine] = first + (n * before / max(gain[mine].sum(), 1e-9)).astype(int)
+        self._voter = np.append(voter, LEXICONS + STEM_VOTERS + np.arange(len(PATTERNS)))
         self._words = {n for n in names if not n.endswith("*")}
         self._shapes = {(w[0], w[-1], len(w)) for w in self._words}
         self._finder = None
@@ -107,52 +123,125 @@ class Features:
         return out
 
     def votes(self, row: np.ndarray, cells: np.ndarray, n: int) -> np.ndarray:
-        """Which voters fire (``n`` rows x voters): keys are dealt to the lexicons by rank."""
-        stem = np.array([x.endswith("*") for x in self.names], bool)
-        voter = np.append(np.zeros(len(stem), int), LEXICONS + STEM_VOTERS + np.arange(len(PATTERNS)))
-        voter[np.flatnonzero(~stem)] = np.arange((~stem).sum()) % LEXICONS
-        voter[np.flatnonzero(stem)] = LEXICONS + np.arange(stem.sum()) % STEM_VOTERS
+        """Which voters fire (``n`` rows x voters): keys are dealt to the lexicons by strength."""
         out = np.zeros((n, VOTERS), bool)
-        out[row, voter[cells["at"]]] = True
+        out[row, self._voter[cells["at"]]] = True
         return out
 
 
 VOTERS = LEXICONS + STEM_VOTERS + len(PATTERNS)
 
 
-def learn_keys(train: DataFrame, min_gain: float = 15.0) -> tuple[str, ...]:
-    """Every key that marks toxic texts with a likelihood ratio over the
-    threshold, surest first. ``train``: (``text``, ``toxic``), of which all rows count."""
+def gain_of(a, b, t, c):
+    """Likelihood ratio (G) of a key in ``a`` of ``t`` toxic and ``b`` of ``c``
+    clean rows; 0 where it doesn't mark toxic ones."""
+    a, b = np.asarray(a, float), np.asarray(b, float)
+    share, other = (a + b) / (t + c), (t + c - a - b) / (t + c)
+    out = np.zeros(a.shape)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for seen, of, p in ((a, t, share), (b, c, share), (t - a, t, other), (c - b, c, other)):
+            out += np.where(seen > 0, 2 * seen * np.log(seen / (of * p)), 0.0)
+        return np.where(a * c > b * t, out, 0.0)
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = (Counter(), Counter())                   # clean, toxic
+
+def _counted(known: frozenset[str], wanted: np.ndarray | None):
+    """Pandas function: (key, rows that hold it) over rows without a known key,
+    and their number as the key "". ``wanted``: a filter of the keys to count."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
 
         def rows() -> pd.DataFrame:
-            at = list(seen[0].keys() | seen[1].keys())
-            out = pd.DataFrame({"key": pd.Series(at, dtype=object), "a": [seen[1][k] for k in at], "b": [seen[0][k] for k in at]})
-            for s in seen:
-                s.clear()
+            at = [k for k in seen if wanted is None or not k or wanted[xxhash.xxh64_intdigest(k, 42) % KEY_BITS]]
+            out = pd.DataFrame({"key": pd.Series(at, dtype=object), "n": pd.Series([seen[k] for k in at], dtype="int64")})
+            seen.clear()
             return out
         for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[toxic].update(keys(text or ""))
-                if len(seen[0]) + len(seen[1]) > KEYS_HELD:
+            for text in batch["text"]:
+                found = keys(text or "")
+                if known.isdisjoint(found):
+                    seen.update(found)
+                    seen[""] += 1
+                if len(seen) > KEYS_HELD:
                     yield rows()
         yield rows()
+    return count
+
 
-    size = train.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
-    if not size["t"] or not size["c"]:
-        return ()
-    t, c = size["t"], size["c"]
-    both = (train.select("toxic", "text").mapInPandas(counted, "key string, a long, b long")
-            .groupBy("key").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b")).where("a > 0"))
-    a, b = F.col("a"), F.col("b")
-    gain = F.lit(0.0)
-    for seen, of in ((a, t), (b, c), (t - a, t), (c - b, c)):
-        share = (a + b if seen is a or seen is b else t + c - a - b) / (t + c)
-        gain = gain + F.when(seen > 0, 2 * seen * F.log(seen / (of * share))).otherwise(0.0)
-    best = both.where(a / t > b / c).select("key", gain.alias("gain")).where(F.col("gain") >= min_gain)
-    return tuple(r["key"] for r in sorted(best.collect(), key=lambda r: (-r["gain"], r["key"])))
+def _strongest(known: frozenset[str], rank: dict[str, int]):
+    """Pandas function: for each rank, the rows (toxic, clean) whose strongest
+    key it is, over rows without a known key; rank -1: rows without any."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for text, toxic in zip(batch["text"], batch["toxic"]):
+                found = keys(text or "")
+                if known.isdisjoint(found):
+                    seen[min((rank[k] for k in found if k in rank), default=-1), toxic] += 1
+        at = sorted({r for r, _ in seen})
+        yield pd.DataFrame({"rank": pd.Series(at, dtype="int32"), "a": pd.Series([seen[r, 1] for r in at], dtype="int64"),
+                            "b": pd.Series([seen[r, 0] for r in at], dtype="int64")})
+    return count
+
+
+def learn_keys(train: DataFrame, least: float = 8.0) -> dict[str, float]:
+    """Keys that mark toxic texts, with their likelihood ratios, surest first.
+    ``train``: (``text``, ``toxic``), of which all rows count.
+
+    In rounds: of the keys whose ratio over the rows left exceeds ``least`` + 2 ln
+    (keys tested), the AT_ONCE surest are held against each other. Every row goes
+    to the strongest of them that it holds. A key stays if the ratio also holds
+    over its own rows and those that no stronger kept key explains. Rows with a
+    kept key are left out of the next round; the rounds end when none is kept. A
+    key is dropped only for what it adds, never for the number of keys.
+    """
+    known: dict[str, float] = {}
+    toxic, clean = train.where("toxic = 1").select("text"), train.where("toxic = 0").select("text")
+    all_clean = clean.count()
+    while True:
+        skip = frozenset(known)
+        a = materialize(toxic.mapInPandas(_counted(skip, None), "key string, n long").groupBy("key").agg(F.sum("n").alias("a")), "toxic-keys")
+        t = (a.where("key = ''").agg(F.sum("a")).first()[0] or 0)
+        tested = max(a.count() - 1, 1)
+        floor = least + 2 * np.log(tested)
+        if not t or not all_clean:
+            break
+        # The fewest toxic rows with which a key that no clean row holds passes.
+        fewest = next((n for n in range(1, t + 1) if gain_of(n, 0, t, all_clean) >= floor), None)
+        if fewest is None:
+            break
+        may = a.where((F.col("a") >= fewest) & (F.col("key") != ""))
+        at = F.pmod(F.xxhash64("key"), F.lit(KEY_BITS).cast("long"))
+        # At most KEY_BITS / 64 rows.
+        words = (may.select(at.alias("at")).groupBy(F.expr("at div 64").alias("word"))
+                 .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v")).collect())
+        packed = np.zeros(KEY_BITS // 64, np.int64)
+        packed[[r["word"] for r in words]] = [r["v"] for r in words]
+        wanted = np.unpackbits(packed.view(np.uint8), bitorder="little").astype(bool)
+        b = clean.mapInPandas(_counted(skip, wanted), "key string, n long").groupBy("key").agg(F.sum("n").alias("b"))
+        both = materialize(a.where((F.col("a") >= fewest) | (F.col("key") == "")).join(b, "key", "left").select("key", "a", F.coalesce("b", F.lit(0)).alias("b")), "toxic-key-counts")
+        c = both.where("key = ''").select("b").first()
+        c = c["b"] if c else 0
+        if not c:
+            break
+        ratio = F.pandas_udf(lambda x, y: pd.Series(gain_of(x, y, t, c)), "double")
+        best = (both.where("key <> ''").withColumn("gain", ratio("a", "b")).where(F.col("gain") >= floor)
+                .orderBy(F.desc("gain"), "key").limit(AT_ONCE).collect())
+        rank = {r["key"]: i for i, r in enumerate(best)}
+        if not rank:
+            break
+        # A row for each key held, at most AT_ONCE + 1.
+        own = {r["rank"]: (r["a"], r["b"]) for r in train.select("text", "toxic").mapInPandas(_strongest(skip, rank), "rank int, a long, b long")
+               .groupBy("rank").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
+        kept = {}
+        for i, r in enumerate(best):
+            x, y = own.get(i, (0, 0))
+            if gain_of(x, y, t, c) >= floor:
+                kept[r["key"]] = float(r["gain"])
+                t, c = t - x, c - y
+        if not kept:
+            break
+        known |= kept
+    return dict(sorted(known.items(), key=lambda x: (-x[1], x[0])))
 
 
 class LabelModel:
@@ -325,7 +414,11 @@ def train(docs: DataFrame, labels: DataFrame, train_on: Column | None = None, sa
     labels = materialize(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
                          .agg(F.max(F.col(label_col)).cast("int").alias("toxic")), "toxic-labels")
     chosen = materialize(labels.orderBy(F.xxhash64("id"), "id").limit(sample_rows), "toxic-chosen")
-    features = Features(learn_keys(docs.where("trains").join(labels, "id").select("toxic", "text")))
+    bits = min(LABEL_BITS, 1 << max(10, (10 * labels.count()).bit_length()))
+    may = bloom_filter(labels.select(F.col("id").alias("key")), bits)(F.col("id"))
+    labelled = materialize(docs.where("trains and id is not null").where(may).join(labels.hint("merge"), "id").select("toxic", "text"), "toxic-labelled")
+    lexicon = learn_keys(labelled)
+    features = Features(tuple(lexicon), tuple(lexicon.values()))
     blank = Classifier(features, None)
     found = materialize(docs.select("id", "trains", blank.packed(F.col("text")).alias("x")), "toxic-features")
     if not features.names:

@@ -159,6 +159,50 @@ def test_toxicity_keys_cover_all_labelled_rows(spark):
     assert np.abs(x.T @ (q - [0.2, 0.9]) + again[:2]).max() < 1e-5      # the gradient is zero
 
 
+def brute_keys(rows, least=8.0):
+    """The lexicon by plain sets: rounds over the rows that no kept key explains."""
+    left, known = [(toxicity.keys(t or ""), y) for t, y in rows], {}
+    while True:
+        t, c = (sum(y == v for _, y in left) for v in (1, 0))
+        counts = {}
+        for found, y in left:
+            for k in found:
+                counts.setdefault(k, [0, 0])[1 - y] += 1
+        tested = [k for k, (a, _) in counts.items() if a]
+        floor = least + 2 * np.log(max(len(tested), 1))
+        if not t or not c:
+            return known
+        gain = {k: float(toxicity.gain_of(*counts[k], t, c)) for k in tested}
+        order = sorted((k for k in tested if gain[k] >= floor), key=lambda k: (-gain[k], k))[:toxicity.AT_ONCE]
+        kept = []
+        for k in order:
+            mine = [y for found, y in left if k in found and found.isdisjoint(order[:order.index(k)])]
+            if toxicity.gain_of(sum(mine), len(mine) - sum(mine), t, c) >= floor:
+                kept.append(k)
+                t, c = t - sum(mine), c - len(mine) + sum(mine)
+        if not kept:
+            return known
+        known |= {k: gain[k] for k in kept}
+        left = [(found, y) for found, y in left if found.isdisjoint(kept)]
+
+
+@pytest.mark.parametrize("at_once", [1024, 2])
+def test_toxicity_keys_equal_brute_force(spark, monkeypatch, at_once):
+    """Toxic words beside words of their own neighbourhood, copies of whole texts, a rare toxic word, and noise."""
+    monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+    rng = np.random.default_rng(4)
+    noise = ["".join(rng.choice(list("bcdfgaeiou"), 6)) for _ in range(400)]
+    rows = [(" ".join(rng.choice(noise, 15)), 0) for _ in range(600)]
+    for word, n in (("zorkish", 60), ("blargh", 40), ("quuxing", 9)):
+        rows += [(f"{word} {' '.join(rng.choice(noise, 12))}", 1) for _ in range(n)]
+    rows += [("zorkish besidehere " + " ".join(noise[:10]), 1)] * 30 + [(None, 0), ("", 1), ("", 0)]
+    got = toxicity.learn_keys(spark.createDataFrame(rows, "text string, toxic int"))
+    want = brute_keys(rows)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    assert any(k.startswith("zork") for k in got) and any(k.startswith("blarg") for k in got)
+    assert "besidehere" not in got and "besid*" not in got and not set(noise[:10]) & set(got)
+
+
 def test_label_model_finds_accuracies():
     rng = np.random.default_rng(3)
     y = rng.random(20_000) < 0.3
