@@ -54,9 +54,23 @@ CELL = np.dtype([("at", "<u4"), ("n", "<f4")])     # a feature's place and count
 
 
 def keys(text: str) -> set[str]:
-    """Words of a text in lower case, and the beginnings (``begin*``) of longer ones."""
-    words = set(WORD.findall(text.lower()))
-    return words | {w[:BEGIN] + "*" for w in words if len(w) > BEGIN}
+    """Words of a text in lower case, the beginnings (``begin*``) of longer ones,
+    and those that begin several (``begin**``)."""
+    words = WORD.findall(text.lower())
+    begins = Counter([w[:BEGIN] for w in words if len(w) > BEGIN])
+    return {*words, *[b + "*" for b in begins], *[b + "**" for b, n in begins.items() if n > 1]}
+
+
+def contexts(text: str, rank: dict[str, int]) -> set[tuple[int, int]]:
+    """(rank of a key, hash of its word and the words beside it) of every place of a key."""
+    words, out = WORD.findall(text.lower()), set()
+    for i, w in enumerate(words):
+        begin = w[:BEGIN]
+        for key in (w, begin + "*", begin + "**") if len(w) > BEGIN else (w,):
+            if key in rank:
+                near = " ".join(words[max(i - 1, 0):i + 2])
+                out.add((rank[key], xxhash.xxh64_intdigest(f"{w} {near}") >> 1))
+    return out
 
 
 class Features:
@@ -86,6 +100,7 @@ class Features:
             entries: dict[str, list] = {}
             for i, n in enumerate(self.names):
                 entries.setdefault(n.rstrip("*"), []).append((i, len(n.rstrip("*")), n.endswith("*")))
+            self._several = [i for i, n in enumerate(self.names) if n.endswith("**")]
             self._finder = ahocorasick.Automaton()
             for word, values in entries.items():
                 self._finder.add_word(word, values)
@@ -105,6 +120,9 @@ class Features:
                 if begins == goes_on and not (start and low[start - 1].isalpha()):
                     out[i] = out.get(i, 0) + 1
                     shouted += len(low) == len(text) and not begins and text[start:end + 1].isupper()
+        for i in self._several if out else ():
+            if out.get(i) == 1:
+                del out[i]
         raw = {"leet": sum(t.strip(EDGE).translate(LEET) in lexicon or t.rstrip(EDGE).translate(LEET) in lexicon
                            for t in MIXED.findall(low) if t.strip(EDGE) not in lexicon),
                "spaced": sum(re.sub(r"[ .*_-]", "", t) in lexicon for t in SPACED.findall(low)),
@@ -169,17 +187,29 @@ def _counted(known: frozenset[str], wanted: np.ndarray | None):
 
 def _strongest(known: frozenset[str], rank: dict[str, int]):
     """Pandas function: for each rank, the rows (toxic, clean) whose strongest
-    key it is, over rows without a known key; rank -1: rows without any."""
+    key it is, over rows without a known key; rank -1: rows without any. Rows with a
+    ``context`` stand for a place where a toxic row holds the key."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
+        places: set[tuple[int, int]] = set()
+
+        def listed() -> pd.DataFrame:
+            out = pd.DataFrame(sorted(places), columns=["rank", "context"], dtype="int64").assign(a=0, b=0)
+            places.clear()
+            return out
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 found = keys(text or "")
                 if known.isdisjoint(found):
-                    seen[min((rank[k] for k in found if k in rank), default=-1), toxic] += 1
+                    mine = [rank[k] for k in found if k in rank]
+                    seen[min(mine, default=-1), toxic] += 1
+                    if toxic and mine:
+                        places |= contexts(text, rank)
+                if len(places) > KEYS_HELD:
+                    yield listed()
+        yield listed()
         at = sorted({r for r, _ in seen})
-        yield pd.DataFrame({"rank": pd.Series(at, dtype="int32"), "a": pd.Series([seen[r, 1] for r in at], dtype="int64"),
-                            "b": pd.Series([seen[r, 0] for r in at], dtype="int64")})
+        yield pd.DataFrame({"rank": at, "context": pd.Series([None] * len(at), dtype="Int64"), "a": [seen[r, 1] for r in at], "b": [seen[r, 0] for r in at]})
     return count
 
 
@@ -190,9 +220,11 @@ def learn_keys(train: DataFrame, least: float = 8.0) -> dict[str, float]:
     In rounds: of the keys whose ratio over the rows left exceeds ``least`` + 2 ln
     (keys tested), the AT_ONCE surest are held against each other. Every row goes
     to the strongest of them that it holds. A key stays if the ratio also holds
-    over its own rows and those that no stronger kept key explains. Rows with a
-    kept key are left out of the next round; the rounds end when none is kept. A
-    key is dropped only for what it adds, never for the number of keys.
+    over its own rows and those that no stronger kept key explains, or if it has
+    half the ratio of the strongest and stands beside other words in half of its
+    rows at least (toxic words come together, but the words around them only in
+    copies of a text). Rows with a kept key are left out of the next round; the
+    rounds end when none is kept. No key is dropped for the number of keys.
     """
     known: dict[str, float] = {}
     toxic, clean = train.where("toxic = 1").select("text"), train.where("toxic = 0").select("text")
@@ -230,12 +262,14 @@ def learn_keys(train: DataFrame, least: float = 8.0) -> dict[str, float]:
         if not rank:
             break
         # A row for each key held, at most AT_ONCE + 1.
-        own = {r["rank"]: (r["a"], r["b"]) for r in train.select("text", "toxic").mapInPandas(_strongest(skip, rank), "rank int, a long, b long")
-               .groupBy("rank").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()}
+        own = {r["rank"]: (r["a"], r["b"], r["places"]) for r in train.select("text", "toxic")
+               .mapInPandas(_strongest(skip, rank), "rank int, context long, a long, b long")
+               .groupBy("rank", "context").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+               .groupBy("rank").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.count("context").alias("places")).collect()}
         kept = {}
         for i, r in enumerate(best):
-            x, y = own.get(i, (0, 0))
-            if gain_of(x, y, t, c) >= floor:
+            x, y, places = own.get(i, (0, 0, 0))
+            if gain_of(x, y, t, c) >= floor or 2 * r["gain"] >= best[0]["gain"] and 2 * places >= r["a"]:
                 kept[r["key"]] = float(r["gain"])
                 t, c = t - x, c - y
         if not kept:

@@ -161,11 +161,11 @@ def test_toxicity_keys_cover_all_labelled_rows(spark):
 
 def brute_keys(rows, least=8.0):
     """The lexicon by plain sets: rounds over the rows that no kept key explains."""
-    left, known = [(toxicity.keys(t or ""), y) for t, y in rows], {}
+    left, known = [(toxicity.keys(t or ""), y, t or "") for t, y in rows], {}
     while True:
-        t, c = (sum(y == v for _, y in left) for v in (1, 0))
+        t, c = (sum(y == v for _, y, _ in left) for v in (1, 0))
         counts = {}
-        for found, y in left:
+        for found, y, _ in left:
             for k in found:
                 counts.setdefault(k, [0, 0])[1 - y] += 1
         tested = [k for k, (a, _) in counts.items() if a]
@@ -176,14 +176,16 @@ def brute_keys(rows, least=8.0):
         order = sorted((k for k in tested if gain[k] >= floor), key=lambda k: (-gain[k], k))[:toxicity.AT_ONCE]
         kept = []
         for k in order:
-            mine = [y for found, y in left if k in found and found.isdisjoint(order[:order.index(k)])]
-            if toxicity.gain_of(sum(mine), len(mine) - sum(mine), t, c) >= floor:
+            mine = [y for found, y, _ in left if k in found and found.isdisjoint(order[:order.index(k)])]
+            places = len({x for _, y, text in left if y for x in toxicity.contexts(text, {k: 0})})
+            strong = 2 * gain[k] >= gain[order[0]] and 2 * places >= counts[k][0]
+            if toxicity.gain_of(sum(mine), len(mine) - sum(mine), t, c) >= floor or strong:
                 kept.append(k)
                 t, c = t - sum(mine), c - len(mine) + sum(mine)
         if not kept:
             return known
         known |= {k: gain[k] for k in kept}
-        left = [(found, y) for found, y in left if found.isdisjoint(kept)]
+        left = [x for x in left if x[0].isdisjoint(kept)]
 
 
 @pytest.mark.parametrize("at_once", [1024, 2])
@@ -225,6 +227,9 @@ def test_toxicity_patterns():
     f = toxicity.Features(("idiot", "scum", "lower*"))
     assert f.of("You id1ot, s.c.u.m! idiooot sc*m IDIOT lowerings idiots").tolist()[:8] == [1, 0, 1, 1, 1, 1, 1, 1]
     assert f.of(None).tolist() == f.of("").tolist() == [0] * 9
+    f = toxicity.Features(("lower*", "lower**"))
+    assert f.of("lowering").tolist()[:2] == [1, 0] and f.of("Lowering, lowered lower").tolist()[:2] == [2, 2]
+    assert toxicity.keys("Lowering lowered lower x") == {"lowering", "lowered", "lower", "x", "lower*", "lower**"}
 
 
 # 3: URL filter
