@@ -111,6 +111,17 @@ def global_row_number(df: DataFrame, value: str, key: str, descending: bool = Tr
     return _with_offsets(tagged, rank_col)
 
 
+def consecutive_ids(df: DataFrame, id_col: str = "id", start: int = 0, pinned: bool = False) -> DataFrame:
+    """``df`` with the numbers from ``start`` on, one for each row, as the rows lie:
+    no sort and no shuffle, a count per partition (one row each, broadcast) and
+    the row's place in its partition. ``df`` is read twice and has to lie alike
+    both times, so it is checkpointed first; ``pinned`` tells that it does
+    anyway, as the scan of a table."""
+    tagged = df.withColumn("_mid", F.monotonically_increasing_id())
+    numbered = _with_offsets(tagged if pinned else reliable_checkpoint(tagged), id_col)
+    return numbered.withColumn(id_col, F.col(id_col) + F.lit(start - 1))
+
+
 def global_percent_rank(df: DataFrame, value: str, key: str, pct_col: str = "percent_rank",
                         rank_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """``percent_rank() over (order by value)`` for every row, distributed.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.columns import int_mix, int_mix_sql
 from strata.functions.money import ratio_2_sql, to_double
-from strata.operators import heavy, iterate, joins, layout, moments, partitioner, ranking, rollups, skew
+from strata.operators import heavy, iterate, joins, layout, moments, partitioner, quantiles, ranking, rollups, skew, states
 from strata.plans.sql import CLICKS, CUSTOMER_LTV, PROFILES, USER_DIM, USER_STATS
 from strata.session import materialize, reliable_checkpoint, scratch_dir
 from strata.sources import generators as gen
@@ -503,10 +503,9 @@ def q_scan_text_files(spark, d):
 
 @register("range_scan", "SELECT unnest(range((SELECT count(*) FROM lineitem))) AS id")
 def q_range_scan(spark, d):
-    """Consecutive ids from 0, one for each row of the table: the rows are
-    numbered where they lie, in key order."""
-    rows = read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    return ranking.global_row_number(rows, "l_orderkey", "l_linenumber", False, "n").select((F.col("n") - 1).alias("id"))
+    """Consecutive ids from 0, one for each row of the table, numbered where they lie."""
+    rows = read_table(spark, d, "lineitem").select("l_orderkey")
+    return ranking.consecutive_ids(rows, pinned=True).select("id")
 
 
 ROW_EXPAND_K = f"(({int_mix_sql('o_orderkey')}) % 7 + 1)"
@@ -817,3 +816,123 @@ def q_moments_by_type(spark, d):
     daily = materialize(moments.moments(events, ["day", "event_type"], "value", "event_id"), "daily-moments")
     found = moments.statistics(moments.merge_moments(daily, ["event_type"]), ["event_type"])
     return found.select("event_type", "n", *[F.round(c, 6).alias(c) for c in ("mean", "stddev", "skewness", "kurtosis")], "least", "most")
+
+
+# ---------------------------------------------------------------------------
+# Quantile sketches, stored sketch state (§2.5, §2.6)
+# ---------------------------------------------------------------------------
+
+@register("approx_ltv_percentile", f"""
+WITH {CUSTOMER_LTV}
+SELECT user_id, ltv::DOUBLE AS lifetime_value, percent_rank() OVER (ORDER BY ltv) AS exact_percentile, true AS within_bound
+FROM c""")
+def q_approx_ltv_percentile(spark, d):
+    """Percent ranks from a quantile sketch, held against the exact ones."""
+    near = quantiles.approx_percent_rank(_customer_ltv(spark, d), "lifetime_value", "near")
+    both = ranking.global_percent_rank(near, "lifetime_value", "user_id", "exact_percentile")
+    return both.select("user_id", to_double(F.col("lifetime_value")).alias("lifetime_value"), "exact_percentile",
+                       quantiles.within_error(F.col("near"), F.col("exact_percentile")).alias("within_bound"))
+
+
+def _daily_state(spark, d):
+    """Events sketched by day into a stored state, in two loads."""
+    events = read_table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    path = scratch_dir(spark, "daily-state")
+    early = F.dayofmonth("day") <= 15
+    states.add_days(events.where(early), path, "day", "event_type", "user_id")
+    return events, states.add_days(events.where(~early), path, "day", "event_type", "user_id")
+
+
+@register("stored_distinct_counts", """
+SELECT event_type, count(DISTINCT user_id) AS distinct_values, count(user_id) AS n, true AS within_bound FROM events GROUP BY event_type""")
+def q_stored_distinct_counts(spark, d):
+    """Distinct users by event type from stored daily sketches, held against the exact counts."""
+    events, state = _daily_state(spark, d)
+    exact = (events.groupBy("event_type", "user_id").agg(F.lit(1).alias("one"))
+             .groupBy("event_type").agg(F.count("user_id").alias("distinct_values")))
+    near = states.distinct_counts(state)
+    off = F.abs(F.col("approx_distinct") - F.col("distinct_values"))
+    return (exact.join(near, F.col("event_type") == F.col("group"))
+            .select("event_type", "distinct_values", "n", (off <= F.greatest(F.lit(1.0), F.col("distinct_values") * states.HLL_ERROR)).alias("within_bound")))
+
+
+@register("audience_overlap", """
+WITH u AS (SELECT DISTINCT event_type, user_id FROM events),
+s AS (SELECT a.event_type AS a, b.event_type AS b, count(*) AS shared FROM u a JOIN u b ON a.user_id = b.user_id AND a.event_type < b.event_type
+      GROUP BY a.event_type, b.event_type)
+SELECT a, b, shared, true AS within_bound FROM s""")
+def q_audience_overlap(spark, d):
+    """How many users two event types share, from stored theta sketches, held against the exact counts."""
+    events, state = _daily_state(spark, d)
+    types = events.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("t"))     # a handful of types
+    pairs = types.select(F.explode("t").alias("a"), "t").select("a", F.explode("t").alias("b")).where("a < b")
+    exact = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    off = F.abs(F.col("approx_shared") - F.col("shared"))
+    return (exact.join(states.overlaps(state), ["a", "b"])
+            .select("a", "b", "shared", (off <= F.greatest(F.lit(1.0), F.col("approx_either") * states.THETA_ERROR)).alias("within_bound")))
+
+
+# ---------------------------------------------------------------------------
+# Compaction in place, sizes before writing, proof of order (§2.2, §2.7)
+# ---------------------------------------------------------------------------
+
+def _fragmented(spark, d):
+    """Orders by status, half of them in a file a status, half in many."""
+    path, orders = scratch_dir(spark, "fragmented"), read_table(spark, d, "orders")
+    orders.where("o_orderkey % 2 = 0").repartition(1).write.partitionBy("o_orderstatus").parquet(path)
+    orders.where("o_orderkey % 2 = 1").repartition(12).write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    return path, orders
+
+
+@register("compact_in_place", "SELECT * FROM orders")
+def q_compact_in_place(spark, d):
+    """A folder of many small files, compacted where it lies."""
+    path, orders = _fragmented(spark, d)
+    layout.compact_folder(spark, path)
+    return spark.read.schema(orders.schema).parquet(path).select(orders.columns)
+
+
+@register("compaction_report", """
+SELECT o_orderstatus, count(*) AS "rows", true AS as_packed, true AS large_untouched FROM orders GROUP BY o_orderstatus""")
+def q_compaction_report(spark, d):
+    """By status: rows after compacting, whether each folder has as many files as
+    packed, and whether its largest file, above the limit, is the one from before."""
+    path, _ = _fragmented(spark, d)
+    files = lambda: materialize(layout.file_layout_report(spark, path).withColumn(
+        "status", F.regexp_extract("file_path", "o_orderstatus=([^/]*)", 1)), "file-list")
+    before = files()
+    largest = before.groupBy("status").agg(F.max(F.struct("file_size", "file_path")).alias("top"))
+    limit = largest.agg(F.min("top.file_size")).first()[0]
+    plan = layout.compact_folder(spark, path, small_bytes=limit)
+    packed = (plan.withColumn("status", F.regexp_extract("folder", "o_orderstatus=([^/]*)", 1)).groupBy("status")
+              .agg((F.count(F.lit(1)) - F.count_distinct("bin")).alias("fewer")))
+    kept = files().join(largest.select("status", F.col("top.file_path").alias("top")), "status")
+    now = kept.groupBy("status").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("now"), F.bool_or(F.col("file_path") == F.col("top")).alias("large_untouched"))
+    counts = before.groupBy("status").agg(F.count(F.lit(1)).alias("then"))
+    return now.join(counts, "status").join(packed, "status", "left").select(
+        F.col("status").alias("o_orderstatus"), "rows", (F.col("then") - F.coalesce("fewer", F.lit(0)) == F.col("now")).alias("as_packed"), "large_untouched")
+
+
+@register("size_before_write", """
+SELECT 'lineitem' AS name, count(*) AS "rows", true AS within_20_pct FROM lineitem
+UNION ALL SELECT 'orders', count(*), true FROM orders
+UNION ALL SELECT 'documents', count(*), true FROM documents""")
+def q_size_before_write(spark, d):
+    """The size that three tables take as Parquet, estimated before and measured after writing them."""
+    out = None
+    for name in ("lineitem", "orders", "documents"):
+        table = spark.read.parquet(table_path(d, name))
+        path = scratch_dir(spark, f"sized-{name}")
+        estimate = layout.estimate_written(table)
+        table.write.parquet(path)
+        real = layout.input_bytes(spark, path).select("input_bytes").scalar()
+        row = estimate.select(F.lit(name).alias("name"), "rows", (F.abs(F.col("bytes") - real) <= real * 0.2).alias("within_20_pct"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("large_sort_order", 'SELECT count(*) AS "rows", true AS in_order FROM lineitem')
+def q_large_sort_order(spark, d):
+    """The large sort, with the proof that its rows lie in order, within and across partitions."""
+    cols = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    return layout.sort_order_report(layout.large_sort(read_table(spark, d, "lineitem").select(*cols), *cols), cols)
