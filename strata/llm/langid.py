@@ -141,5 +141,5 @@ def identify(docs: DataFrame, train_on: Column, text_col: str = "text", lang_col
     The features are the text's n-grams alone."""
     model = train(docs.where(train_on), text_col, lang_col)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.select(*kept, predict(F.col(text_col), model).alias("_found"))
-    return found.select(*kept, "_found.lang_pred", "_found.score")
+    row = F.struct(*[F.col(f"`{c}`") for c in kept])            # no name can clash
+    return docs.select(row.alias("row"), predict(F.col(text_col), model).alias("found")).select("row.*", "found.lang_pred", "found.score")

@@ -127,8 +127,8 @@ def findings(ledger: DataFrame, rules: tuple[Rule, ...], base: tuple[Rule, ...])
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, base: tuple[Rule, ...] = BASE_RULES,
                  ledger: DataFrame | None = None, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``docs`` (every version and path a row) with the columns of
-    :func:`findings` under ``found`` (null where a text has no span), and the
-    ledger with the new rows."""
+    :func:`findings` under ``found`` (null where a text has no span; a column of
+    that name is replaced, all others stay), and the ledger with the new rows."""
     new = materialize(scan(docs, rules, ledger, text_col), "ledger")
     ledger = new if ledger is None else ledger.unionByName(new)
     per_blob = findings(ledger, rules, base)
@@ -137,13 +137,13 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     # Most texts have no finding. A small filter of the blobs that do keeps the
     # others out of the join; where it is too full to, the join takes them all.
     bits = min(MAX_FILTER_BITS, 64 * -(-per_blob.count() * 10 // 64) or 64)
-    maybe = bloom_filter(per_blob.select(F.col("_blob").alias("key")), bits)(F.col("_key"))
-    rows = docs.withColumn("_key", blob_id(F.col(text_col)))
-    kept = [c for c in docs.columns if c != "found"]
+    maybe = bloom_filter(per_blob.select(F.col("_blob").alias("key")), bits)(F.col("key"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != "found"]
+    rows = docs.select(F.struct(*kept).alias("row"), blob_id(F.col(text_col)).alias("key"))      # no name can clash
     hit = rows.where(maybe)
-    hit = hit.join(per_blob, hit["_key"] == per_blob["_blob"], "left").select(*[hit[c] for c in kept], per_blob["found"])
+    hit = hit.join(per_blob, hit["key"] == per_blob["_blob"], "left").select("row.*", "found")
     none = F.lit(None).cast(per_blob.schema["found"].dataType).alias("found")
-    return hit.unionByName(rows.where(~maybe).select(*[rows[c] for c in kept], none)), ledger
+    return hit.unionByName(rows.where(~maybe).select("row.*", none)), ledger
 
 
 def listing(spans: Column) -> Column:

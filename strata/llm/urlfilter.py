@@ -101,18 +101,18 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], blocklist: DataFr
     allowed. Repeated rows stay repeated; an empty table gives no rows.
     """
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    # Functions of the url alone; the names must not clash with kept columns.
-    found = pages.select(*kept, host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("none"))
+    found = pages.select(row.alias("row"), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))    # no name can clash
     keys = pages.select(host(F.col(url_col)).alias("host")).distinct().select(F.explode(domains(F.col("host"))).alias("key"))
     listed = blocklist.select(F.translate("domain", UPPER, LOWER).alias("key"))
     member = cascade(keys, listed, max_filter_bits)
     if member is None:
         hit = (keys.distinct().join(listed.distinct(), "key", "left_semi"))
-        hosts = found.select("host").distinct().select(F.col("host").alias("_host"), F.explode(domains(F.col("host"))).alias("key"))
-        bad = materialize(hosts.join(hit, "key", "left_semi").select("_host").distinct(), "blocked-hosts")
-        found = found.join(bad, found["host"] == bad["_host"], "left").withColumn("_listed", F.col("_host").isNotNull())
+        hosts = found.select("host").distinct().select(F.col("host").alias("bad_host"), F.explode(domains(F.col("host"))).alias("key"))
+        bad = materialize(hosts.join(hit, "key", "left_semi").select("bad_host").distinct(), "blocked-hosts")
+        found = found.join(bad, found["host"] == bad["bad_host"], "left").withColumn("listed", F.col("bad_host").isNotNull())
     else:
-        found = found.withColumn("_listed", F.exists(domains(F.col("host")), member))
+        found = found.withColumn("listed", F.exists(domains(F.col("host")), member))
     h, p = F.col("host"), F.col("path")
-    verdict = F.coalesce(rule(h, p, rules, 0), F.when(F.col("_listed"), "block").otherwise("allow"))
-    return found.select(*kept, "host", "path", rule(h, p, rules, 1).alias("rule"), verdict.alias("verdict"))
+    verdict = F.coalesce(rule(h, p, rules, 0), F.when(F.col("listed"), "block").otherwise("allow"))
+    return found.select(*[F.col("row").getField(c).alias(c) for c in kept], "host", "path", rule(h, p, rules, 1).alias("rule"), verdict.alias("verdict"))

@@ -620,3 +620,42 @@ def test_query_matches_its_sql(spark, key):
 
 def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+
+
+# Columns of any name, long runs
+
+def test_extra_columns_keep_their_values(spark):
+    """Names that operators use themselves, by value."""
+    docs = spark.createDataFrame([(1, "password=hunter2x and more", "en"), (2, "plain words", "en"), (3, None, None)], "doc_id long, text string, lang string")
+    names = ["row", "key", "found", "_found", "_key", "_blob", "host", "_host", "_listed", "listed", "bad_host", "blob", "a.b"]
+    for i, c in enumerate(names):
+        docs = docs.withColumn(c, F.lit(i))
+    same = lambda df, left: sorted(tuple(r) for r in df.select(*[F.col(f"`{c}`") for c in names if c not in left]).collect())
+    want = lambda left: [tuple(i for i, c in enumerate(names) if c not in left)] * 3
+    assert same(langid.identify(docs, F.col("lang").isNotNull()), ()) == want(())
+    assert same(secrets.find_secrets(docs)[0], ("found",)) == want(("found",))
+    pages = docs.withColumn("url", F.lit("http://x.example.net/"))
+    listed = spark.createDataFrame([("example.net",)], "domain string")
+    for bits in (urlfilter.MAX_FILTER_BITS, 0):
+        judged = urlfilter.judge(pages, [("block", "net", "/")], listed, max_filter_bits=bits)
+        assert same(judged, ("host",)) == want(("host",)) and {r.verdict for r in judged.collect()} == {"block"}
+
+
+@pytest.mark.parametrize("unit, n", [(" ", 1_000_000), (" ", 2_000_000), ("\n", 2_000_000), ("\t ", 600_000), ("a", 1_000_000), ("!", 1_000_000),
+                                     ("7", 1_000_000), ("<|endoftext|> x", 40_000), (" ", 200_000), ("\n", 199_999), ("ab", 100_000)])
+def test_encoder_takes_long_runs(unit, n):
+    from strata.llm.encode import Encoder
+
+    text = "begin " + unit * n + " end"
+    want = Tokenizer.from_file(BYTE_BPE).encode(text, add_special_tokens=False).ids
+    assert Encoder(BYTE_BPE).encode(text).tolist() == want
+
+
+def test_packing_takes_long_white_space(spark):
+    docs = spark.createDataFrame([(1, "x" + " " * 1_200_000 + "y"), (2, "short"), (3, "\n" * 1_500_000)], "doc_id long, text string")
+    t = Tokenizer.from_file(BYTE_BPE)
+    want = {r.doc_id: [*t.encode(r.text, add_special_tokens=False).ids, 1] for r in docs.collect()}
+    got = {}
+    for r in packing.pack(docs, BYTE_BPE, end_id=1).collect():
+        got.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, np.uint32).tolist()))
+    assert {i: sum((ids for _, ids in sorted(p)), []) for i, p in got.items()} == want
