@@ -24,7 +24,8 @@ BATCH_CHARS = 1 << 18       # laid end to end at once, unless one text is longer
 BASE, SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93      # odd: rolling base, final mixing
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 MARKS = T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.StructField("position", T.IntegerType())]))
-SAMPLED = 64                # ids looked at for each partition, to deal rows evenly
+FEW = 512                   # texts held as Python strings at once
+SAMPLED = 24                # ids looked at for each partition, to deal rows evenly
 
 
 def _hashes(codes: np.ndarray, k: int) -> np.ndarray:
@@ -104,7 +105,8 @@ def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
     equal fingerprints."""
     @F.arrow_udf(MARKS)
     def marks(texts: pa.Array) -> pa.Array:
-        count, hashes, places = winnow([t or "" for t in texts.to_pylist()], k, window)
+        found = [winnow([t or "" for t in texts.slice(at, FEW).to_pylist()], k, window) for at in range(0, max(len(texts), 1), FEW)]
+        count, hashes, places = (np.concatenate(c) for c in zip(*found))
         ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(hashes), pa.array(places)], ["hash", "position"]))
     return marks(text)
