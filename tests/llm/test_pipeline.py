@@ -59,12 +59,20 @@ def test_decontamination_keeps_a_sentence_with_other_values(spark, tmp_path):
 def test_stages_take_hard_rows(spark, name):
     rows = [(1, "a plain little text about nothing", "en", "s", 5), (1, "a plain little text about nothing", "en", "s", 5),
             (2, None, None, None, None), (3, "", "en", "s", 0), (None, "without an id token=abcdef1", "en", "s", 5), (4, "123", None, "s", 3)]
-    docs = spark.createDataFrame(rows, SCHEMA).withColumn("found", F.lit(1)).withColumn("score", F.lit(2)).withColumn("_blob", F.lit(3))
+    extra = ["found", "score", "_blob", "_found", "_key", "key", "row", "lang_pred", "doc_key", "whole", "component_id", "fp", "id"]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for i, c in enumerate(extra):
+        docs = docs.withColumn(c, F.lit(i))
     stage = dict(corpus_pipeline.STAGES)[name]
     out = stage(spark, docs, SF001)
+    # Null, empty and "123" have one fingerprint: no word, or a single one that is its own.
     kept = {"language": 3, "near_duplicates": 4, "decontamination": 6, "secrets": 6, "packing": 6}[name]
     assert out.count() == kept
-    assert name == "packing" or out.columns == docs.columns
+    if name != "packing":
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select(*extra).collect()} == {tuple(range(len(extra)))}
+        if name != "secrets":
+            assert {tuple(r) for r in out.collect()} <= {tuple(r) for r in docs.collect()}
     empty = stage(spark, docs.limit(0), SF001)
     assert empty.count() == 0
 
@@ -72,3 +80,22 @@ def test_stages_take_hard_rows(spark, name):
 def test_ledger_is_content_addressed(spark):
     same = spark.createDataFrame([("x",), ("x",), (None,), ("",)], "text string").select(secrets.blob_id(F.col("text")).alias("b"))
     assert same.distinct().count() == 2
+
+
+def test_near_duplicates_keep_different_texts_of_one_id(spark):
+    a, b = "one text about rivers and the boats on them all day long", "quite another text that tells of mountains snow and goats"
+    rows = [(1, a, "en", "s", 1), (1, b, "en", "s", 2), (1, b, "de", "s", 3), (2, a, "en", "s", 4), (None, a, "en", "s", 5), (None, b + " again", "en", "s", 6),
+            (None, "neither of the two nor like any of them at all", "en", "s", 7), (None, "neither of the two nor like any of them at all", "en", "t", 8)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF001).collect()]
+    texts = sorted(r[1] for r in out)
+    component = brute_components({i: brute_fingerprint(r[1]) for i, r in enumerate(rows)})
+    assert len(out) == len(set(component.values())) and set(out) <= set(rows)
+    assert texts.count(a) == 1 and texts.count(b) == 1 and (1, a, "en", "s", 1) in out
+    again = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(5), SF001).collect()]
+    assert sorted(out, key=str) == sorted(again, key=str)
+
+
+def test_language_without_any_named_language(spark):
+    docs = spark.createDataFrame([(1, "words", None, "s", 5), (2, "123", None, "s", 3), (3, None, None, "s", 0)], SCHEMA)
+    assert [r.doc_id for r in corpus_pipeline.language(spark, docs, SF001).collect()] == [1]
