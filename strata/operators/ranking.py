@@ -13,18 +13,25 @@ same numbers with distributed plans:
   a checkpoint so both uses see the same partitions, per-partition counts
   (one row per partition) turned into offsets, then a broadcast of those
   offsets. The broadcast is bounded by the partition count, not the data.
-* :func:`global_percent_rank` - ``percent_rank`` of every row from the same
-  ordering: ``(n - last_rank_of_value) / (n - 1)``. The last rank comes from
-  the end of the value's run in its range partition; only values whose run
-  crosses partitions (fewer than there are partitions) are corrected.
+* :func:`global_percent_rank` - ``percent_rank`` of every row from where its
+  value's run begins in that ordering.
 * :func:`numbered_within` - the position of every row within its group, for
-  groups of any size.
+  groups of any size. Both number the runs of equal rows while the sorted
+  partitions are written, so rows are shuffled once; a run that goes on from
+  the partition before is corrected by a table of one row per partition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import reliable_checkpoint
 
@@ -122,31 +129,84 @@ def consecutive_ids(df: DataFrame, id_col: str = "id", start: int = 0, pinned: b
     return numbered.withColumn(id_col, F.col(id_col) + F.lit(start - 1))
 
 
+def _differs(column: pa.ChunkedArray) -> np.ndarray:
+    """Whether each value but the first differs from the one before; nulls are alike, and so are NaNs."""
+    a, b = column.slice(1), column.slice(0, max(len(column) - 1, 0))
+    unequal = pc.fill_null(pc.not_equal(a, b), True).to_numpy().astype(bool)
+    both = pc.and_(pc.is_null(a), pc.is_null(b)).to_numpy().astype(bool)
+    if pa.types.is_floating(column.type):
+        both |= pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False).to_numpy().astype(bool)
+    return unequal & ~both
+
+
+def _with_runs(df: DataFrame, group: list[str], order: list[Column], num_partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, which begins with
+    ``group`` and is total, checkpointed with ``_pid`` (partition), ``_place``
+    (from 0) and ``_local``: the place (from 1) within the run of rows alike in
+    ``group``. Numbered as the sorted rows stream by; a run may be any length."""
+    schema = T.StructType([*df.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_place", T.LongType()), T.StructField("_local", T.LongType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, place, local, last = TaskContext.get().partitionId(), 0, 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            here = pa.Table.from_batches([batch]).select(group)
+            run = pa.concat_tables([last, here]) if last is not None else here
+            new = np.zeros(len(run) - 1, bool)
+            for c in group:
+                new |= _differs(run[c])
+            new = new if last is not None else np.append(True, new)
+            at = np.arange(n)
+            # A run that began in an earlier batch began ``local`` rows before this one.
+            first = np.maximum.accumulate(np.where(new, at, -local))
+            count = at - first + 1
+            out = [*batch.columns, pa.array(np.full(n, pid, np.int32)), pa.array(place + at), pa.array(count)]
+            yield pa.RecordBatch.from_arrays(out, schema=pa.schema([*batch.schema, ("_pid", pa.int32()), ("_place", pa.int64()), ("_local", pa.int64())]))
+            place, local, last = place + n, int(count[-1]), here.slice(n - 1)
+
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reliable_checkpoint(df.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(number, schema))
+
+
+def _carried(tagged: DataFrame, group: list[str]) -> tuple[DataFrame, int]:
+    """(``_pid``, ``_off``: rows before the partition, ``_carry``: rows of its
+    first run that lie before it), one row for each partition, and the rows of all."""
+    key = F.struct(*group)
+    ends = tagged.groupBy("_pid").agg(
+        (F.max("_place") + 1).alias("n"), F.min_by(key, "_place").alias("first"), F.max_by(key, "_place").alias("last"),
+        F.max_by("_local", "_place").alias("run")).orderBy("_pid")
+    alike = F.coalesce(F.col("first").eqNullSafe(F.lag("last").over(Window.orderBy("_pid"))), F.lit(False))     # one row per partition
+    rows, before, carry, out = ends.withColumn("goes_on", alike & (F.col("_pid") > 0)).select("_pid", "n", "run", "goes_on").collect(), 0, 0, []
+    run = whole = None
+    for r in rows:
+        # What the last run had: its rows in that partition, and those before it if it filled the partition.
+        carry = (run + (carry if whole else 0)) if r["goes_on"] else 0
+        out.append((r["_pid"], before, carry))
+        before, run, whole = before + r["n"], r["run"], r["run"] == r["n"]
+    return tagged.sparkSession.createDataFrame(out, "_pid int, _off long, _carry long"), before
+
+
 def global_percent_rank(df: DataFrame, value: str, key: str, pct_col: str = "percent_rank",
                         rank_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
-    """``percent_rank() over (order by value)`` for every row, distributed.
-
-    Built on the descending row number: the rows with a value >= v end at the
-    largest rank among rows of value v, so ``percent_rank = (n - that) / (n - 1)``.
-    Within a range partition that rank is the end of the value's run, a window
-    over (partition, value). Only a run that reaches into the next partition
-    ends elsewhere; those ends are one row per such value, fewer than there are
-    partitions, and are broadcast. No row is joined on its value otherwise.
+    """``percent_rank() over (order by value)`` for every row, distributed;
+    ``rank_col`` adds ``row_number() over (order by value desc, key)``.
+
+    Rows are sorted by value across range partitions; a row's rank is the place
+    where its value's run begins. Only the first run of a partition may begin
+    in an earlier one, which one row per partition tells. NULL comes first: 0.
     """
-    tagged = ranked_partitions(df, _order(value, key, True), num_partitions)
-    rc = rank_col or "_rank"
-    ranked = _with_offsets(tagged, rc, keep_partition=True)
-    ends = ranked.groupBy("_pid", value).agg(F.max(rc).alias("_e"))
-    crossing = (ends.groupBy(F.col(value).alias("_v")).agg(F.max("_e").alias("_end"), F.count(F.lit(1)).alias("_parts"))
-                .filter("_parts > 1").select("_v", "_end"))
-    n = tagged.select(F.count(F.lit(1))).scalar()
-    run_end = F.max(rc).over(Window.partitionBy("_pid", value))
-    out = (ranked.withColumn("_run", run_end)
-           .join(F.broadcast(crossing), F.col(value).eqNullSafe(F.col("_v")), "left"))
-    last = F.coalesce("_end", "_run")
-    pct = F.when(n > 1, (n - last).cast("double") / (n - 1)).otherwise(F.lit(0.0))
-    # NULL sorts last in descending order, so its run ends at n: percent_rank 0.
-    return out.withColumn(pct_col, pct).drop("_pid", "_run", "_v", "_end", *([] if rank_col else ["_rank"]))
+    order = [F.col(value).asc_nulls_first(), F.col(key).desc_nulls_last()]      # the reverse of value desc, key asc
+    tagged = _with_runs(df, [value], order, num_partitions)
+    parts, n = _carried(tagged, [value])
+    out = tagged.join(F.broadcast(parts), "_pid")
+    place = F.col("_off") + F.col("_place")
+    begin = place - (F.col("_local") - 1) - F.when(F.col("_local") == F.col("_place") + 1, F.col("_carry")).otherwise(F.lit(0))
+    out = out.withColumn(pct_col, begin / F.lit(float(n - 1)) if n > 1 else F.lit(0.0))
+    if rank_col:
+        out = out.withColumn(rank_col, F.lit(n) - place)
+    return out.drop("_pid", "_place", "_local", "_off", "_carry")
 
 
 def numbered_within(df: DataFrame, group: list[str], order: list[str], position_col: str = "position",
@@ -155,18 +215,12 @@ def numbered_within(df: DataFrame, group: list[str], order: list[str], position_
     like any other. ``order`` has to make the order total.
 
     Rows are range-partitioned by (group, order), so a group of any size is
-    spread evenly. Rows are counted within (partition, group); the first group
-    of a partition may have begun earlier, and goes on from there. Those
-    starts are at most one row per partition and are broadcast.
+    spread evenly, and numbered within the runs that groups form there. The first
+    run of a partition may have begun earlier, and goes on from there: one row
+    per partition, broadcast.
     """
-    columns = [F.col(c).asc() for c in (*group, *order)]
-    tagged = ranked_partitions(df, columns, num_partitions).withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-    sizes = tagged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-    carried = (sizes.withColumn("_before", before).filter("_before > 0")
-               .select(F.col("_pid").alias("_p"), F.struct(*group).alias("_group"), "_before"))
-    local = F.row_number().over(Window.partitionBy("_pid", *group).orderBy("_mid"))
-    out = (tagged.withColumn("_local", local)
-           .join(F.broadcast(carried), (F.col("_pid") == F.col("_p")) & F.struct(*group).eqNullSafe(F.col("_group")), "left"))
-    return (out.withColumn(position_col, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("bigint"))
-            .drop("_mid", "_pid", "_local", "_p", "_group", "_before"))
+    tagged = _with_runs(df, group, [F.col(c).asc() for c in (*group, *order)], num_partitions)
+    parts, _ = _carried(tagged, group)
+    earlier = F.when(F.col("_local") == F.col("_place") + 1, F.col("_carry")).otherwise(F.lit(0).cast("long"))
+    return (tagged.join(F.broadcast(parts), "_pid").withColumn(position_col, F.col("_local") + earlier)
+            .drop("_pid", "_place", "_local", "_off", "_carry"))
