@@ -206,11 +206,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
 
     Vectors that are null or have a null or non-finite component, and rows with
     a null id, take no part; vectors of other lengths than the query's aren't
-    its candidates. A repeated row counts once. An empty table gives no rows.
+    its candidates. A row repeated with the same vector counts once; an id with
+    several vectors is a candidate with each, and as a query has the best of all
+    its vectors' scores. An empty table gives no rows.
     """
     rows = (vectors.select(F.col(id_col).alias("id"), integers(F.col(vector_col)).alias("v"), is_query.alias("is_query"))
-            .where("id is not null and v is not null").dropDuplicates(["id"]).withColumn("dim", F.size("v")))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("dim", "v").toPandas()
+            .where("id is not null and v is not null").dropDuplicates(["id", "v"]).withColumn("dim", F.size("v")))
+    sample = rows.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).select("dim", "v").toPandas()
     anchors = _anchors(sample)
     dealt = rows.select("id", "is_query", "dim", _deal(anchors)("v").alias("d"))
     dealt = materialize(dealt.select("id", "is_query", "dim", "d.anchor", "d.far", "d.bytes"), "vectors")
@@ -223,25 +225,28 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     radii = {(r["dim"], r["anchor"]): r["radius"] for r in nodes.where("anchor >= 0").collect()}   # SAMPLE rows at most
     data = (data.join(nodes, ["dim", "anchor"]).select(
         "id", "dim", "anchor", "bytes", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")))
-    asked = dealt.where("is_query")
-    chunks = max(1, -(-asked.count() // CHUNK))
-    data = data.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    asked = (asked.select("id", "dim", "bytes", F.col("anchor").alias("home"))
-             .withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")))
+    asked = dealt.where("is_query").select("id", "dim", "bytes", F.col("anchor").alias("home"))
     blocks = nodes.select("dim", "anchor", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
 
-    key = ["dim", "anchor", "part", "chunk"]
+    block = ["dim", "anchor", "part"]
+    key = [*block, "chunk"]
     id_type = vectors.schema[id_col].dataType
     schema = T.StructType([T.StructField("query_id", id_type), T.StructField("vec_id", id_type), T.StructField("score", T.LongType())])
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
 
     def search(queries: DataFrame) -> DataFrame:
-        found = data.groupBy(key).cogroup(queries.groupBy(key)).applyInPandas(_search(k, schema), schema)
+        # A block is read once for each CHUNK of queries sent to it, and not at all if none is.
+        queries = materialize(queries, "asked")
+        chunks = materialize(queries.groupBy(block).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "chunks")
+        near = data.join(chunks, block).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        queries = queries.join(chunks, block).withColumn("chunk", F.pmod(F.xxhash64("id", "bytes"), F.col("chunks")).cast("int"))
+        found = (near.select(*key, "id", "bytes").groupBy(key)
+                 .cogroup(queries.select(*key, "id", "bytes", "worst").groupBy(key)).applyInPandas(_search(k, schema), schema))
         return found.withColumn("rank", ranked).where(F.col("rank") <= k)
 
     nowhere = F.lit(None).cast("double").alias("worst")
-    home = asked.withColumnRenamed("home", "anchor").join(blocks, ["dim", "anchor"]).select(*key, "id", "bytes", nowhere)
+    home = asked.withColumnRenamed("home", "anchor").join(blocks, ["dim", "anchor"]).select(*block, "id", "bytes", nowhere)
     first = materialize(search(home).where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("worst")), "first-pass")
     asked = asked.join(first, asked["id"] == first["query_id"], "left").drop("query_id")
     routed = asked.withColumn("anchor", F.explode(_reach(anchors, radii)("bytes", "dim", "worst")))
-    return search(routed.join(blocks, ["dim", "anchor"]).select(*key, "id", "bytes", "worst")).select("query_id", "rank", "vec_id", "score")
+    return search(routed.join(blocks, ["dim", "anchor"]).select(*block, "id", "bytes", "worst")).select("query_id", "rank", "vec_id", "score")

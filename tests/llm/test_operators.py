@@ -659,3 +659,19 @@ def test_packing_takes_long_white_space(spark):
     for r in packing.pack(docs, BYTE_BPE, end_id=1).collect():
         got.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, np.uint32).tolist()))
     assert {i: sum((ids for _, ids in sorted(p)), []) for i, p in got.items()} == want
+
+
+@pytest.mark.parametrize("chunk", [1024, 2])
+def test_top_k_of_repeated_ids_and_many_chunks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(topk, "CHUNK", chunk)
+    monkeypatch.setattr(topk, "BLOCK", 20)
+    rng = np.random.default_rng(9)
+    rows = [(1, [0.5, 0.0]), (1, [9.0, 0.0]), (1, [9.0, 0.0]), (100, [1.0, 0.0]), (100, [0.0, 1.0])]
+    rows += [(int(i) * 10, [float(x) for x in rng.normal(size=2)]) for i in range(11, 90)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").createOrReplaceTempView("v")
+    got = topk.top_k(spark.table("v"), F.col("vec_id") % 100 == 0, k=10)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(r) for r in dict.fromkeys((i, tuple(v)) for i, v in rows)])
+    want = con.sql(ORACLE["op10_top_k"])
+    assert sorted(tuple(r) for r in got.select(want.columns).collect()) == sorted(want.fetchall())
