@@ -197,11 +197,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and of its edited text, which ends as the next document begins."""
     rows = winnow.with_next(table(spark, sf_dir, "documents"))
-    rows = rows.select(F.col("id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "next_text",
+    rows = rows.select(F.col("id").alias("doc_id"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "marks", "next_marks",
                        winnow.edited(F.col("text"), F.col("next_text")).alias("edited"))
-    rows = rows.select("doc_id", "text", "edited", *[winnow.fingerprint(F.col(c)).alias(f"{c}_marks") for c in ("text", "edited", "next_text")])
-    own, changed, after = (F.col(f"{c}_marks") for c in ("text", "edited", "next_text"))
-    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    rows = rows.withColumn("edited_marks", winnow.fingerprint(F.col("edited")))
+    own, changed, after = (F.col(c) for c in ("marks", "edited_marks", "next_marks"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                        winnow.listing(own).alias("fingerprint"), winnow.listing(changed).alias("edited_fingerprint"),
                        winnow.likeness(own, changed).alias("near_edited"), winnow.likeness(own, after).alias("near_next"))
 

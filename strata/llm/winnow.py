@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 K, WINDOW = 16, 64
@@ -105,13 +106,17 @@ def fingerprint(text: Column, k: int = K, window: int = WINDOW) -> Column:
     equal fingerprints."""
     @F.arrow_udf(MARKS)
     def marks(texts: pa.Array) -> pa.Array:
-        found = [winnow([t or "" for t in texts.slice(at, FEW).to_pylist()], k, window) for at in range(0, max(len(texts), 1), FEW)]
-        count, hashes, places = (np.concatenate(c) for c in zip(*found))
-        ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(hashes), pa.array(places)], ["hash", "position"]))
+        return _marks(texts, k, window)
     return marks(text)
 
 
+def _marks(texts: pa.Array | pa.ChunkedArray, k: int, window: int) -> pa.Array:
+    found = [winnow([t or "" for t in texts.slice(at, FEW).to_pylist()], k, window) for at in range(0, max(len(texts), 1), FEW)]
+    count, hashes, places = (np.concatenate(c) for c in zip(*found))
+    ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(hashes), pa.array(places)], ["hash", "position"]))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Share of the distinct hashes of two fingerprints that both have (0 to 1);
     two empty fingerprints are alike, an empty one and another aren't."""
@@ -131,16 +136,18 @@ def _key(id_value, text_hash: int) -> tuple:
     return (id_value is not None, id_value if id_value is not None else 0, text_hash)
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``text`` and ``next_text`` of every row: the text of the next row
-    by descending id, after the last the first's. Null ids come last; rows of
-    one id follow each other by a hash of the text, then by the text. Null
-    texts stay null. A row alone is its own next; an empty table gives no rows.
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
+    """``id``, ``text``, ``next_text`` of every row, and both texts' fingerprints,
+    ``marks`` and ``next_marks``: the next row is the one by descending id, after
+    the last the first. Null ids come last; rows of one id follow each other by a
+    hash of the text, then by the text. Null texts stay null. A row alone is its
+    own next; an empty table gives no rows.
 
     Rows are dealt to partitions by bounds from a small sample of (id, text
     hash), so neither many rows nor one id's many texts fall into one partition.
     Each partition is sorted and read through once; the first row of every
-    partition goes also to the one before it. Texts are shuffled once.
+    partition goes also to the one before it. Texts are shuffled once, and each
+    is winnowed once, as it is read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
@@ -158,7 +165,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     firsts = (dealt.groupBy("part").agg(F.max(F.struct("id", "h")).alias("top"))     # a null id is the smallest
               .orderBy("part").collect())                                            # a row for each partition
     if not firsts:
-        return rows.select("id", "text", F.col("text").alias("next_text"))
+        none = F.lit(None).cast(MARKS)
+        return rows.select("id", "text", F.col("text").alias("next_text"), none.alias("marks"), none.alias("next_marks"))
     # Each partition's first row also goes, as its last, to the one before; the very first to the last one.
     heads = spark.createDataFrame([(firsts[i - 1]["part"], r["top"]["id"], r["top"]["h"]) for i, r in enumerate(firsts)],
                                   T.StructType([T.StructField("part", T.IntegerType()), T.StructField("top_id", docs.schema[id_col].dataType),
@@ -171,22 +179,23 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     placed = every.repartitionById(n, F.col("part")).sortWithinPartitions(*order).select("part", "ahead", "id", "text")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each row with the text of the one below it; a row without one is dropped
+        """Each row with what stands below it; a row without one is dropped
         (only a part's last row, which came from the next part, has none)."""
         held = None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            held = table.slice(len(table) - 1)
-            if len(table) > 1:
-                here, below = table.slice(0, len(table) - 1), table.slice(1)
-                out = pa.table([here["id"], here["text"], below["text"]], names=["id", "text", "next_text"])
-                yield from out.filter(pa.compute.invert(here["ahead"])).combine_chunks().to_batches()
-
-    id_type = docs.schema[id_col].dataType
-    return placed.mapInArrow(pair, T.StructType([T.StructField("id", id_type), T.StructField("text", T.StringType()),
-                                                 T.StructField("next_text", T.StringType())]))
+            for at in range(0, batch.num_rows, FEW):
+                table = pa.Table.from_batches([batch.slice(at, FEW)])
+                table = table.append_column("marks", _marks(table["text"], k, window))
+                table = table if held is None else pa.concat_tables([held, table])
+                held = table.slice(len(table) - 1)
+                if len(table) > 1:
+                    here, below = table.slice(0, len(table) - 1), table.slice(1)
+                    out = pa.table([here["id"], here["text"], below["text"], here["marks"], below["marks"]], names=list(schema.names))
+                    yield from out.filter(pc.invert(here["ahead"])).combine_chunks().to_batches()
+
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("text", T.StringType()),
+                           T.StructField("next_text", T.StringType()), T.StructField("marks", MARKS), T.StructField("next_marks", MARKS)])
+    return placed.mapInArrow(pair, schema)
 
 
 def edited(text: Column, next_text: Column) -> Column:

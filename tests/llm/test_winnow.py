@@ -82,7 +82,10 @@ def test_query(spark):
 def test_hard_rows(spark):
     rows = [(5, "five"), (5, "five"), (5, "another five"), (None, "no id"), (None, None), (9, ""), (7, None), (-3, "日本語 text " * 40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("id", F.lit("clash")).withColumn("h", F.lit("clash")).withColumn("part", F.lit(1))
-    got = [tuple(r) for r in winnow.with_next(docs).collect()]
+    full = winnow.with_next(docs)
+    for r in full.collect():
+        assert [tuple(m) for m in r.marks] == brute_marks(r.text or "") and [tuple(m) for m in r.next_marks] == brute_marks(r.next_text or "")
+    got = [tuple(r) for r in full.select("id", "text", "next_text").collect()]
     assert sorted(map(repr, ((i, t) for i, t, _ in got))) == sorted(map(repr, rows))
     after = {(i, t): n for i, t, n in got}
     assert after[9, ""] is None                             # the next is 7, whose text is null
@@ -92,7 +95,7 @@ def test_hard_rows(spark):
     assert sorted(ring) in (sorted([rows[-1][1], "another five", "five"]), sorted([rows[-1][1], "five", "five"]))
     assert winnow.with_next(docs.limit(0)).count() == 0
     one = winnow.with_next(docs.where("doc_id = 9").select("doc_id", "text")).collect()
-    assert [tuple(r) for r in one] == [(9, "", "")]
+    assert [tuple(r) for r in one] == [(9, "", "", [], [])]
     marks = docs.select("doc_id", "text", winnow.fingerprint(F.col("text")).alias("m")).collect()
     assert all([tuple(m) for m in r.m] == brute_marks(r.text or "") for r in marks)
 
