@@ -11,7 +11,7 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-from strata.operators import ranking, rollups, skew  # noqa: E402
+from strata.operators import heavy, iterate, moments, partitioner, ranking, rollups, skew  # noqa: E402
 from strata.session import local_session  # noqa: E402
 from strata.sources.tables import clickstream, customer_orders  # noqa: E402
 
@@ -42,6 +42,12 @@ def main(sf_dir):
         "global_row_number": lambda inj: ranking.global_row_number(
             customer_orders(spark, sf_dir).repartition(4).withColumn("user_id", inj(F.col("user_id")))
             .groupBy("user_id").agg(F.sum("revenue").alias("ltv")), "ltv", "user_id", True, "r", 4),
+        "global_percent_rank": lambda inj: ranking.global_percent_rank(clicks(inj), "revenue", "event_id", "p", "r", 4).select("event_id", "p", "r"),
+        "heavy_hitters": lambda inj: heavy.heavy_hitters(clicks(inj), "user_id", 0.02),
+        "weighted_sums": lambda inj: partitioner.weighted_sums(clicks(inj), "user_id", "revenue", 5),
+        "components": lambda inj: iterate.components(clicks(inj).where("event_id % 9 = 0").select("user_id", (F.col("event_id") % 40).alias("b")), "user_id", "b"),
+        "moments": lambda inj: moments.statistics(moments.moments(clicks(inj), ["event_type"], "revenue", "event_id"), ["event_type"])
+                                      .select("event_type", "n", F.round("mean", 6), F.round("variance", 4), "least", "most"),
     }
     for name, build in checks.items():
         clean, faulty = runs(build)
