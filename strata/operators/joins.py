@@ -41,17 +41,22 @@ def _value_bytes(f: T.StructField) -> Column | int:
     return F.lit(8) + 4 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
 
 
-def estimate_size_bytes(df: DataFrame) -> int:
-    """Bytes of ``df`` as rows in memory, from one partially aggregated count
-    and sum. Fixed-width columns count their width, strings and binaries their
-    length, nested columns a bound from their JSON; every row some overhead."""
+def row_bytes(df: DataFrame, overhead: int = ROW_OVERHEAD) -> Column:
+    """Bytes of a row of ``df`` in memory. Fixed-width columns count their width,
+    strings and binaries their length, nested columns a bound from their JSON;
+    every row some overhead."""
     widths = [_value_bytes(f) for f in df.schema.fields]
-    fixed = ROW_OVERHEAD + sum(w for w in widths if isinstance(w, int))
-    row = F.lit(fixed).cast("bigint")
+    row = F.lit(overhead + sum(w for w in widths if isinstance(w, int))).cast("bigint")
     for w in widths:
         if not isinstance(w, int):
             row = row + w
-    return int(df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"])
+    return row
+
+
+def estimate_size_bytes(df: DataFrame) -> int:
+    """Bytes of ``df`` as rows in memory (:func:`row_bytes`), from one partially
+    aggregated count and sum."""
+    return int(df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"])
 
 
 def broadcast_if_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:

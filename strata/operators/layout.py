@@ -17,6 +17,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.joins import ROW_OVERHEAD, row_bytes
 from strata.session import materialize
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
@@ -394,6 +395,17 @@ def estimate_written(df: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame
                         F.when(F.col("rows").isNotNull(), error).alias("error"))
 
 
+def size_result_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES, by: str | None = None,
+                           of: list[str] | None = None, overhead: int = ROW_OVERHEAD, min_partitions: int = 4) -> DataFrame:
+    """``rows``, ``bytes`` in memory and the partition count ``max(min, ceil(bytes /
+    target))`` of a result as it is computed, one row or one for each group of
+    ``by``: a partially aggregated pass that writes nothing. ``of``: the columns that count."""
+    row = row_bytes(df.select(*[F.col(f"`{c}`") for c in of]) if of else df, overhead)
+    sizes = df.groupBy(*([by] if by else [])).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes"))
+    n = F.greatest(F.lit(min_partitions), F.ceil(F.col("bytes") / F.lit(target_bytes)))
+    return sizes.select(*([by] if by else []), "rows", "bytes", n.cast("int").alias("partitions"))
+
+
 def write_sized(df: DataFrame, path: str, target_bytes: int = TARGET_PARTITION_BYTES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Write ``df`` in files of about ``target_bytes`` each, counted from the
     estimate of its size; ``df`` is read twice, so give a table or a checkpoint."""

@@ -579,17 +579,17 @@ def q_write_file_count(spark, d):
 
 
 @register("file_layout_report", """
-SELECT o_orderstatus, count(*) AS "rows", true AS all_listed, true AS all_small
+SELECT o_orderstatus, count(*) AS "rows", 1::BIGINT AS files, count(*) * 2 < max(count(*)) OVER () AS any_small
 FROM orders GROUP BY o_orderstatus""")
 def q_file_layout_report(spark, d):
-    """The files of a table written by order status, summed per partition
-    folder: their rows, and whether size and smallness are known of each."""
+    """The files of a table written by order status, one each: rows, number of
+    files, and whether one is small, under half of the largest file's size."""
     path = scratch_dir(spark, "orders-layout")
-    read_table(spark, d, "orders").write.partitionBy("o_orderstatus").parquet(path)
-    report = layout.file_layout_report(spark, path, small_bytes=1 << 40)
+    read_table(spark, d, "orders").repartition(1).write.partitionBy("o_orderstatus").parquet(path)
+    half = layout.list_files(spark, path, "*.parquet").agg(F.max("file_size")).first()[0] // 2
+    report = layout.file_layout_report(spark, path, small_bytes=half)
     return (report.groupBy(F.regexp_extract("file_path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"))
-            .agg(F.sum("rows").alias("rows"), F.bool_and(F.col("file_size") > 0).alias("all_listed"),
-                 F.bool_and("is_small").alias("all_small")))
+            .agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.bool_or("is_small").alias("any_small")))
 
 
 @register("size_partitions", """
@@ -606,6 +606,19 @@ def q_size_partitions(spark, d):
                     rows.alias("table_rows"))
 
 
+RESULT_TARGET = 64 * 1024      # bytes of a partition, so that small tables need several, too
+
+
+@register("size_result_partitions", f"""
+WITH b AS (SELECT o_orderstatus, count(*) AS n, sum(60 + strlen(o_orderpriority))::BIGINT AS bytes FROM orders GROUP BY o_orderstatus)
+SELECT o_orderstatus, n AS "rows", bytes, greatest(4, (bytes + {RESULT_TARGET} - 1) // {RESULT_TARGET})::INTEGER AS partitions FROM b""")
+def q_size_result_partitions(spark, d):
+    """Partition counts for results that aren't written yet, by status: rows
+    times what a row takes in memory, over the wanted size of a partition."""
+    orders = read_table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return layout.size_result_partitions(orders, RESULT_TARGET, by="o_orderstatus", of=["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"], overhead=28)
+
+
 @register("repartition_by_size", "SELECT * FROM lineitem")
 def q_repartition_by_size(spark, d):
     n = layout.partitions_for(spark, table_path(d, "lineitem"))
