@@ -42,6 +42,20 @@ def summarise(df: DataFrame, key: str, share: float, by: list[str] | None = None
     return df.groupBy(*(by or [])).agg(sketch, F.count(F.lit(1)).alias("rows"))
 
 
+def key_profile(df: DataFrame, key: str, share: float) -> tuple[list, int, int, float]:
+    """In one pass: the candidates (as :func:`merged` has them), the rows, the rows
+    whose key isn't NULL, and about how many different keys those have (within 2 %)."""
+    top, distinct = math.ceil(2 / share), F.hll_sketch_agg(F.col(_name(key)).cast("string"), F.lit(14))
+    row = df.agg(F.expr(f"approx_top_k({_name(key)}, {top}, {tracked(share)})").alias("top"), F.count(F.lit(1)).alias("rows"),
+                 F.count(_name(key)).alias("known"), F.hll_sketch_estimate(distinct).alias("keys")).first()
+    return [t["item"] for t in row["top"] or []], row["rows"], row["known"], row["keys"] or 0
+
+
+def sketchable(df: DataFrame, key: str, share: float) -> bool:
+    """Whether keys above ``share`` can be found by a sketch."""
+    return tracked(share) <= MOST_TRACKED and isinstance(df.schema[key].dataType, SKETCHED)
+
+
 def merged(summaries: DataFrame, share: float) -> tuple[list, int]:
     """The candidates of merged summaries (a superset of the keys above
     ``share``; NULL may be one), and the number of rows. Summaries have to be made for
@@ -66,7 +80,7 @@ def heavy_hitters(df: DataFrame, key: str, share: float) -> DataFrame:
     rows, NULL counted as a key: fewer than ``1 / share`` rows, exact. ``df`` is
     read twice, and only the key column of it. Keys of nested type, and shares
     under ``8 / MOST_TRACKED``, are counted in full."""
-    if tracked(share) > MOST_TRACKED or not isinstance(df.schema[key].dataType, SKETCHED):
+    if not sketchable(df, key, share):
         total = df.select(F.count(F.lit(1))).scalar()
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
         return counts.where(F.col("count") > total * F.lit(share))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.heavy import heavy_hitters
+from strata.operators.heavy import heavy_hitters, key_profile, recount, sketchable
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 16
@@ -112,12 +112,17 @@ def hot_keys(df: DataFrame, key: str, share: float | None = None, to_typical: fl
     all keys.
     """
     share = min(share if share is not None else fair_share(df), 0.999)
-    heavy = [(r[key], r["count"]) for r in heavy_hitters(df, key, share).collect()]      # fewer than 1 / share
-    above = [(k, c) for k, c in heavy if k is not None]
     schema = T.StructType([df.schema[key]])
+    if sketchable(df, key, share):
+        candidates, rows, known, keys = key_profile(df, key, share)
+        found = recount(df, key, candidates, rows, share).collect() if any(c is not None for c in candidates) else []
+    else:
+        found = heavy_hitters(df, key, share).collect()                   # fewer than 1 / share, as above
+        whole = df.agg(F.count(key).alias("known"), F.approx_count_distinct(key).alias("keys")).first()
+        known, keys = whole["known"], whole["keys"]
+    above = [(r[key], r["count"]) for r in found if r[key] is not None]
     if above and to_typical:
-        whole = df.agg(F.count(key).alias("n"), F.approx_count_distinct(key, 0.01).alias("d")).first()
-        rest, others = whole["n"] - sum(c for _, c in above), whole["d"] - len(above)
+        rest, others = known - sum(c for _, c in above), keys - len(above)
         typical = rest / max(others, 1) if rest else float("inf")
         above = [(k, c) for k, c in above if c > to_typical * typical]
     return df.sparkSession.createDataFrame([(k,) for k, _ in above], schema)
