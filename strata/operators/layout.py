@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.joins import ROW_OVERHEAD, row_bytes
-from strata.session import materialize
+from strata.session import conf_for, materialize
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 SMALL_FILE_BYTES = 32 * 1024 * 1024
@@ -94,6 +94,26 @@ def write_compacted(df: DataFrame, path: str, files: int | None = None, max_reco
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+OPEN_FILES = 8      # that a task writes side by side
+
+
+def write_partitioned(df: DataFrame, path: str, *by: str, mode: str = "errorifexists", fmt: str = "parquet") -> None:
+    """Write ``df`` into a folder per value of ``by``, as it lies in its partitions.
+
+    Spark sorts a task's rows by folder first, all of them, so that one file is open
+    at a time. Here a task writes its rows as they come, into up to OPEN_FILES files side
+    by side; it sorts only the rows that are left once it has met more values than that."""
+    with conf_for(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+        df.write.mode(mode).format(fmt).partitionBy(*by).save(path)
+
+
+def write_file_per_value(df: DataFrame, path: str, *by: str, mode: str = "errorifexists") -> None:
+    """Write ``df`` into a folder per value of ``by``, one file each: a value's rows
+    go to one task, which holds no more of them than the file's open row group."""
+    folder = [F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")) for c in by]      # empty and null share a folder
+    write_partitioned(df.repartition(*folder), path, *by, mode=mode)
+
+
 def file_layout_report(spark: SparkSession, path: str, small_bytes: int = SMALL_FILE_BYTES,
                        fmt: str = "parquet") -> DataFrame:
     """Per ``*.<fmt>`` file: path, size, rows and whether it is a small file.
@@ -272,8 +292,10 @@ def compact_folder(spark: SparkSession, path: str, target_bytes: int = TARGET_PA
     rows = data.select(F.struct(*[F.col(f"`{c}`") for c in data.columns]).alias("row"), _plain_path(F.col("_metadata.file_path")).alias("file_path"))
     placed = (rows.join(plan.join(number, ["folder", "bin"]).select("file_path", "number"), "file_path")
               .repartitionById(n, F.col("number").cast("int")).select("row.*"))
-    writer = placed.write.format(fmt)
-    (writer.partitionBy(*outer) if outer else writer).save(f"{stage}/new")
+    if outer:
+        write_partitioned(placed, f"{stage}/new", *outer, fmt=fmt)      # a bin lies in one folder
+    else:
+        placed.write.format(fmt).save(f"{stage}/new")
     plan.select("file_path").write.parquet(f"{stage}/old")        # last: only a whole list makes the run count
     finish_compactions(spark, path)
     return plan

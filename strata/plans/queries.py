@@ -585,7 +585,7 @@ def q_file_layout_report(spark, d):
     """The files of a table written by order status, one each: rows, number of
     files, and whether one is small, under half of the largest file's size."""
     path = scratch_dir(spark, "orders-layout")
-    read_table(spark, d, "orders").repartition(1).write.partitionBy("o_orderstatus").parquet(path)
+    layout.write_file_per_value(read_table(spark, d, "orders"), path, "o_orderstatus")
     half = layout.list_files(spark, path, "*.parquet").agg(F.max("file_size")).first()[0] // 2
     report = layout.file_layout_report(spark, path, small_bytes=half)
     return (report.groupBy(F.regexp_extract("file_path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"))
@@ -892,8 +892,8 @@ def q_audience_overlap(spark, d):
 def _fragmented(spark, d):
     """Orders by status, half of them in a file a status, half in many."""
     path, orders = scratch_dir(spark, "fragmented"), read_table(spark, d, "orders")
-    orders.where("o_orderkey % 2 = 0").repartition(1).write.partitionBy("o_orderstatus").parquet(path)
-    orders.where("o_orderkey % 2 = 1").repartition(12).write.mode("append").partitionBy("o_orderstatus").parquet(path)
+    layout.write_file_per_value(orders.where("o_orderkey % 2 = 0"), path, "o_orderstatus")
+    layout.write_partitioned(orders.where("o_orderkey % 2 = 1").repartition(12), path, "o_orderstatus", mode="append")
     return path, orders
 
 

@@ -11,6 +11,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -138,6 +139,17 @@ def materialize(df, name: str = "materialized"):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def conf_for(spark: SparkSession, key: str, value: str):
+    """``with conf_for(...)``: one conf set for the block, then put back as it was."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint(eager=True)`` into the session's checkpoint folder
     (registered from ``spark.checkpoint.dir`` when needed). Never a local

@@ -1,6 +1,8 @@
 """Sinks, file layout, partition sizing, sorts and reuse."""
 
 import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 
@@ -52,6 +54,27 @@ def test_layout_report_of_partitioned_and_empty_files(spark):
     assert layout.file_layout_report(spark, path).select("file_path").distinct().count() == len(want) + 1
 
 
+def test_file_per_value_keeps_rows_and_confs(spark):
+    """Nulls and empty strings share a folder, as ever; more values than open files, too."""
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    values = [None, "", "a/b=c", "F"] + [f"v{i}" for i in range(3 * layout.OPEN_FILES)]
+    df = spark.createDataFrame([(i, values[i % len(values)]) for i in range(20 * len(values))], "id long, `s.x` string").repartition(5)
+    for frame in (df, df.where("id < 0")):
+        path, before = scratch_dir(spark, "t-per-value"), spark.conf.get(conf)
+        layout.write_file_per_value(frame, path, "s.x")
+        assert spark.conf.get(conf) == before
+        if frame is df:
+            back = spark.read.schema(df.schema).parquet(path).select("id", "`s.x`")
+            assert sorted(map(tuple, back.collect()), key=str) == sorted(((i, v or None) for i, v in map(tuple, df.collect())), key=str)
+            assert layout.list_files(spark, path, "*.parquet").count() == len(values) - 1
+
+
+def test_writes_by_status_hold_no_rows_to_sort(tmp_path):
+    job = os.path.join(os.path.dirname(os.path.abspath(__file__)), "layout_job.py")
+    out = subprocess.run([sys.executable, job, str(tmp_path)], capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0 and out.stdout.strip().endswith("OK"), out.stderr[-3000:]
+
+
 def test_listing_reads_no_content(spark):
     from strata.plans.inspect import plan_text
 
