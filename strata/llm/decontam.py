@@ -32,6 +32,7 @@ UNSPACED = ("\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u1000-\u103f\u1050-\u108f\u
 LETTER = rf"[^\W\d_{UNSPACED}]"
 # Signs of calculation, where they stand between operands: not hyphens, bullets or slashes of prose.
 OPERATORS = "+=^×÷*/<>-−"
+# The definition of a token; Templates finds the same tokens by array passes, and the tests compare the two.
 TOKEN = re.compile(rf"{LETTER}+(?:['’]{LETTER}+)*|\d+(?:[.,]\d+)*|[.!?:;。！？]|\n|[{UNSPACED}]"
                    r"|[+=^×÷](?:(?<=[\w)].)|(?<=[\w)] .))(?= ?[\w(?])|[*/<>−-](?:(?<=[\d)].)|(?<=[\d)] .))(?= ?[\d(])")
 # Words that are units after a number.
@@ -45,83 +46,151 @@ LITERAL, NUMBER, UNIT, NAME, END, OPERATOR, CHARACTER = range(7)
 PLACEHOLDER = {NUMBER: "<num>", NAME: "<name>", UNIT: "<unit>"}
 ALONE = re.compile(f"[{UNSPACED}]")
 BITMAP_BITS = 1 << 22
-CACHE = 1 << 19
-BATCH_CHARS = 1 << 21    # texts looked at together
+BATCH_CHARS = 1 << 18    # texts laid end to end at once, unless one is longer
+BASE, SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93      # odd: a word's polynomial, mixing
+# What a character can be within a token (bits); IN_WORD and IN_NUMBER alone make runs.
+IN_WORD, IN_NUMBER, STOP, UNSPACED_ONE, SIGN, JOINT, LOWER, UPPER = (1 << i for i in range(8))
+BETWEEN_WORDS, BETWEEN_NUMBERS, STOPS, WIDE = "'’", ".,", ".!?:;。！？\n", "+=^×÷"
 
 
-def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
+def _mix(x: np.ndarray, by: int) -> np.ndarray:
+    x = x * np.uint64(by)
+    return x ^ (x >> np.uint64(32))
 
 
 class Templates:
-    """Template tokens of texts. Every distinct token is classified once."""
+    """Template tokens of texts laid end to end in one array of characters: those
+    that ``TOKEN`` finds, by a few passes over the array. Every distinct character
+    is classified once; a word's hash is a polynomial of its characters in lower case."""
 
     def __init__(self):
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.words: list[str] = []
-        self.kind = np.zeros(0, np.int8)
-        self.code = np.zeros(0, np.uint64)
+        self.known = np.zeros(0x110000, bool)
+        self.bits = np.zeros(0x110000, np.uint8)
+        self.first = np.zeros(0x110000, np.int8)        # kind of a token that begins with the character
+        self.value = np.zeros(0x110000, np.uint64)
+        self.powers = self.inverse = np.ones(0, np.uint64)
+        self.mark = {k: np.uint64(xxhash.xxh64_intdigest(mark)) for k, mark in PLACEHOLDER.items()}
+        self.longest_unit = max(map(len, UNITS))
+        self.units = np.sort(self._hashes(self._laid(list(UNITS))[0], *self._spans(list(UNITS))))
 
     @staticmethod
-    def _kind(token: str) -> int:
-        if token[0].isdigit():
-            return NUMBER
-        if token in OPERATORS:
-            return OPERATOR
-        if ALONE.match(token):
-            return CHARACTER
-        if not token[0].isalpha():
-            return END
-        if token.lower() in UNITS:
-            return UNIT
-        return NAME if token[0].isupper() and token[1:].islower() else LITERAL
-
-    def _numbers(self, tokens: list[str]) -> np.ndarray:
-        new = list(set(tokens) - self.number.keys())
-        if len(self.words) + len(new) > CACHE:
-            self._forget()
-            new = list(set(tokens))
-        if new:
-            self.number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-            lower = [t.lower() for t in new]
-            self.words += lower
-            self.kind = np.append(self.kind, np.array([self._kind(t) for t in new], np.int8))
-            self.code = np.append(self.code, np.array([_hash(t) for t in lower], np.uint64))
-        return np.fromiter(map(self.number.__getitem__, tokens), np.int64, len(tokens))
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of each text where they are laid end to end."""
+        size = np.array([len(t) for t in texts], np.int64)
+        end = np.cumsum(size + 1)
+        return end - size, end
+
+    def _laid(self, texts: list[str]) -> tuple[np.ndarray, str]:
+        """The characters of texts, with a NUL before each and two after the last; also as a string."""
+        joined = "\0" + "\0".join(texts) + "\0\0"
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        if not (known := self.known[codes]).all():
+            for c in np.unique(codes[~known]).tolist():
+                self._classify(c)
+        return codes, joined
+
+    def _classify(self, code: int) -> None:
+        c = chr(code)
+        word = c.isalnum() and not c.isdecimal() and not ALONE.match(c)
+        self.bits[code] = (IN_WORD * word | IN_NUMBER * c.isdecimal() | STOP * (c in STOPS) | UNSPACED_ONE * bool(ALONE.match(c))
+                           | SIGN * (c in OPERATORS) | JOINT * (c in BETWEEN_WORDS + BETWEEN_NUMBERS)
+                           | LOWER * c.islower() | UPPER * (c.isupper() or c.istitle()))
+        self.first[code] = (NUMBER if c.isdigit() else OPERATOR if c in OPERATORS else CHARACTER if ALONE.match(c)
+                            else END if not c.isalpha() else NAME if c.isupper() else LITERAL)
+        # In lower case a last sigma has its own form; the only character that becomes two (U+0130) stays itself.
+        low = "σ" if c in "Σς" else c.lower()
+        self.value[code] = _mix(np.array([ord(low) if len(low) == 1 else code], np.uint64) + np.uint64(1), SPREAD)[0]
+        self.known[code] = True
+
+    def _hashes(self, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A hash of each span's characters in lower case, wherever it stands."""
+        if len(self.powers) < len(codes):
+            n = len(codes) + BATCH_CHARS
+            self.powers, self.inverse = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)]))
+                                         for b in (BASE, pow(BASE, -1, 1 << 64)))
+        upto = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(self.value[codes] * self.powers[:len(codes)], out=upto[1:])
+        return _mix((upto[end] - upto[start]) * self.inverse[start], SPREAD)
+
+    def _tokens(self, codes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end of each token."""
+        run = bits & np.uint8(IN_WORD | IN_NUMBER)
+        one = (bits & np.uint8(STOP | UNSPACED_ONE)) != 0
+        here = lambda at, chars: np.isin(codes[at], [ord(c) for c in chars])
+        at = np.flatnonzero(bits & np.uint8(JOINT))             # within a word or number
+        at = at[(run[at - 1] == run[at + 1]) & (run[at - 1] == np.where(here(at, BETWEEN_WORDS), IN_WORD, IN_NUMBER))]
+        run[at], one[at] = bits[at - 1] & np.uint8(IN_WORD | IN_NUMBER), False
+        at = np.flatnonzero(bits & np.uint8(SIGN))              # between operands
+        wide = here(at, WIDE)
+
+        def operand(i: np.ndarray, bracket: str, mark: str) -> np.ndarray:
+            digit = (bits[i] & np.uint8(IN_NUMBER)) != 0
+            word = digit | ((bits[i] & np.uint8(IN_WORD)) != 0) | here(i, "_" + mark)
+            alone = (bits[i] & np.uint8(UNSPACED_ONE)) != 0
+            word[alone] |= np.array([chr(c).isalnum() for c in codes[i[alone]].tolist()], bool)
+            return np.where(wide, word, digit) | here(i, bracket)
+
+        before = operand(at - 1, ")", "") | here(at - 1, " ") & operand(np.maximum(at - 2, 0), ")", "")
+        after = operand(at + 1, "(", "?") | here(at + 1, " ") & operand(at + 2, "(", "?")
+        one[at[before & after]] = True
+        change = run[1:] != run[:-1]
+        return (np.flatnonzero(change & (run[1:] != 0) | one[1:]) + 1,
+                np.flatnonzero(change & (run[:-1] != 0) | one[:-1]) + 1)
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, "Words", np.ndarray]:
         """Template tokens of several texts laid end to end: kinds, hashes, hashes
-        of their words, numbers of their words, and the text each belongs to."""
-        tokens = [TOKEN.findall(t) for t in texts]
-        n = self._numbers([t for ts in tokens for t in ts])
-        text = np.repeat(np.arange(len(tokens)), [len(ts) for ts in tokens])
-        kind = self.kind[n]
-        fresh = np.ones(len(n), bool)                   # first of its text
+        of their words, their words, and the text each belongs to."""
+        codes, joined = self._laid(texts)
+        bits = self.bits[codes]
+        start, end = self._tokens(codes, bits)
+        text = np.searchsorted(self._spans(texts)[1], start, "right")
+        kind, exact = self.first[codes[start]], self._hashes(codes, start, end)
+        # A name has small letters after its capital, and no other capital.
+        capital = np.flatnonzero(kind == NAME)
+        after = np.stack([start[capital] + 1, end[capital]], 1)
+        rest = np.bitwise_or.reduceat(bits, after.ravel())[::2] if len(after) else np.zeros(0, np.uint8)
+        kind[capital[(after[:, 0] == after[:, 1]) | (rest & np.uint8(LOWER | UPPER) != LOWER)]] = LITERAL
+        fresh = np.ones(len(kind), bool)                # first of its text
         fresh[1:] = text[1:] != text[:-1]
         first = fresh.copy()                            # of a sentence
         first[1:] |= kind[:-1] == END
         real = kind != END
-        kind, n, text, first = kind[real], n[real], text[real], first[real]
-        kind = np.where((kind == NAME) & first, LITERAL, kind)
-        after_number = np.zeros(len(n), bool)
+        kind, text, first, exact = kind[real], text[real], first[real], exact[real]
+        words = Words(joined, start[real], end[real])
+        after_number = np.zeros(len(kind), bool)
         after_number[1:] = (kind[:-1] == NUMBER) & (text[1:] == text[:-1])
-        kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
-        exact = self.code[n]
+        kind[(kind == NAME) & first] = LITERAL
+        # A unit is one after a number only, and never a name.
+        maybe = np.flatnonzero(((kind == NAME) | (kind == LITERAL) & after_number) & (words.end - words.start <= self.longest_unit))
+        maybe = maybe[self.units[np.minimum(np.searchsorted(self.units, exact[maybe]), len(self.units) - 1)] == exact[maybe]]
+        unit = maybe[np.array([words[i] in UNITS for i in maybe.tolist()], bool)]
+        kind[unit] = np.where(after_number[unit], UNIT, LITERAL)
         code = exact.copy()
-        for k, mark in PLACEHOLDER.items():
-            code[kind == k] = _hash(mark)
-        return kind, code, exact, n, text
+        for k, mark in self.mark.items():
+            code[kind == k] = mark
+        return kind, code, exact, words, text
+
+
+class Words:
+    """The words of template tokens, in lower case."""
+
+    def __init__(self, joined: str, start: np.ndarray, end: np.ndarray):
+        self.joined, self.start, self.end = joined, start, end
+
+    def __getitem__(self, i: int) -> str:
+        return self.joined[self.start[i]:self.end[i]].lower()
 
 
-def _window_hashes(code: np.ndarray, size: int) -> np.ndarray:
-    h = np.zeros(max(len(code) - size + 1, 0), np.uint64)
-    for i in range(size if len(h) else 0):
-        h = (h ^ code[i:i + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    return h
+def _window_hashes(code: np.ndarray, sizes: list[int]) -> Iterator[np.ndarray]:
+    """Hashes of the windows of each size, ascending: a longer one goes on from a shorter."""
+    h, done = np.zeros(len(code), np.uint64), 0
+    for size in sizes:
+        for i in range(done, size):
+            h = h[:max(len(code) - i, 0)] ^ code[i:]
+            h *= np.uint64(BASE)
+            h ^= h >> np.uint64(29)
+        done = size
+        yield h
 
 
 def _windows(sizes: list[int] | None, window: int, least: int, literals: int, bitmap: np.ndarray | None):
@@ -137,33 +206,33 @@ def _windows(sizes: list[int] | None, window: int, least: int, literals: int, bi
     columns = ["id", "at", "size", "hash", "template", "slots"]
 
     def found(templates: Templates, keys: list, texts: list[str]) -> list[tuple]:
-        kind, code, exact, n, text = templates.of(texts)
+        kind, code, exact, words, text = templates.of(texts)
         count = np.bincount(text, minlength=len(texts))
         begin = np.cumsum(count) - count
         sums = lambda a: np.concatenate([[0], np.cumsum(a)])
         plain, chars = sums(2 * (kind == LITERAL) + (kind == CHARACTER)), sums(kind == CHARACTER)
-        slots = sums(np.isin(kind, list(PLACEHOLDER)))
+        slots = sums((kind == NUMBER) | (kind == UNIT) | (kind == NAME))
         out = []
-        for size in sizes if sizes is not None else range(least, 2 * window + 1):
+        every = sizes if sizes is not None else range(least, 2 * window + 1)
+        for size, *hashes in zip(every, _window_hashes(code, every), _window_hashes(exact, every)):
             if len(kind) < size:
-                continue
+                break
             inside = text[size - 1:] == text[:len(kind) - size + 1]
             enough = plain[size:] - plain[:-size] >= 2 * literals
             if bitmap is None:
                 n_chars = chars[size:] - chars[:-size]
                 short = (count[text[:len(inside)]] == size) & (2 * size - n_chars >= 2 * least)     # a whole short text
                 inside &= np.where(n_chars > 0, (size == 2 * window) | short, (size == window) | short & (size < window))
-            for code_of, hit in ((code, inside & enough), (exact, inside & (~enough | (slots[size:] > slots[:-size])))):
-                h = _window_hashes(code_of, size)
+            for typed, h, hit in ((True, hashes[0], inside & enough), (False, hashes[1], inside & (~enough | (slots[size:] > slots[:-size])))):
                 if bitmap is not None:
-                    low = (h % np.uint64(BITMAP_BITS)).astype(np.int64)
+                    low = (h & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
                     hit = hit & (bitmap[low >> 3] >> (low & 7).astype(np.uint8) & 1).astype(bool)
                 for i in np.flatnonzero(hit).tolist():
-                    k, words = kind[i:i + size].tolist(), [templates.words[x] for x in n[i:i + size]]
-                    mark = PLACEHOLDER if code_of is code else {}
+                    k, own = kind[i:i + size].tolist(), [words[x] for x in range(i, i + size)]
+                    mark = PLACEHOLDER if typed else {}
                     out.append((keys[text[i]], i - int(begin[text[i]]), size, int(h[i:i + 1].view(np.int64)[0]),
-                                " ".join(mark.get(t, x) for t, x in zip(k, words)),
-                                [f"{p}:{mark[t]}:{x}" for p, (t, x) in enumerate(zip(k, words)) if t in mark]))
+                                " ".join(mark.get(t, x) for t, x in zip(k, own)),
+                                [f"{p}:{mark[t]}:{x}" for p, (t, x) in enumerate(zip(k, own)) if t in mark]))
         return out
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -4,11 +4,13 @@ repeated rows, extra columns with clashing names, no rows at all."""
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -322,6 +324,43 @@ def test_decontamination_few_plain_words(spark):
     assert got[0, 0].same_values and got[2, 2].share == 1 and not got[7, 6].same_values
 
 
+TOKEN_TEXTS = ["", " ", "Ünï don't 'tis rock’n’roll a'' l'été", "1.5 3,000 1. 2,,3 4.x 12abc ²a ½ Ⅷ ٣", "2+2=4 x + y a+ b +c (1)*(2) - 3 -4 well-known 1/2/3 a_ + _b",
+               "ΟΔΟΣ οδος ΟΔΟΣ, İx Kelvin ǅa", "小明有5个+6 ครูมี x+小 ー+a 〇", "end of one.\nSecond min 5 Min 7. Min McDonald A", "\0a\0+\0b", "\U00020001\U0001d7d8\U0001F600"]
+
+
+def test_decontamination_tokens():
+    """The array passes find the tokens of the pattern, laid end to end in any order, and hash equal words alike."""
+    rng = np.random.default_rng(4)
+    made = ["".join(rng.choice(list("".join(TOKEN_TEXTS)), 40)) for _ in range(300)]
+    texts, templates = [*TOKEN_TEXTS, *made, *TOKEN_TEXTS], decontam.Templates()
+    codes, joined = templates._laid(texts)
+    start, end = templates._tokens(codes, templates.bits[codes])
+    words = [joined[a:b] for a, b in zip(start.tolist(), end.tolist())]
+    assert words == [t for x in texts for t in decontam.TOKEN.findall(x)]
+    hashes = {}
+    for word, h in zip(words, templates._hashes(codes, start, end).tolist()):
+        assert hashes.setdefault(word.lower(), h) == h
+    kind = dict(zip(["If", "Ann", "has", "km", "Min", "5", "Min", "B", "McX", "Σας"], templates.of(["If Ann has km Min 5 Min B McX Σας"])[0].tolist()))
+    assert kind == {"If": decontam.LITERAL, "Ann": decontam.NAME, "has": decontam.LITERAL, "km": decontam.LITERAL, "5": decontam.NUMBER,
+                    "Min": decontam.UNIT, "B": decontam.LITERAL, "McX": decontam.LITERAL, "Σας": decontam.NAME}
+
+
+def test_decontamination_search_costs_no_more_than_the_pattern():
+    """Documents are searched in less CPU time than the token pattern alone takes over many distinct words."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(w) for w in rng.choice(list("abcdefgh"), (1500, 7))) + "." for _ in range(200)]
+    batch = pd.DataFrame({"id": range(len(texts)), "text": texts})
+    search = decontam._windows([8], 8, 5, 4, np.zeros(decontam.BITMAP_BITS // 8, np.uint8))
+
+    def seconds(work) -> float:
+        start = time.process_time()
+        work()
+        return time.process_time() - start
+
+    pattern = min(seconds(lambda: [decontam.TOKEN.findall(t) for t in texts]) for _ in range(3))
+    assert min(seconds(lambda: list(search(iter([batch])))) for _ in range(3)) < 1.2 * pattern
+
+
 # 5: packing
 
 def check_packing(pieces, texts):
